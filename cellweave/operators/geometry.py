@@ -536,7 +536,7 @@ def tile_prefilter(
     return hit.drop("tx", "ty").distinct()
 
 
-def geometry_size(features: DataFrame, parts: str = "parts") -> Column:
+def geometry_size(parts: str = "parts") -> Column:
     """Number of coordinates over all parts of a feature."""
     return F.aggregate(F.transform(parts, F.size), lit(0), lambda acc, n: acc + n)
 

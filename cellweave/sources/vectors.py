@@ -133,9 +133,11 @@ def feature_text(df: DataFrame, properties: Sequence[str]) -> Column:
 def _as_collection(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     head = '{"type":"FeatureCollection","features":['
     for pdf in batches:
-        for text in pdf["value"]:
-            yield pd.DataFrame({"value": [head + text]})
+        if len(pdf):
+            lines = "," + pdf["value"]
+            lines.iloc[0] = head + lines.iloc[0][1:] if head != "," else lines.iloc[0]
             head = ","
+            yield pd.DataFrame({"value": lines})
     yield pd.DataFrame({"value": [("]}" if head == "," else head + "]}")]})
 
 
