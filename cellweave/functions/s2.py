@@ -27,6 +27,11 @@ def _at(table: Column, i: Column) -> Column:
     return F.element_at(table, (i + 1).cast("int"))
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, however often the body uses it."""
+    return F.transform(F.array(value), lambda v: body(v))[0]
+
+
 def check_level(level: int) -> int:
     if not 0 <= level <= 30:
         raise ValueError(f"S2 level {level} is not in 0..30")
@@ -38,38 +43,58 @@ def is_building_level(level: int) -> bool:
     return 4 <= level <= 8
 
 
-def face_ij(lat: Column, lon: Column, level: int) -> tuple[Column, Column, Column]:
-    """Face and cell coordinates of a point at ``level``."""
-    phi, lam = F.radians(lat), F.radians(lon)
-    x, y, z = F.cos(phi) * F.cos(lam), F.cos(phi) * F.sin(lam), F.sin(phi)
-    ax, ay, az = F.abs(x), F.abs(y), F.abs(z)
-    face = (
-        F.when((ax > ay) & (ax > az), F.when(x < 0, 3).otherwise(0))
-        .when((ay > az) & ~((ax > ay) & (ax > az)), F.when(y < 0, 4).otherwise(1))
-        .otherwise(F.when(z < 0, 5).otherwise(2))
-    )
-    pick = lambda *vs: (
-        F.when(face == 0, vs[0]).when(face == 1, vs[1]).when(face == 2, vs[2])
-        .when(face == 3, vs[3]).when(face == 4, vs[4]).otherwise(vs[5])
-    )
-    u = pick(y / x, -x / y, -x / z, z / x, z / y, -y / z)
-    v = pick(z / x, z / y, -y / z, y / x, -x / y, -x / z)
+def _pick(face: Column, choices) -> Column:
+    out = F.when(face == 0, choices[0])
+    for k in range(1, 5):
+        out = out.when(face == k, choices[k])
+    return out.otherwise(choices[5])
+
+
+def face_ij(lat: Column, lon: Column, level: int) -> Column:
+    """``struct<face, i, j>``: face and cell coordinates of a point at ``level``."""
     side = 1 << level
 
+    def sphere(p: Column) -> Column:
+        phi, lam = F.radians(p["lat"]), F.radians(p["lon"])
+        return F.struct(
+            (F.cos(phi) * F.cos(lam)).alias("x"), (F.cos(phi) * F.sin(lam)).alias("y"), F.sin(phi).alias("z")
+        )
+
+    def face_of(p: Column) -> Column:
+        ax, ay, az = F.abs(p["x"]), F.abs(p["y"]), F.abs(p["z"])
+        return (
+            F.when((ax > ay) & (ax > az), F.when(p["x"] < 0, 3).otherwise(0))
+            .when(ay > az, F.when(p["y"] < 0, 4).otherwise(1))
+            .otherwise(F.when(p["z"] < 0, 5).otherwise(2))
+        )
+
+    def plane(q: Column) -> Column:
+        x, y, z, face = q["p"]["x"], q["p"]["y"], q["p"]["z"], q["face"]
+        return F.struct(
+            face.alias("face"),
+            _pick(face, (y / x, -x / y, -x / z, z / x, z / y, -y / z)).alias("u"),
+            _pick(face, (z / x, z / y, -y / z, y / x, -x / y, -x / z)).alias("v"),
+        )
+
     def cell(w: Column) -> Column:
         s = F.when(w >= 0, 0.5 * F.sqrt(1 + 3 * w)).otherwise(1 - 0.5 * F.sqrt(1 - 3 * w))
         return F.least(F.greatest(F.floor(s * side), lit(0)), lit(side - 1)).cast("long")
 
-    return face, cell(u), cell(v)
+    point = _let(F.struct(lat.alias("lat"), lon.alias("lon")), sphere)
+    faced = _let(point, lambda p: F.struct(face_of(p).cast("long").alias("face"), p.alias("p")))
+    flat = _let(faced, plane)
+    return _let(flat, lambda q: F.struct(q["face"].alias("face"), cell(q["u"]).alias("i"), cell(q["v"]).alias("j")))
 
 
 def cell_id(lat: Column, lon: Column, level: int) -> Column:
     """64-bit S2 cell id."""
     check_level(level)
-    face, i, j = face_ij(lat, lon, level)
-    start = F.struct(
-        face.cast("long").alias("face"), i.alias("i"), j.alias("j"),
-        face.bitwiseAND(lit(1)).cast("long").alias("o"), lit(0).cast("long").alias("pos"),
+    start = _let(
+        face_ij(lat, lon, level),
+        lambda p: F.struct(
+            p["face"].alias("face"), p["i"].alias("i"), p["j"].alias("j"),
+            p["face"].bitwiseAND(lit(1).cast("long")).alias("o"), lit(0).cast("long").alias("pos"),
+        ),
     )
     pos_of, turn = _table(IJ_TO_POS), _table(POS_TO_ORIENTATION)
 
@@ -129,24 +154,28 @@ def cell_corners(face: Column, pos: Column, level: int) -> Column:
         s = k / side
         return F.when(s >= 0.5, (4 * s * s - 1) / 3).otherwise((1 - 4 * (1 - s) * (1 - s)) / 3)
 
-    def corner(acc: Column, di: int, dj: int) -> Column:
-        u, v, f = uv(acc["i"] + di), uv(acc["j"] + dj), acc["face"]
-        one = lit(1.0)
-        axes = [(one, u, v), (-u, one, v), (-u, -v, one), (-one, -v, -u), (v, -one, -u), (v, u, -one)]
-        pick = lambda n: F.when(f == 0, axes[0][n]).when(f == 1, axes[1][n]).when(f == 2, axes[2][n]).when(
-            f == 3, axes[3][n]
-        ).when(f == 4, axes[4][n]).otherwise(axes[5][n])
-        x, y, z = pick(0), pick(1), pick(2)
+    def sphere(p: Column) -> Column:
+        u, v, f, one = p["u"], p["v"], p["face"], lit(1.0)
+        axes = ((one, u, v), (-u, one, v), (-u, -v, one), (-one, -v, -u), (v, -one, -u), (v, u, -one))
+        return F.struct(*[_pick(f, [a[n] for a in axes]).alias(name) for n, name in enumerate("xyz")])
+
+    def degrees(p: Column) -> Column:
+        x, y, z = p["x"], p["y"], p["z"]
         return F.struct(
             F.degrees(F.atan2(y, x)).alias("x"), F.degrees(F.atan2(z, F.sqrt(x * x + y * y))).alias("y")
         )
 
     def finish(acc: Column) -> Column:
-        return F.array(*[corner(acc, di, dj) for di, dj in ((0, 0), (1, 0), (1, 1), (0, 1))])
+        steps = F.array(*[F.struct(lit(di).alias("di"), lit(dj).alias("dj")) for di, dj in ((0, 0), (1, 0), (1, 1), (0, 1))])
+        plane = F.transform(
+            steps,
+            lambda d: F.struct(uv(acc["i"] + d["di"]).alias("u"), uv(acc["j"] + d["dj"]).alias("v"), acc["face"].alias("face")),
+        )
+        return F.transform(F.transform(plane, lambda p: sphere(p)), lambda p: degrees(p))
 
     if level == 0:
         return finish(start)
-    return F.aggregate(F.sequence(lit(level - 1), lit(0)), start, descend, finish)
+    return _let(F.aggregate(F.sequence(lit(level - 1), lit(0)), start, descend), finish)
 
 
 def token_polygon(tok: Column, level: int) -> Column:

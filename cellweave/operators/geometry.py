@@ -103,6 +103,30 @@ def traversed_cells(
     )
 
 
+# --------------------------------------------------------------------------- size bounds
+
+
+def _steps(lo: Column, hi: Column, size: Column) -> Column:
+    return F.floor(hi / size) - F.floor(lo / size) + 1
+
+
+def _passed_bound(edges: DataFrame, size: float) -> int:
+    """Upper bound of the tiles all edges pass: one map-side aggregate."""
+    rows = _steps(F.least("y1", "y2"), F.greatest("y1", "y2"), lit(float(size)))
+    cols = _steps(F.least("x1", "x2"), F.greatest("x1", "x2"), lit(float(size)))
+    return int(edges.agg(F.sum(rows + cols)).first()[0] or 0)
+
+
+def _spans_bound(edges: DataFrame, grid, zone: str) -> int:
+    """Upper bound of the blocked spans (outline rows times blocks across) of all zones."""
+    rows = _steps(F.least("y1", "y2"), F.greatest("y1", "y2"), lit(grid.px_h))
+    per_zone = edges.groupBy(zone).agg(
+        F.sum(rows).alias("n"),
+        (F.max(F.greatest("x1", "x2")) - F.min(F.least("x1", "x2"))).alias("w"),
+    )
+    return int(per_zone.agg(F.sum(col("n") * (col("w") / (grid.px_w * BLOCK) + 2))).first()[0] or 0)
+
+
 # --------------------------------------------------------------------------- rasters
 
 
@@ -138,6 +162,7 @@ def cells_in_zones(
         "inner",
         (x >= col("x_lo")) & (x < col("x_hi")),
         max_rows,
+        _spans_bound(edges, grid, zone),
     ).drop("blk", "x_lo", "x_hi")
 
 
@@ -171,10 +196,11 @@ def clip_raster(
         )
         hit = F.coalesce(hit, lit(False)) | F.coalesce(col("c").between(col("c_lo"), col("c_hi")), lit(False))
     keyed = cells.withColumn("blk", F.floor(col("c") / BLOCK).cast("int"))
+    bound = _spans_bound(anchored, grid, "__zone") * (2 if all_touched else 1)
+    kept = sized_join(keyed, spans, ["r", "blk"], "left_semi", hit, max_rows, bound).drop("blk")
     if not fill:
-        return sized_join(keyed, spans, ["r", "blk"], "left_semi", hit, max_rows).drop("blk")
-    kept = sized_join(keyed, spans, ["r", "blk"], "left_semi", hit, max_rows).drop("blk")
-    outside = sized_join(keyed, spans, ["r", "blk"], "left_anti", hit, max_rows).drop("blk")
+        return kept
+    outside = sized_join(keyed, spans, ["r", "blk"], "left_anti", hit, max_rows, bound).drop("blk")
     if crop:
         window = crop_window(edges, grid)
         outside = (
@@ -200,17 +226,41 @@ def crop_window(edges: DataFrame, grid) -> DataFrame:
 # --------------------------------------------------------------------------- points
 
 
-def _with_level(edges: DataFrame, zone: str) -> DataFrame:
-    """Add the tile size of each zone: a power of 8 that gives it 8 to 64 tiles across."""
-    box = bounds(edges, [zone])
-    side = F.greatest(col("max_x") - col("min_x"), col("max_y") - col("min_y"), lit(1e-9))
-    level = (F.ceil(F.log2(side / TILES_ACROSS) / 3) * 3).cast("int")
-    return edges.join(box.select(zone, level.alias("level")), zone).withColumn("size", F.pow(lit(2.0), col("level")))
+def zone_index(edges: DataFrame, zone: str = "zone_id") -> DataFrame:
+    """One row per zone: tile size (a power of 8 that gives 8 to 64 tiles across), band
+    origin and height, and upper bounds of the rows its tiles and bands take.
+
+    The band height keeps the banded copy of a zone within about four rows per edge.
+    """
+    box = edges.groupBy(zone).agg(
+        F.min(F.least("x1", "x2")).alias("min_x"),
+        F.max(F.greatest("x1", "x2")).alias("max_x"),
+        F.min(F.least("y1", "y2")).alias("y0"),
+        F.max(F.greatest("y1", "y2")).alias("max_y"),
+        F.sum(F.abs(col("y2") - col("y1"))).alias("rise"),
+        F.count("*").alias("n"),
+    )
+    width, height = col("max_x") - col("min_x"), col("max_y") - col("y0")
+    level = (F.ceil(F.log2(F.greatest(width, height, lit(1e-9)) / TILES_ACROSS) / 3) * 3).cast("int")
+    size = F.pow(lit(2.0), col("level"))
+    return (
+        box.withColumn("level", level)
+        .withColumns(
+            {
+                "size": size,
+                "band_h": F.greatest(col("rise") / (3 * col("n")), lit(1e-12)),
+                "tile_rows": (width / size + 2) * (height / size + 2),
+                "band_rows": 5 * col("n"),
+            }
+        )
+        .select(zone, "level", "size", "y0", "band_h", "tile_rows", "band_rows")
+    )
 
 
-def zone_tiles(edges: DataFrame, zone: str = "zone_id") -> DataFrame:
+def zone_tiles(edges: DataFrame, zone: str = "zone_id", index: DataFrame | None = None) -> DataFrame:
     """Square tiles of each zone: ``full`` ones hold no outline and lie inside."""
-    leveled = _with_level(edges, zone)
+    index = zone_index(edges, zone) if index is None else index
+    leveled = edges.join(index.select(zone, "level", "size"), zone)
     keys = [zone, "level", "size"]
     zero = lit(0.0)
     border = (
@@ -237,23 +287,15 @@ def zone_tiles(edges: DataFrame, zone: str = "zone_id") -> DataFrame:
     return border.withColumn("full", lit(False)).unionByName(full.withColumn("full", lit(True)))
 
 
-def zone_bands(edges: DataFrame, zone: str = "zone_id") -> tuple[DataFrame, DataFrame]:
-    """Per-zone horizontal bands for the exact test: ``(zone shape, banded edges)``.
-
-    The band height of a zone keeps its banded copy within about four rows per edge.
-    """
-    shape = edges.groupBy(zone).agg(
-        F.min(F.least("y1", "y2")).alias("y0"),
-        (F.sum(F.abs(col("y2") - col("y1"))) / (3 * F.count("*"))).alias("band_h"),
-    ).withColumn("band_h", F.greatest("band_h", lit(1e-12)))
+def zone_bands(edges: DataFrame, index: DataFrame, zone: str = "zone_id") -> DataFrame:
+    """Edges filed under the horizontal bands of their zone."""
     band = lambda y: F.floor((y - col("y0")) / col("band_h")).cast("long")
-    banded = (
+    return (
         edges.where(col("y1") != col("y2"))
-        .join(shape, zone)
+        .join(index.select(zone, "y0", "band_h"), zone)
         .withColumn("band", F.explode(F.sequence(band(F.least("y1", "y2")), band(F.greatest("y1", "y2")))))
         .select(zone, "band", "x1", "y1", "x2", "y2")
     )
-    return shape, banded
 
 
 def points_in_polygons(
@@ -271,8 +313,10 @@ def points_in_polygons(
     edges, and only those of their own zone and band, so nothing is compared pairwise.
     """
     carried = points.columns
-    tiles = zone_tiles(edges, zone)
-    levels = [row["level"] for row in tiles.select("level").distinct().collect()]  # a few powers of 8
+    index = zone_index(edges, zone)
+    # one row: the distinct tile sizes (a few powers of 8) and the bounds of the small sides
+    plan = index.agg(F.collect_set("level"), F.sum("tile_rows"), F.sum("band_rows")).first()
+    levels = plan[0]
     if not levels:
         return points.join(edges.select(zone).limit(0), lit(True), "inner")
     keyed = points.withColumn("level", F.explode(F.array(*[lit(v) for v in sorted(levels)])))
@@ -280,14 +324,17 @@ def points_in_polygons(
     keyed = keyed.withColumns(
         {"tr": F.floor(-col(y) / size).cast("int"), "tc": F.floor(col(x) / size).cast("int")}
     )
-    shape, banded = zone_bands(edges, zone)
-    hits = sized_join(keyed, tiles.join(shape, zone), ["level", "tr", "tc"], max_rows=max_rows)
+    tiles = zone_tiles(edges, zone, index).join(index.select(zone, "y0", "band_h"), zone)
+    hits = sized_join(keyed, tiles, ["level", "tr", "tc"], max_rows=max_rows, bound=int(plan[1]))
     sure = hits.where("full").select(*carried, zone)
     maybe = hits.where("not full").withColumn("band", F.floor((col(y) - col("y0")) / col("band_h")).cast("long"))
     crossing = ((col("y1") > col(y)) != (col("y2") > col(y))) & (col(x) < edge_x_at(col(y)))
     rest = [c for c in carried if c not in id_cols]
     tested = (
-        sized_join(maybe.select(*carried, zone, "band"), banded, [zone, "band"], "inner", crossing, max_rows)
+        sized_join(
+            maybe.select(*carried, zone, "band"), zone_bands(edges, index, zone), [zone, "band"], "inner", crossing,
+            max_rows, int(plan[2]),
+        )
         .groupBy(*id_cols, zone)
         .agg(F.count("*").alias("__n"), *[F.first(c).alias(c) for c in rest])
         .where(col("__n") % 2 == 1)
@@ -335,6 +382,7 @@ def within_distance(
         "left_semi",
         distance_sq(col(x), col(y)) <= lit(distance * distance),
         max_rows,
+        9 * _passed_bound(aoi, distance),
     ).drop("tr", "tc")
     inside = points_in_polygons(points, aoi, id_cols, x, y, "__zone", max_rows).drop("__zone")
     return near.unionByName(inside).dropDuplicates(id_cols)
@@ -407,6 +455,7 @@ def clip_lines(
             "inner",
             F.coalesce((t > 0) & (t < 1) & (u >= 0) & (u <= 1), lit(False)),
             max_rows,
+            9 * _passed_bound(aoi, tile),
         )
         .select(*keys, t.alias("t"))
         .distinct()
@@ -468,6 +517,7 @@ def features_within(
             "left_semi",
             (s1 < 0) & (s2 < 0),
             max_rows,
+            9 * _passed_bound(aoi, tile),
         )
         .select(*id_cols)
         .distinct()

@@ -21,7 +21,7 @@ def filter_road_type(df: DataFrame, types: Sequence[str] | str) -> DataFrame:
     if types == "all" or "highway" not in df.columns:
         return df
     wanted = F.array(*[F.lit(t) for t in types])
-    return df.where(F.arrays_overlap(F.transform(F.split("highway", ";"), F.trim), wanted))
+    return df.where(F.arrays_overlap(F.transform(F.split("highway", ";"), lambda v: F.trim(v)), wanted))
 
 
 def select_road_attributes(df: DataFrame, attributes: Sequence[str] | str) -> DataFrame:

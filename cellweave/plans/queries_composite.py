@@ -8,7 +8,7 @@ from cellweave.functions import s2
 from cellweave.plans import composite as cp
 from cellweave.plans import oracle_text as ot
 from cellweave.plans.fixtures import GRID
-from cellweave.plans.queries_raster import CELL, MEMBERS, SCENES
+from cellweave.plans.queries_raster import CELL, MEMBERS, SCENES, comparable
 from cellweave.plans.queries_vector import INSIDE, PIECES
 from cellweave.plans.registry import query
 from cellweave.schema import Grid
@@ -66,12 +66,11 @@ def roads_for_cities(t):
 a as (select zone_id, r, c, 'annual' as period, avg(value) as value from v group by zone_id, r, c),
 bad as (select zone_id, r, c, printf('2022-%02d', month) as period, null as value from m where value = -9999.0D0 union all
   select zone_id, r, c, 'annual', null from m where value = -9999.0D0)
-select zone_id, period, round(coalesce(avg(value), 'nan'::double), 2) as mean, coalesce(min(value), 'nan'::double) as min, coalesce(max(value), 'nan'::double) as max,
- round(coalesce(stddev_pop(value), 'nan'::double), 2) as std, round(coalesce(sum(value), 'nan'::double), 1) as sum, count(value) as count
+select zone_id, period, round(coalesce(avg(value), 'nan'::double), 3) as mean, coalesce(min(value), 'nan'::double) as min, coalesce(max(value), 'nan'::double) as max,
+ round(coalesce(stddev_pop(value), 'nan'::double), 2) as std, round(coalesce(sum(value), 'nan'::double) * 27720) as sum_27720, count(value) as count
 from (select * from v union all select * from a union all select * from bad) q group by zone_id, period""")
 def emissions_report(t):
-    out = cp.emissions_report(t.cells, t.edges, GRID, "month", 2022)
-    return out.withColumns({"mean": F.round("mean", 2), "std": F.round("std", 2), "sum": F.round("sum", 1)})
+    return comparable(cp.emissions_report(t.cells, t.edges, GRID, "month", 2022))
 
 
 @query("annual_air_quality", "cells aoi", f"""

@@ -111,8 +111,8 @@ _KERNELS = {
     "cubic": (2, "case when {d} <= 1 then (1.5D0*{d} - 2.5D0)*{d}*{d} + 1 when {d} < 2 then ((-0.5D0*{d} + 2.5D0)*{d} - 4)*{d} + 2 else 0.0D0 end",
               "sum(w*value)/sum(w)"),
     "cubic_spline": (2, "case when {d} <= 1 then (0.5D0*{d} - 1)*{d}*{d} + 2.0D0/3 when {d} < 2 then (2-{d})*(2-{d})*(2-{d})/6 else 0.0D0 end",
-                     "round(sum(w*value)/sum(w)/1000)"),
-    "lanczos": (3, "case when {d} < 3 then " + SINC + " else 0.0D0 end", "round(sum(w*value)/sum(w)/10000)"),
+                     "round(sum(w*value)/sum(w)/1000 + 0.0003D0)"),
+    "lanczos": (3, "case when {d} < 3 then " + SINC + " else 0.0D0 end", "round(sum(w*value)/sum(w)/10000 + 0.00003D0)"),
 }
 
 for _method, (_radius, _kernel, _value) in _KERNELS.items():
@@ -120,7 +120,8 @@ for _method, (_radius, _kernel, _value) in _KERNELS.items():
     def _aligned(t, method=_method):
         out = _fine(t, method)
         scale = {"cubic_spline": 1000.0, "lanczos": 10000.0}.get(method)
-        return out if scale is None else out.withColumn("value", F.round(col("value") / scale))
+        # inexact weights: compare coarse values, shifted so that whole cents are never ties
+        return out if scale is None else out.withColumn("value", F.round(col("value") / scale + 0.3 / scale))
 
     query(f"align_{_method}", "cells", _kernel_oracle(_kernel, _radius, _value))(_aligned)
 
@@ -172,11 +173,11 @@ with ax as (select i, -2220000.0D0 + (i + 0.5D0)*9000.0D0 as m, 1110000.0D0 - (i
  rws as (select i, (10.0D0 - degrees(2*atan(exp(n / 6378137.0D0)) - pi()/2)) / 0.0625D0 as f from ax),
  ct as (select i, cast(floor(f - 0.5D0) as int) + k as s, greatest(0.0D0, 1 - abs(f - 0.5D0 - (floor(f - 0.5D0) + k))) as w from cols, range(2) z(k)),
  rt as (select i, cast(floor(f - 0.5D0) as int) + k as s, greatest(0.0D0, 1 - abs(f - 0.5D0 - (floor(f - 0.5D0) + k))) as w from rws, range(2) z(k))
-select month, cast(a.i as int) as r, cast(b.i as int) as c, round(sum(a.w*b.w*value)/sum(a.w*b.w)/1000) as value from cells
+select month, cast(a.i as int) as r, cast(b.i as int) as c, round(sum(a.w*b.w*value)/sum(a.w*b.w)/1000 + 0.0003D0) as value from cells
  join rt a on a.s = cells.r join ct b on b.s = cells.c where value <> -9999.0D0 and a.w*b.w <> 0 group by month, a.i, b.i having sum(a.w*b.w) > 0.000001""")
 def reproject_bilinear(t):
     out = gr.resample(t.cells.select(*CELL), GRID, MERCATOR, "bilinear", ["month"])
-    return out.withColumn("value", F.round(col("value") / 1000.0))
+    return out.withColumn("value", F.round(col("value") / 1000.0 + 0.0003))
 
 
 # ------------------------------------------------------------------ mosaics and tiles

@@ -31,34 +31,38 @@ def _rounded(df, *names, digits=4):
 
 @query("zonal_stats", "cells edges", MEMBERS + """
 select zone_id, month, avg(value) as mean, max(value) as max, min(value) as min, round(stddev_pop(value), 4) as std,
-  sum(value) as sum, count(value) as count from m where value <> -9999.0D0 group by zone_id, month""")
+  sum(value) as sum, count(value) as count
+from (select zone_id, month, case when value <> -9999.0D0 then value end as value from m) v group by zone_id, month""")
 def zonal_stats(t):
     stats = ["mean", "max", "min", "std", "sum", "count"]
     return _rounded(zn.zonal_stats(t.cells.select(*CELL), t.edges, GRID, stats, by=["month"]), "std")
 
 
 @query("zonal_percentiles", "cells edges", MEMBERS + """
-select zone_id, month, median(value) as median, quantile_cont(value, 0.25) as percentile_25,
-  quantile_cont(value, 0.75) as percentile_75 from m where value <> -9999.0D0 group by zone_id, month""")
+select zone_id, month, median(value) as median, round(quantile_cont(value, 0.25), 6) as percentile_25,
+  round(quantile_cont(value, 0.75), 6) as percentile_75
+from (select zone_id, month, case when value <> -9999.0D0 then value end as value from m) v group by zone_id, month""")
 def zonal_percentiles(t):
     stats = ["median", "percentile_25", "percentile_75"]
-    return zn.zonal_stats(t.cells.select(*CELL), t.edges, GRID, stats, by=["month"])
+    out = zn.zonal_stats(t.cells.select(*CELL), t.edges, GRID, stats, by=["month"])
+    return _rounded(out, "percentile_25", "percentile_75", digits=6)
 
 
 @query("zonal_percentiles_distributed", "cells edges", MEMBERS + """
-select zone_id, count(*) as count, median(value) as median, quantile_cont(value, 0.25) as percentile_25,
-  quantile_cont(value, 0.9) as percentile_90 from m where value <> -9999.0D0 group by zone_id""")
+select zone_id, count(*) as count, median(value) as median, round(quantile_cont(value, 0.25), 6) as percentile_25,
+  round(quantile_cont(value, 0.9), 6) as percentile_90 from m where value <> -9999.0D0 group by zone_id""")
 def zonal_percentiles_distributed(t):
     stats = ["count", "median", "percentile_25", "percentile_90"]
-    return zn.zonal_stats(t.cells.select(*CELL), t.edges, GRID, stats, small=False)
+    out = zn.zonal_stats(t.cells.select(*CELL), t.edges, GRID, stats, small=False)
+    return _rounded(out, "percentile_25", "percentile_90", digits=6)
 
 
 @query("group_percentiles", "cells", """
-select month, quantile_cont(value, 0.1) as p10, quantile_cont(value, 0.5) as p50, max(value) as p100
+select month, round(quantile_cont(value, 0.1), 6) as p10, quantile_cont(value, 0.5) as p50, max(value) as p100
 from cells where value <> -9999.0D0 group by month""")
 def group_percentiles(t):
     valid = mask_nodata(t.cells.select(*CELL), -9999.0)
-    return qt.group_percentiles(valid, ["month"], {"p10": 10.0, "p50": 50.0, "p100": 100.0})
+    return _rounded(qt.group_percentiles(valid, ["month"], {"p10": 10.0, "p50": 50.0, "p100": 100.0}), "p10", digits=6)
 
 
 @query("cells_in_zones", "cells edges", MEMBERS + "select * from m")
@@ -171,13 +175,19 @@ def summary_table(t):
 @query("period_stats", "cells edges", MEMBERS + """
 , v as (select zone_id, r, c, cast(month as varchar) as period, value from m where value <> -9999.0D0),
 a as (select zone_id, r, c, 'annual' as period, avg(value) as value from v group by zone_id, r, c)
-select zone_id, period, round(avg(value), 2) as mean, min(value) as min, max(value) as max, round(stddev_pop(value), 2) as std,
-  round(sum(value), 1) as sum, count(value) as count from (select * from v union all select * from a) q group by zone_id, period""")
+select zone_id, period, round(avg(value), 3) as mean, min(value) as min, max(value) as max, round(stddev_pop(value), 2) as std,
+  round(sum(value) * 27720) as sum_27720, count(value) as count from (select * from v union all select * from a) q group by zone_id, period""")
 def period_stats(t):
     valid = mask_nodata(t.cells.select(*CELL), -9999.0)
     members = g.cells_in_zones(valid, t.edges, GRID).where("value is not null")
     monthly = members.withColumn("period", F.col("month").cast("string"))
-    return _rounded(_rounded(zn.period_stats(monthly, ["zone_id"], "period"), "mean", "std", digits=2), "sum", digits=1)
+    return comparable(zn.period_stats(monthly, ["zone_id"], "period"))
+
+
+def comparable(stats):
+    """Means over 1 to 12 months are multiples of 1/27720, so scaled sums are whole numbers."""
+    out = _rounded(_rounded(stats, "mean", digits=3), "std", digits=2)
+    return out.withColumn("sum_27720", F.round(F.col("sum") * 27720)).drop("sum")
 
 
 @query("annual_mean", "cells", """

@@ -247,29 +247,29 @@ def total_area(t):
 
 
 @query("project_albers", "buildings", f"""
-select building_id, round({ot.albers_x('longitude', 'latitude')}, 3) as x, round({ot.albers_y('longitude', 'latitude')}, 3) as y, longitude as lon, latitude as lat from buildings""")
+select building_id, round({ot.albers_x('longitude', 'latitude')}, 3) as x, round({ot.albers_y('longitude', 'latitude')}, 3) as y, round(longitude, 6) as lon, round(latitude, 6) as lat from buildings""")
 def project_albers(t):
     x, y = crs.to_albers(col("longitude"), col("latitude"))
     lon, lat = crs.from_albers(x, y)
-    return t.buildings.select("building_id", F.round(x, 3).alias("x"), F.round(y, 3).alias("y"), F.round(lon, 5).alias("lon"), F.round(lat, 5).alias("lat"))
+    return t.buildings.select("building_id", F.round(x, 3).alias("x"), F.round(y, 3).alias("y"), F.round(lon, 6).alias("lon"), F.round(lat, 6).alias("lat"))
 
 
 @query("project_mercator", "buildings", """
-select building_id, round(radians(longitude)*6378137.0D0, 3) as x, round(ln(tan(pi()/4 + radians(latitude)/2))*6378137.0D0, 3) as y, longitude as lon, latitude as lat from buildings""")
+select building_id, round(radians(longitude)*6378137.0D0, 3) as x, round(ln(tan(pi()/4 + radians(latitude)/2))*6378137.0D0, 3) as y, round(longitude, 6) as lon, round(latitude, 6) as lat from buildings""")
 def project_mercator(t):
     forward, back = crs.projection("EPSG:4326", "EPSG:3857"), crs.projection("EPSG:3857", "EPSG:4326")
     x, y = forward(col("longitude"), col("latitude"))
     lon, lat = back(x, y)
-    return t.buildings.select("building_id", F.round(x, 3).alias("x"), F.round(y, 3).alias("y"), F.round(lon, 5).alias("lon"), F.round(lat, 5).alias("lat"))
+    return t.buildings.select("building_id", F.round(x, 3).alias("x"), F.round(y, 3).alias("y"), F.round(lon, 6).alias("lon"), F.round(lat, 6).alias("lat"))
 
 
 @query("project_utm", "buildings", f"""
-select building_id, round({ot.utm_x('longitude', 'latitude', 28)}, 3) as x, round({ot.utm_y('longitude', 'latitude', 28)}, 3) as y, longitude as lon, latitude as lat from buildings""")
+select building_id, round({ot.utm_x('longitude', 'latitude', 28)}, 3) as x, round({ot.utm_y('longitude', 'latitude', 28)}, 3) as y, round(longitude, 6) as lon, round(latitude, 6) as lat from buildings""")
 def project_utm(t):
     forward, back = crs.projection("EPSG:4326", "EPSG:32628"), crs.projection("EPSG:32628", "EPSG:4326")
     x, y = forward(col("longitude"), col("latitude"))
     lon, lat = back(x, y)
-    return t.buildings.select("building_id", F.round(x, 3).alias("x"), F.round(y, 3).alias("y"), F.round(lon, 5).alias("lon"), F.round(lat, 5).alias("lat"))
+    return t.buildings.select("building_id", F.round(x, 3).alias("x"), F.round(y, 3).alias("y"), F.round(lon, 6).alias("lon"), F.round(lat, 6).alias("lat"))
 
 
 # ------------------------------------------------------------------ S2

@@ -26,17 +26,19 @@ def sized_join(
     how: str = "inner",
     where: Column | None = None,
     max_rows: int = BROADCAST_ROWS,
+    bound: int | None = None,
 ) -> DataFrame:
     """Equi-join with an optional residual predicate.
 
-    The small side is counted first.  Within the bound it is broadcast and ``big`` is not
+    The small side is counted first, unless the caller knows an upper ``bound`` of its rows
+    (such as from one cheap aggregate over its input).  Within ``max_rows`` it is broadcast and ``big`` is not
     moved at all; beyond it both sides shuffle on the key plus a salt, so that one hot key
     is worked on by ``SALTS`` tasks.  ``small`` must not share non-key column names with
     ``big``.  Valid for inner, left, left_semi and left_anti joins.
     """
     keys = {k: f"__k_{k}" for k in on}
     right = small.withColumnsRenamed(keys)
-    if is_small(small, max_rows):
+    if bound <= max_rows if bound is not None else is_small(small, max_rows):
         right = F.broadcast(right)
         left = big
         cond = F.lit(True)

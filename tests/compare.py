@@ -30,7 +30,7 @@ def _norm(v):
 
 _KIND = {
     "int": "int", "bigint": "int", "smallint": "int", "tinyint": "int", "integer": "int", "hugeint": "huge",
-    "double": "float", "float": "float", "string": "text", "varchar": "text", "boolean": "bool", "timestamp": "ts",
+    "double": "float", "float": "float", "string": "text", "varchar": "text", "boolean": "bool", "timestamp": "ts", "timestamp_ntz": "ts",
 }
 
 
