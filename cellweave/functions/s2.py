@@ -254,10 +254,13 @@ def covering(boxes: DataFrame, keys: list[str], level: int = 6, max_cells: int =
         | (~F.col("wrap") & (F.col("max_x") >= F.col("lon_min")) & (F.col("min_x") <= F.col("lon_max")))
     )
     lat = (F.col("max_y") >= F.col("c_min_y")) & (F.col("min_y") <= F.col("c_max_y"))
-    found = sized_join(boxed, cells, ["stripe"], "inner", lon & lat).select(*keys, "token").distinct()
-    worst = found.groupBy(*keys).count().agg(F.max("count")).first()[0]
-    if worst is not None and worst > max_cells:
-        raise ValueError(f"covering needs {worst} cells, more than max_cells={max_cells}")
+    number = 6 * 4**level
+    stripes_bound = number * (180 // 2**level + 3)
+    found = sized_join(boxed, cells, ["stripe"], "inner", lon & lat, bound=stripes_bound).select(*keys, "token").distinct()
+    if number > max_cells:  # else no covering can be too large
+        worst = found.groupBy(*keys).count().agg(F.max("count")).first()[0]
+        if worst is not None and worst > max_cells:
+            raise ValueError(f"covering needs {worst} cells, more than max_cells={max_cells}")
     return found
 
 

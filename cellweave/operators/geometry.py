@@ -257,42 +257,38 @@ def zone_index(edges: DataFrame, zone: str = "zone_id") -> DataFrame:
     )
 
 
-def zone_tiles(edges: DataFrame, zone: str = "zone_id", index: DataFrame | None = None) -> DataFrame:
-    """Square tiles of each zone: ``full`` ones hold no outline and lie inside."""
-    index = zone_index(edges, zone) if index is None else index
-    leveled = edges.join(index.select(zone, "level", "size"), zone)
-    keys = [zone, "level", "size"]
+def zone_tiles(indexed: DataFrame, zone: str = "zone_id") -> DataFrame:
+    """Square tiles of each zone: ``full`` ones hold no outline and lie inside.
+
+    ``indexed`` are edges joined to :func:`zone_index`.
+    """
+    carried = ["size", "y0", "band_h"]
+    keys = [zone, "level", *carried]
     zero = lit(0.0)
-    border = (
-        traversed_cells(leveled, keys, zero, zero, col("size"), col("size"))
-        .withColumn("tc", F.explode(F.sequence("c_lo", "c_hi")))
-        .select(zone, "level", col("r").alias("tr"), "tc")
-        .distinct()
-    )
+    border = traversed_cells(indexed, keys, zero, zero, col("size"), col("size")).withColumn("edge", lit(True))
+    border = border.withColumn("tc", F.explode(F.sequence("c_lo", "c_hi"))).drop("c_lo", "c_hi")
     centre = (col("tc") + 0.5) * col("size")
+    column_of = lambda x: F.floor(col(x) / col("size")).cast("int")
     inner = (
-        scanline_spans(leveled, keys, zero, col("size"))
-        .withColumn(
-            "tc",
-            F.explode(
-                F.sequence(
-                    F.floor(col("x_lo") / col("size")).cast("int"), F.floor(col("x_hi") / col("size")).cast("int")
-                )
-            ),
-        )
+        scanline_spans(indexed, keys, zero, col("size"))
+        .withColumn("tc", F.explode(F.sequence(column_of("x_lo"), column_of("x_hi"))))
         .where((centre >= col("x_lo")) & (centre < col("x_hi")))
-        .select(zone, "level", col("r").alias("tr"), "tc")
+        .drop("x_lo", "x_hi")
+        .withColumn("edge", lit(False))
+    )
+    return (
+        border.unionByName(inner)
+        .withColumnRenamed("r", "tr")
+        .groupBy(zone, "level", "tr", "tc")
+        .agg((~F.bool_or("edge")).alias("full"), *[F.max(c).alias(c) for c in carried])
     )
-    full = inner.join(border, [zone, "level", "tr", "tc"], "left_anti")
-    return border.withColumn("full", lit(False)).unionByName(full.withColumn("full", lit(True)))
 
 
-def zone_bands(edges: DataFrame, index: DataFrame, zone: str = "zone_id") -> DataFrame:
+def zone_bands(indexed: DataFrame, zone: str = "zone_id") -> DataFrame:
     """Edges filed under the horizontal bands of their zone."""
     band = lambda y: F.floor((y - col("y0")) / col("band_h")).cast("long")
     return (
-        edges.where(col("y1") != col("y2"))
-        .join(index.select(zone, "y0", "band_h"), zone)
+        indexed.where(col("y1") != col("y2"))
         .withColumn("band", F.explode(F.sequence(band(F.least("y1", "y2")), band(F.greatest("y1", "y2")))))
         .select(zone, "band", "x1", "y1", "x2", "y2")
     )
@@ -324,15 +320,17 @@ def points_in_polygons(
     keyed = keyed.withColumns(
         {"tr": F.floor(-col(y) / size).cast("int"), "tc": F.floor(col(x) / size).cast("int")}
     )
-    tiles = zone_tiles(edges, zone, index).join(index.select(zone, "y0", "band_h"), zone)
-    hits = sized_join(keyed, tiles, ["level", "tr", "tc"], max_rows=max_rows, bound=int(plan[1]))
+    indexed = edges.select(zone, "x1", "y1", "x2", "y2").join(
+        index.select(zone, "level", "size", "y0", "band_h"), zone
+    )
+    hits = sized_join(keyed, zone_tiles(indexed, zone), ["level", "tr", "tc"], max_rows=max_rows, bound=int(plan[1]))
     sure = hits.where("full").select(*carried, zone)
     maybe = hits.where("not full").withColumn("band", F.floor((col(y) - col("y0")) / col("band_h")).cast("long"))
     crossing = ((col("y1") > col(y)) != (col("y2") > col(y))) & (col(x) < edge_x_at(col(y)))
     rest = [c for c in carried if c not in id_cols]
     tested = (
         sized_join(
-            maybe.select(*carried, zone, "band"), zone_bands(edges, index, zone), [zone, "band"], "inner", crossing,
+            maybe.select(*carried, zone, "band"), zone_bands(indexed, zone), [zone, "band"], "inner", crossing,
             max_rows, int(plan[2]),
         )
         .groupBy(*id_cols, zone)
