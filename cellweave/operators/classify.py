@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellweave.operators.quantiles import group_percentiles, value_counts
-from cellweave.session import sized_join
+from cellweave.session import group_sizes, sized_join
 
 col, lit = F.col, F.lit
 
@@ -81,7 +81,7 @@ def _natural(valid: DataFrame, keys: list[str], k: int) -> DataFrame:
     width = (col("hi") - col("lo")) / lit(float(MAX_VALUES))
     binned = F.least(F.floor((col("value") - col("lo")) / width), lit(MAX_VALUES - 1)).cast("double")
     folded = (
-        sized_join(hist, span, keys)
+        sized_join(hist, span, keys, bound=group_sizes(valid, keys)[0])
         .withColumn("__bin", F.when(col("kinds") <= MAX_VALUES, col("value")).otherwise(binned))
         .groupBy(*keys, "__bin")
         .agg(

@@ -63,13 +63,16 @@ def connected_components(mask: DataFrame, keys: Sequence[str] = (), max_rounds:
     edges = cut_lineage(_run_edges(runs, keys))
     parents = []
     for _ in range(max_rounds):
-        if edges.isEmpty():
+        n = edges.count()
+        if n == 0:
             break
         parent = cut_lineage(_contract(edges, keys))
-        parents.append(parent)
+        parents.append((parent, 2 * n))
         pa = parent.select(*keys, "a", col("p").alias("x"))
         pb = parent.select(*keys, col("a").alias("b"), col("p").alias("y"))
-        moved = sized_join(sized_join(edges, pa, [*keys, "a"]), pb, [*keys, "b"])
+        moved = sized_join(
+            sized_join(edges, pa, [*keys, "a"], bound=2 * n), pb, [*keys, "b"], bound=2 * n
+        )
         edges = cut_lineage(
             moved.where(col("x") != col("y"))
             .select(*keys, F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
@@ -79,15 +82,16 @@ def connected_components(mask: DataFrame, keys: Sequence[str] = (), max_rounds:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     if not parents:
         return cells.select(*keys, "r", "c", col("node").alias("component"))
-    label = parents[-1]
-    for parent in reversed(parents[:-1]):
+    label, size = parents[-1]
+    for parent, above in reversed(parents[:-1]):
         upper = label.select(*keys, col("a").alias("p"), col("p").alias("q"))
-        label = sized_join(parent, upper, [*keys, "p"], "left").select(
+        label = sized_join(parent, upper, [*keys, "p"], "left", bound=size).select(
             *keys, "a", F.coalesce("q", "p").alias("p")
         )
+        size = above
     names = label.groupBy(*keys, "p").agg(F.least(F.min("a"), col("p")).alias("component"))
-    label = sized_join(label, names, [*keys, "p"]).select(*keys, col("a").alias("node"), "component")
-    return sized_join(cells, label, [*keys, "node"], "left").select(
+    label = sized_join(label, names, [*keys, "p"], bound=size).select(*keys, col("a").alias("node"), "component")
+    return sized_join(cells, label, [*keys, "node"], "left", bound=size).select(
         *keys, "r", "c", F.coalesce("component", "node").alias("component")
     )
 

@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellweave.operators.components import component_sizes, connected_components
-from cellweave.operators.quantiles import ranked_values, value_counts
-from cellweave.session import sized_join
+from cellweave.operators.quantiles import SMALL_ROWS, ranked_values, value_counts
+from cellweave.session import group_sizes, sized_join
 
 col, lit = F.col, F.lit
 
@@ -72,6 +72,8 @@ def detect_nodata_outlier(
     """``keys, nodata``: an outlying value that dominates the outliers, or a block of equal
     values beyond a wide gap at either end.  Needs 100 pixels and a spread."""
     keys = list(keys)
+    groups, rows = group_sizes(cells, keys)
+    small = rows <= SMALL_ROWS if small is None else small
     hist = value_counts(cells, keys)
     n, v = col("n"), col("value")
     # population moments from raw rows, so that partial aggregation does the work
@@ -79,7 +81,7 @@ def detect_nodata_outlier(
     moments = valid.groupBy(*keys).agg(
         F.count("*").alias("total"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("std")
     ).where((col("total") >= MIN_PIXELS) & (col("std") != 0))
-    join = (lambda a, b: sized_join(a, b, keys)) if keys else (lambda a, b: a.join(F.broadcast(b)))
+    join = (lambda a, b: sized_join(a, b, keys, bound=groups)) if keys else (lambda a, b: a.join(F.broadcast(b)))
     far = join(hist, moments).where(F.abs((v - col("mean")) / col("std")) > lit(float(z)))
     # a value with over half of the outliers is the largest group; ties can not reach a half
     cluster = (
@@ -101,9 +103,9 @@ def detect_nodata_outlier(
         "hi1": lambda t: F.ceil(rank(1 - p)(t)),
     }
     if keys:
-        ranks = ranked_values(hist, keys, targets, small=small)
+        ranks = ranked_values(hist, keys, targets, small=small, groups=groups)
     else:
-        ranks = ranked_values(hist.withColumn("__all", lit(0)), ["__all"], targets, small=small).drop("__all")
+        ranks = ranked_values(hist.withColumn("__all", lit(0)), ["__all"], targets, small=small, groups=1).drop("__all")
     pos = lambda q: rank(q)(col("total")) - F.floor(rank(q)(col("total")))
     low = col("lo0") + (col("lo1") - col("lo0")) * pos(p)
     high = col("hi0") + (col("hi1") - col("hi0")) * pos(1 - p)

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellweave.session import cut_lineage, is_small, sized_join
+from cellweave.session import cut_lineage, group_sizes, sized_join
 
 col, lit = F.col, F.lit
 
@@ -28,6 +28,7 @@ def ranked_values(
     targets: dict[str, Callable[[Column], Column]],
     value: str = "value",
     small: bool | None = None,
+    groups: int | None = None,
 ) -> DataFrame:
     """Values at given 0-based ranks: ``keys, total`` and one column per target.
 
@@ -37,8 +38,9 @@ def ranked_values(
     are ranked row by row.
     """
     keys = list(keys)
-    if small is None:
-        small = is_small(hist, SMALL_ROWS)
+    if small is None or groups is None:
+        groups, rows = group_sizes(hist, keys)
+        small = rows <= SMALL_ROWS if small is None else small
     if small:
         sliced = hist.withColumn("__pid", lit(0))
     else:
@@ -66,7 +68,7 @@ def ranked_values(
     )
     w = Window.partitionBy(*keys, "__pid").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     found = (
-        sized_join(sliced, asked, [*keys, "__pid"])
+        sized_join(sliced, asked, [*keys, "__pid"], bound=groups * len(targets))
         .withColumn("__hi", col("__off") + F.sum("n").over(w))
         .withColumn(
             "__t", F.explode(F.filter("__asked", lambda t: (t["rank"] < col("__hi")) & (t["rank"] >= col("__hi") - col("n"))))
@@ -79,14 +81,19 @@ def ranked_values(
 
 
 def group_percentiles(
-    df: DataFrame, keys: Sequence[str], percents: dict[str, float], value: str = "value", small: bool | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    percents: dict[str, float],
+    value: str = "value",
+    small: bool | None = None,
+    groups: int | None = None,
 ) -> DataFrame:
     """Exact percentiles with linear interpolation: ``keys`` and one column per entry."""
     targets: dict[str, Callable[[Column], Column]] = {}
     for name, p in percents.items():
         targets[f"__lo_{name}"] = lambda n, p=p: F.floor((n - 1) * lit(p / 100.0))
         targets[f"__hi_{name}"] = lambda n, p=p: F.ceil((n - 1) * lit(p / 100.0))
-    ranked = ranked_values(value_counts(df, keys, value), keys, targets, value, small)
+    ranked = ranked_values(value_counts(df, keys, value), keys, targets, value, small, groups)
 
     def between(name: str, p: float) -> Column:
         pos = (col("total") - 1) * lit(p / 100.0)

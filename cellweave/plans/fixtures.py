@@ -6,13 +6,12 @@ The SQL is shared by Spark and the oracle; ``D0`` marks a double literal.
 from __future__ import annotations
 
 import re
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellweave.schema import Grid
-from cellweave.session import ensure_checkpoint_dir
+from cellweave.session import shared_folder as scratch  # noqa: F401
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents")
 
@@ -235,9 +234,3 @@ class Tables:
             sql = re.sub(rf"(?<![.\w{{]){t}(?![.\w}}])", f"{{{t}}}", sql)
             frames[t] = getattr(self, t)
         return self.spark.sql(sql, **frames)
-
-
-def scratch(spark: SparkSession) -> str:
-    """A fresh folder below the checkpoint folder, which all executors share."""
-    ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"

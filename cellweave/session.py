@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,18 +54,35 @@ def sized_join(
     return left.join(right, cond, how).drop("__salt", "__rsalt", *keys.values())
 
 
+def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """``(groups, rows)`` in one pass over the key columns."""
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("__n"))
+    row = sizes.agg(F.count("*"), F.sum("__n")).first()
+    return row[0], row[1] or 0
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A fresh folder below the checkpoint folder, which all executors share."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder the cluster names.
+    """Write the rows to the shared checkpoint folder and read them back.
 
-    ``spark.checkpoint.dir`` is used as given.  Only a local session without it gets a
-    temporary folder; anywhere else a missing folder is an error, because files in a
-    machine-local folder die with the machine.
+    Unlike an RDD checkpoint this takes one job, keeps the columns prunable, and gives the
+    planner the true size.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """``spark.checkpoint.dir`` is used as given.  Only a local session without it gets a
+    temporary folder; anywhere else a missing folder is an error, because files in a
+    machine-local folder die with the machine.
+    """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is not None:
         return
