@@ -117,6 +117,12 @@ def _passed_bound(edges: DataFrame, size: float) -> int:
     return int(edges.agg(F.sum(rows + cols)).first()[0] or 0)
 
 
+def _mean_extent(edges: DataFrame) -> float:
+    """Mean longer side of the edge boxes: a tile of that size holds an edge in a few tiles."""
+    side = F.greatest(F.abs(col("x2") - col("x1")), F.abs(col("y2") - col("y1")))
+    return float(edges.agg(F.avg(side)).first()[0] or 0.0)
+
+
 def _spans_bound(edges: DataFrame, grid, zone: str) -> int:
     """Upper bound of the blocked spans (outline rows times blocks across) of all zones."""
     rows = _steps(F.least("y1", "y2"), F.greatest("y1", "y2"), lit(grid.px_h))
@@ -371,24 +377,23 @@ def within_distance(
     aoi = edges.select(lit(0).alias("__zone"), "x1", "y1", "x2", "y2")
     if distance == 0:
         return points_in_polygons(points, aoi, id_cols, x, y, "__zone", max_rows).drop("__zone")
+    size = max(distance, _mean_extent(aoi))
     near = sized_join(
-        points.withColumns(
-            {"tr": F.floor(col(y) / distance).cast("long"), "tc": F.floor(col(x) / distance).cast("long")}
-        ),
-        dilated_tiles(aoi, distance),
+        points.withColumns({"tr": F.floor(col(y) / size).cast("long"), "tc": F.floor(col(x) / size).cast("long")}),
+        dilated_tiles(aoi, size),
         ["tr", "tc"],
         "left_semi",
         distance_sq(col(x), col(y)) <= lit(distance * distance),
         max_rows,
-        9 * _passed_bound(aoi, distance),
+        9 * _passed_bound(aoi, size),
     ).drop("tr", "tc")
     inside = points_in_polygons(points, aoi, id_cols, x, y, "__zone", max_rows).drop("__zone")
     return near.unionByName(inside).dropDuplicates(id_cols)
 
 
-def dilated_tiles(edges: DataFrame, distance: float) -> DataFrame:
-    """Edges filed under every ``distance``-sized tile that may hold a point near them."""
-    zero, size = lit(0.0), lit(float(distance))
+def dilated_tiles(edges: DataFrame, tile: float) -> DataFrame:
+    """Edges filed under the tiles they pass and the tiles next to those."""
+    zero, size = lit(0.0), lit(float(tile))
     carried = ["x1", "y1", "x2", "y2"]
     rows = traversed_cells(edges, carried, zero, zero, size, size)
     step = F.explode(F.sequence(col("r") - 1, col("r") + 1))
@@ -430,13 +435,19 @@ def _aoi_tiles(aoi: DataFrame, size: float) -> DataFrame:
 
 
 def clip_lines(
-    segments: DataFrame, aoi: DataFrame, id_cols: list[str], tile: float = 0.5, max_rows: int = BROADCAST_ROWS
+    segments: DataFrame,
+    aoi: DataFrame,
+    id_cols: list[str],
+    tile: float | None = None,
+    max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Line segments cut to the AOI: pieces ``id_cols, piece, x1, y1, x2, y2``.
 
     Cut parameters come from a tile join with the outline; a piece between two cuts is kept
-    when its middle lies inside.  ``id_cols`` name one segment.
+    when its middle lies inside.  ``id_cols`` name one segment; ``tile`` defaults to the mean
+    size of the edges.
     """
+    tile = tile or max(_mean_extent(aoi), _mean_extent(segments), 1e-9)
     base = segments.select(*id_cols, "x1", "y1", "x2", "y2")
     dx, dy = col("x2") - col("x1"), col("y2") - col("y1")
     ex, ey = col("ax2") - col("ax1"), col("ay2") - col("ay1")
@@ -482,13 +493,18 @@ def clip_lines(
 
 
 def features_within(
-    features: DataFrame, aoi: DataFrame, id_cols: list[str], tile: float = 0.5, max_rows: int = BROADCAST_ROWS
+    features: DataFrame,
+    aoi: DataFrame,
+    id_cols: list[str],
+    tile: float | None = None,
+    max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Ids of the features that lie wholly inside the AOI.
 
     ``features`` is an edge table.  A feature stays when all its vertices are inside and no
     edge properly crosses the outline.
     """
+    tile = tile or max(_mean_extent(aoi), _mean_extent(features), 1e-9)
     outline = dissolve(aoi)
     start = features.select(*id_cols, col("x1").alias("vx"), col("y1").alias("vy"))
     end = features.select(*id_cols, col("x2").alias("vx"), col("y2").alias("vy"))
@@ -584,6 +600,34 @@ def tile_prefilter(
     return hit.drop("tx", "ty").distinct()
 
 
+def roads_by_place(
+    roads: DataFrame, places: DataFrame, size: float, road: str = "osm_id", place: str = "place_id", iso3: str = "iso3",
+    max_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Roads of a country filed under each of its places whose box they meet.
+
+    One road table serves all places of a country.  The join key is country and tile, so a
+    place only meets the roads around it and not the whole country.  Both sides carry
+    ``min_x, min_y, max_x, max_y``.
+    """
+    sides = ("min_x", "min_y", "max_x", "max_y")
+    cover = lambda lo, hi: F.explode(
+        F.sequence(F.floor(col(lo) / size).cast("long"), F.floor(col(hi) / size).cast("long"))
+    )
+    tiled = lambda df: df.withColumn("tx", cover("min_x", "max_x")).withColumn("ty", cover("min_y", "max_y"))
+    near = tiled(places.select(iso3, place, *sides)).withColumnsRenamed({c: f"p_{c}" for c in sides})
+    # the pair counts in the tile of its common lower corner only, so no duplicates arise
+    first = (F.floor(F.greatest("min_x", "p_min_x") / size) == col("tx")) & (
+        F.floor(F.greatest("min_y", "p_min_y") / size) == col("ty")
+    )
+    overlap = (
+        (col("min_x") <= col("p_max_x")) & (col("max_x") >= col("p_min_x"))
+        & (col("min_y") <= col("p_max_y")) & (col("max_y") >= col("p_min_y"))
+    )
+    hit = sized_join(tiled(roads), near, [iso3, "tx", "ty"], "inner", overlap & first, max_rows)
+    return hit.select(iso3, place, *[c for c in roads.columns if c not in (iso3, *sides)])
+
+
 def geometry_size(parts: str = "parts") -> Column:
     """Number of coordinates over all parts of a feature."""
     return F.aggregate(F.transform(parts, F.size), lit(0), lambda acc, n: acc + n)

@@ -79,50 +79,50 @@ def detect_nodata_outlier(
     # population moments from raw rows, so that partial aggregation does the work
     valid = cells.where(v.isNotNull() & ~F.isnan("value"))
     moments = valid.groupBy(*keys).agg(
-        F.count("*").alias("total"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("std")
-    ).where((col("total") >= MIN_PIXELS) & (col("std") != 0))
+        F.count("*").alias("__total"), F.avg("value").alias("__mean"), F.stddev_pop("value").alias("__std")
+    ).where((col("__total") >= MIN_PIXELS) & (col("__std") != 0))
     join = (lambda a, b: sized_join(a, b, keys, bound=groups)) if keys else (lambda a, b: a.join(F.broadcast(b)))
-    far = join(hist, moments).where(F.abs((v - col("mean")) / col("std")) > lit(float(z)))
+    far = join(hist, moments).where(F.abs((v - col("__mean")) / col("__std")) > lit(float(z)))
     # a value with over half of the outliers is the largest group; ties can not reach a half
     cluster = (
         far.groupBy(*keys)
-        .agg(F.sum("n").alias("far"), F.max_by("value", F.struct("n", "value")).alias("v"), F.max("n").alias("top"), F.max("total").alias("all"))
-        .where((col("top") / col("far") > 0.5) & (col("top") / col("all") > lit(MIN_SHARE)))
-        .select(*keys, col("v").alias("clustered"))
+        .agg(F.sum("n").alias("__far"), F.max_by("value", F.struct("n", "value")).alias("__v"), F.max("n").alias("__top"), F.max("__total").alias("__all"))
+        .where((col("__top") / col("__far") > 0.5) & (col("__top") / col("__all") > lit(MIN_SHARE)))
+        .select(*keys, col("__v").alias("__clustered"))
     )
     rank = lambda q: lambda t: (t - 1) * lit(q)
     targets = {
-        "first": lambda t: lit(0),
-        "last": lambda t: t - 1,
-        "k": lambda t: F.floor(t * 0.01),
-        "before_k": lambda t: F.floor(t * 0.01) - 1,
-        "t": lambda t: F.floor(t * 0.99),
-        "lo0": lambda t: F.floor(rank(p)(t)),
-        "lo1": lambda t: F.ceil(rank(p)(t)),
-        "hi0": lambda t: F.floor(rank(1 - p)(t)),
-        "hi1": lambda t: F.ceil(rank(1 - p)(t)),
+        "__first": lambda t: lit(0),
+        "__last": lambda t: t - 1,
+        "__k": lambda t: F.floor(t * 0.01),
+        "__before_k": lambda t: F.floor(t * 0.01) - 1,
+        "__t": lambda t: F.floor(t * 0.99),
+        "__lo0": lambda t: F.floor(rank(p)(t)),
+        "__lo1": lambda t: F.ceil(rank(p)(t)),
+        "__hi0": lambda t: F.floor(rank(1 - p)(t)),
+        "__hi1": lambda t: F.ceil(rank(1 - p)(t)),
     }
     if keys:
         ranks = ranked_values(hist, keys, targets, small=small, groups=groups)
     else:
         ranks = ranked_values(hist.withColumn("__all", lit(0)), ["__all"], targets, small=small, groups=1).drop("__all")
     pos = lambda q: rank(q)(col("total")) - F.floor(rank(q)(col("total")))
-    low = col("lo0") + (col("lo1") - col("lo0")) * pos(p)
-    high = col("hi0") + (col("hi1") - col("hi0")) * pos(1 - p)
-    span = col("last") - col("first")
+    low = col("__lo0") + (col("__lo1") - col("__lo0")) * pos(p)
+    high = col("__hi0") + (col("__hi1") - col("__hi0")) * pos(1 - p)
+    span = col("__last") - col("__first")
     bottom = (
-        (col("k") - col("first") > 0.1 * span) & (col("first") < low) & (col("before_k") == col("first"))
+        (col("__k") - col("__first") > 0.1 * span) & (col("__first") < low) & (col("__before_k") == col("__first"))
     )
     # the top block starts at its own gap's lower end, so equality and a gap exclude each other
-    top = (col("last") - col("t") > 0.1 * span) & (col("last") > high) & (col("t") == col("last"))
+    top = (col("__last") - col("__t") > 0.1 * span) & (col("__last") > high) & (col("__t") == col("__last"))
     gaps = ranks.where(col("total") >= MIN_PIXELS).select(
-        *keys, F.when(bottom, col("first")).when(top, col("last")).alias("gapped")
+        *keys, F.when(bottom, col("__first")).when(top, col("__last")).alias("__gapped")
     )
     if keys:
         out = moments.select(*keys).join(cluster, keys, "left").join(gaps, keys, "left")
     else:
         out = moments.select(lit(0).alias("__o")).join(cluster, lit(True), "left").join(gaps, lit(True), "left")
-    return out.select(*keys, F.coalesce("clustered", "gapped").alias("nodata"))
+    return out.select(*keys, F.coalesce("__clustered", "__gapped").alias("nodata"))
 
 
 def sample_windows(cells: DataFrame, width: int, height: int, sample_size: int | None) -> DataFrame:

@@ -186,16 +186,6 @@ def union_parts(parts: Sequence[DataFrame]) -> DataFrame | None:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def group_by_country(places: DataFrame, roads: DataFrame, iso3: str = "iso3") -> DataFrame:
-    """Every place with the roads of its country.
-
-    The country is the join key; places are the counted, usually small side.
-    """
-    from cellweave.session import sized_join
-
-    return sized_join(roads, places, [iso3])
-
-
 def batch_outcome(outcomes: DataFrame, keys: Sequence[str] = ("run",)) -> DataFrame:
     """Counts per run, success if any item succeeded.
 

@@ -42,7 +42,7 @@ def buildings_for_aoi(
     box = g.bounds(aoi)
     if token is not None:
         tokens = s2.covering(box.withColumn("one", F.lit(1)), ["one"], level).select(F.col("token").alias(token))
-        buildings = sized_join(buildings, tokens, [token], "left_semi")
+        buildings = sized_join(buildings, tokens, [token], "left_semi", bound=6 * 4**level)
     b = box.first()  # one row
     kept = bd.filter_confidence(buildings, confidence)
     kept = bd.filter_area(kept, min_area, max_area)

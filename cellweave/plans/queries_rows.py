@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from cellweave.functions import text as tx
 from cellweave.operators import buildings as bd
+from cellweave.operators import geometry as gm
 from cellweave.operators import places as pl
 from cellweave.operators import roads as rd
 from cellweave.operators import temporal as tm
@@ -293,14 +294,24 @@ def union_parts(t):
     return pl.union_parts([t.buildings.select(col("building_id").alias("id"), "latitude"), t.places.select(col("place_id").alias("id"), "iso3")])
 
 
-@query("group_by_country", "places highways", """
-select iso3, place_id, osm_id, highway from (select *, case osm_id % 3 when 0 then 'KEN' when 1 then 'GHA' else 'NGA' end as iso3 from highways) h
-join (select iso3 as i, place_id from places where place_id % 50 = 0) p on i = iso3""")
+@query("group_by_country", "places buildings highways", """
+with h as (select osm_id, highway, case osm_id % 3 when 0 then 'KEN' when 1 then 'GHA' else 'NGA' end as iso3, least(x1, x2) as x0, least(y1, y2) as y0,
+  greatest(x1, x2) as x9, greatest(y1, y2) as y9 from highways),
+p as (select place_id, iso3 as country, longitude - 0.3D0 as x0, latitude - 0.3D0 as y0, longitude + 0.3D0 as x9, latitude + 0.3D0 as y9
+  from places join buildings on place_id = building_id)
+select iso3, place_id, osm_id, highway from h join p on iso3 = country and h.x0 <= p.x9 and h.x9 >= p.x0 and h.y0 <= p.y9 and h.y9 >= p.y0""")
 def group_by_country(t):
     k = col("osm_id") % 3
-    roads = t.highways.select("osm_id", "highway", F.when(k == 0, "KEN").when(k == 1, "GHA").otherwise("NGA").alias("iso3"))
-    hubs = t.places.where("place_id % 50 = 0").select("iso3", "place_id")
-    return pl.group_by_country(hubs, roads)
+    iso3 = F.when(k == 0, "KEN").when(k == 1, "GHA").otherwise("NGA")
+    roads = t.highways.select(
+        "osm_id", "highway", iso3.alias("iso3"), F.least("x1", "x2").alias("min_x"), F.least("y1", "y2").alias("min_y"),
+        F.greatest("x1", "x2").alias("max_x"), F.greatest("y1", "y2").alias("max_y"),
+    )
+    x, y = col("longitude"), col("latitude")
+    boxes = t.buildings.select(
+        col("building_id").alias("place_id"), (x - 0.3).alias("min_x"), (y - 0.3).alias("min_y"), (x + 0.3).alias("max_x"), (y + 0.3).alias("max_y")
+    )
+    return gm.roads_by_place(roads, t.places.select("place_id", "iso3").join(boxes, "place_id"), 0.5)
 
 
 @query("batch_outcome", "outcomes", """

@@ -44,7 +44,8 @@ def sized_join(
         left = big
         cond = F.lit(True)
     else:
-        left = big.withColumn("__salt", F.pmod(F.xxhash64(*big.columns), F.lit(SALTS)).cast("int"))
+        hashable = [c for c, kind in big.dtypes if "map<" not in kind]
+        left = big.withColumn("__salt", F.pmod(F.xxhash64(*hashable), F.lit(SALTS)).cast("int"))
         right = right.withColumn("__rsalt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         cond = F.col("__salt") == F.col("__rsalt")
     for k, rk in keys.items():

@@ -195,11 +195,11 @@ def test_constant_fields_stay_constant(spark, method):
 
 @pytest.mark.parametrize("method", ["bilinear", "cubic", "cubic_spline"])
 def test_linear_fields_stay_linear(spark, method):
-    a = np.fromfunction(lambda r, c: 3 * c - 2 * r, (12, 12))
+    a = np.fromfunction(lambda r, c: 3 * c - 2 * r + 100, (12, 12))
     dst = Grid(4.0, 8.0, 0.5, 0.5, 8, 8)
     for r in gr.resample(table(spark, a), SRC, dst, method).collect():
         c, row = (4.0 + (r.c + 0.5) * 0.5) - 0.5, (12 - (8.0 - (r.r + 0.5) * 0.5)) - 0.5
-        assert r.value == pytest.approx(3 * c - 2 * row)
+        assert r.value == pytest.approx(3 * c - 2 * row + 100)
 
 
 def test_no_overlap_is_an_error(spark):
