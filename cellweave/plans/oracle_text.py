@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 from cellweave.functions import crs
-from cellweave.functions.s2 import IJ_TO_POS, POS_TO_ORIENTATION
+from cellweave.functions.s2 import IJ_TO_POS, POS_TO_IJ, POS_TO_ORIENTATION
 
 
 def _d(v: float) -> str:
@@ -72,3 +72,23 @@ def s2_tokens(level: int, points: str, key: str) -> str:
     return f"select {key}, rtrim(lpad(lower(to_hex({number}::ubigint)), 16, '0'), '0') as token from ({sql}) z"
 
 
+
+
+def s2_corners(level: int, cells: str, key: str) -> str:
+    """``key, seq, x, y``: four corners of cells given by ``face`` and ``pos``."""
+    sql = f"select {key}, face, pos, face % 2 as o, 0::bigint as i, 0::bigint as j from ({cells}) c0"
+    ij, turn = list(POS_TO_IJ), list(POS_TO_ORIENTATION)
+    for k in range(level - 1, -1, -1):
+        sql = f"select *, cast((pos >> {2 * k}) & 3 as int) as q from ({sql}) a{k}"
+        sql = f"select *, {ij}[cast(o*4 + q + 1 as int)] as ij from ({sql}) b{k}"
+        sql = f"""select {key}, face, pos, cast(xor(cast(o as int), cast({turn}[q + 1] as int)) as int) as o,
+          i*2 + (ij // 2) as i, j*2 + ij % 2 as j from ({sql}) d{k}"""
+    uv = "case when {0} >= 0.5 then (4*{0}*{0}-1)/3 else (1-4*(1-{0})*(1-{0}))/3 end"
+    n = f"{float(1 << level)!r}"
+    sql = f"""select {key}, face, seq, (i + case when seq in (1, 2) then 1 else 0 end)/{n} as s,
+      (j + case when seq in (2, 3) then 1 else 0 end)/{n} as t from ({sql}) e0, range(4) r(seq)"""
+    sql = f"select {key}, face, seq, {uv.format('s')} as u, {uv.format('t')} as v from ({sql}) e1"
+    sql = f"""select {key}, seq, case face when 0 then 1.0 when 1 then -u when 2 then -u when 3 then -1.0 else v end as x,
+      case face when 0 then u when 1 then 1.0 when 2 then -v when 3 then -v when 4 then -1.0 else u end as y,
+      case face when 0 then v when 1 then v when 2 then 1.0 when 3 then -u when 4 then -u else -1.0 end as z from ({sql}) e2"""
+    return f"select {key}, seq, degrees(atan2(y, x)) as x, degrees(atan2(z, sqrt(x*x + y*y))) as y from ({sql}) e3"

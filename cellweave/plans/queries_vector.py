@@ -280,19 +280,36 @@ def s2_token(t):
     return t.buildings.select("building_id", s2.token(col("latitude"), col("longitude"), 6).alias("token"))
 
 
-@query("s2_polygon")
+TOKENS8 = ot.s2_tokens(8, "select building_id, longitude as lon, latitude as lat from buildings", "building_id")
+FACES8 = f"""select token, cast(n >> 61 as bigint) as face, cast((n >> 45) & 65535 as bigint) as pos from
+  (select distinct token, cast(concat('0x', rpad(token, 16, '0')) as ubigint) as n from ({TOKENS8}) t8) u8"""
+
+
+@query("s2_polygon", "buildings", f"""
+with p as ({ot.s2_corners(8, FACES8, 'token')})
+select token, cast(seq as int) as seq, round(x, 9) as x, round(y, 9) as y from p union all
+select token, 4, round(x, 9), round(y, 9) from p where seq = 0""")
 def s2_polygon(t):
     cells = t.buildings.select(s2.token(col("latitude"), col("longitude"), 8).alias("token")).distinct()
-    return cells.select("token", F.posexplode(s2.token_polygon(col("token"), 8)).alias("seq", "p")).select("token", "seq", "p.x", "p.y")
+    return cells.select("token", F.posexplode(s2.token_polygon(col("token"), 8)).alias("seq", "p")).select(
+        "token", "seq", F.round("p.x", 9).alias("x"), F.round("p.y", 9).alias("y")
+    )
 
 
 def _token_boxes(t):
-    return t.boxes.where("box_id % 3 = 0").select(
+    return t.boxes.select(
         "box_id", col("left_x").alias("min_x"), col("bottom_y").alias("min_y"), col("right_x").alias("max_x"), col("top_y").alias("max_y")
     )
 
 
-@query("s2_covering")
+ALL6 = "select id, cast(id // 4096 as bigint) as face, cast(id % 4096 as bigint) as pos from range(24576) g(id)"
+
+
+@query("s2_covering", "boxes", f"""
+with p as ({ot.s2_corners(6, ALL6, 'id')}),
+b as (select id, min(x) as x0, max(x) as x1, min(y) as y0, max(y) as y1 from p group by id having max(x) - min(x) < 180),
+k as (select *, rtrim(lpad(lower(to_hex(((id // 4096)::hugeint * 2305843009213693952 + (id % 4096)::hugeint * 562949953421312 + 281474976710656)::ubigint)), 16, '0'), '0') as token from b)
+select box_id, token from boxes join k on left_x <= x1 and right_x >= x0 and bottom_y <= y1 and top_y >= y0""")
 def s2_covering(t):
     return s2.covering(_token_boxes(t), ["box_id"], 6)
 
