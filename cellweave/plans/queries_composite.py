@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cellweave.functions import s2
+from cellweave.operators import temporal as tm
 from cellweave.plans import composite as cp
 from cellweave.plans import oracle_text as ot
 from cellweave.plans.fixtures import GRID
@@ -21,9 +22,10 @@ TOUCHED = """c.r between floor((10.0D0 - greatest(e.y1, e.y2))/0.0625D0) and flo
 
 @query("city_enrichment", "cells edges zones", f"""
 with z as (select * from zones where country in (1, 3)), ze as (select e.* from edges e join z on z.zone_id = e.zone_id),
-hit as (select distinct r, c, value from (select c.r, c.c, c.value from cells c join ze e on {INSIDE.format(x='c.x', y='c.y')} where c.month = 4
-  group by c.r, c.c, c.value having count(*) % 2 = 1 union all select c.r, c.c, c.value from cells c join ze e on {TOUCHED} where c.month = 4) q),
-half as (select r // 2 as r, c // 2 as c, avg(value) as value from hit where value <> -9999.0D0 group by r // 2, c // 2),
+peak as (select r, c, x, y, max(value) as value from cells where value <> -9999.0D0 group by r, c, x, y),
+hit as (select distinct r, c, value from (select c.r, c.c, c.value from peak c join ze e on {INSIDE.format(x='c.x', y='c.y')}
+  group by c.r, c.c, c.value having count(*) % 2 = 1 union all select c.r, c.c, c.value from peak c join ze e on {TOUCHED}) q),
+half as (select r // 2 as r, c // 2 as c, avg(value) as value from hit group by r // 2, c // 2),
 hc as (select *, -20.0D0 + (c + 0.5D0)*0.125D0 as x, 10.0D0 - (r + 0.5D0)*0.125D0 as y from half),
 m as (select e.zone_id, h.r, h.c, h.value from hc h join ze e on {INSIDE.format(x='h.x', y='h.y')} group by all having count(*) % 2 = 1),
 s as (select zone_id, round(avg(value), 2) as a, max(value) as b, count(value) as n from m group by zone_id),
@@ -32,7 +34,7 @@ area as (select zone_id, round(abs(sum(x1*y2 - x2*y1)) / 2 / 1000000, 2) as area
 select z.zone_id, z.name, z.country, a as pm25_mean, b as pm25_max, n as pm25_count, area_km2 from z left join s on s.zone_id = z.zone_id
  left join area on area.zone_id = z.zone_id""")
 def city_enrichment(t):
-    cells = t.cells.where("month = 4").select("r", "c", "value")
+    cells = tm.temporal_stat(t.cells.select(*CELL), "max", nodata=-9999.0)
     out = cp.city_enrichment(t.zones, t.edges, cells, GRID, HALF, ["mean", "max", "count"], "pm25", [1, 3])
     return out.withColumns({"pm25_mean": F.round("pm25_mean", 2), "area_km2": F.round("area_km2", 2)})
 

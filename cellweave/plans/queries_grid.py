@@ -85,26 +85,27 @@ FINE = Grid(left=-20.0 + 1 / 64, top=10.0 - 1 / 64, px_w=1 / 32, px_h=1 / 32, wi
 COARSE = Grid(left=-20.0 + 1 / 64, top=10.0 - 1 / 64, px_w=0.25, px_h=0.25, width=60, height=60, nodata=-9999.0)
 MERCATOR = Grid(left=-2220000.0, top=1110000.0, px_w=9000.0, px_h=9000.0, width=120, height=120, crs="EPSG:3857")
 
-# source coordinates, in pixels, of the centre of target row r / column c of the fine grid within the common box
+#: the source pixel size, shifted by a quarter pixel
+SHIFTED = Grid(left=-20.0 + 1 / 64, top=10.0 - 1 / 64, px_w=1 / 16, px_h=1 / 16, width=220, height=220, nodata=-9999.0)
+
+# rows and columns of the fine grid within the common box
 FINE_SIZE = 400
+# number of target rows or columns in the common box, and the source position of the centre of number i
+_AXES = {"fine": (FINE_SIZE, "(i + 0.5D0)/2 + 0.25D0"), "shifted": (200, "(i + 0.5D0) + 0.25D0")}
 
 
-def _kernel_oracle(kernel: str, radius: int, value: str) -> str:
+def _kernel_oracle(kernel: str, radius: int, value: str, target: str) -> str:
+    size, centre = _AXES[target]
     k = lambda d: kernel.replace("{d}", d)
     return f"""
-with src as (select month, r, c, value from cells where value <> -9999.0D0 and month <= 3),
-axis as (select i, (i + 0.5D0)/2 + 0.25D0 as f from range({FINE_SIZE}) q(i)),
+with src as (select month, r, c, value from cells where value <> -9999.0D0),
+axis as (select i, {centre} as f from range({size}) q(i)),
 tap as (select i, s, abs(f - 0.5D0 - s) as d from axis, range(-4, 205) p(s) where abs(f - 0.5D0 - s) <= {radius}),
 w as (select i, s, {k('d')} as w from tap),
 t as (select src.month, a.i as r, b.i as c, a.w * b.w as w, value from src join w a on a.s = src.r join w b on b.s = src.c where a.w * b.w <> 0)
 select month, cast(r as int) as r, cast(c as int) as c, {value} as value from t group by month, r, c having sum(w) > 0.000001"""
 
 
-def _fine(t, method):
-    aligned, _ = gr.align(t.cells.where("month <= 3").select(*CELL), GRID, FINE, method, ["month"])
-    return aligned
-
-
 SINC = "case when {d} = 0 then 1.0D0 else sin(pi()*{d})/(pi()*{d}) end * case when {d} = 0 then 1.0D0 else sin(pi()*{d}/3)/(pi()*{d}/3) end"
 _KERNELS = {
     "bilinear": (1, "greatest(1 - {d}, 0.0D0)", "sum(w*value)/sum(w)"),
@@ -117,22 +118,25 @@ _KERNELS = {
 
 for _method, (_radius, _kernel, _value) in _KERNELS.items():
 
-    def _aligned(t, method=_method):
-        out = _fine(t, method)
+    _target = "fine" if _method == "bilinear" else "shifted"
+
+    def _aligned(t, method=_method, ref=FINE if _target == "fine" else SHIFTED):
+        out, _ = gr.align(t.cells.select(*CELL), GRID, ref, method, ["month"])
         scale = {"cubic_spline": 1000.0, "lanczos": 10000.0}.get(method)
         # inexact weights: compare coarse values, shifted so that whole cents are never ties
         return out if scale is None else out.withColumn("value", F.round(col("value") / scale + 0.3 / scale))
 
-    query(f"align_{_method}", "cells", _kernel_oracle(_kernel, _radius, _value))(_aligned)
+    query(f"align_{_method}", "cells", _kernel_oracle(_kernel, _radius, _value, _target))(_aligned)
 
 
 @query("align_nearest", "cells", f"""
 select month, cast(a.i as int) as r, cast(b.i as int) as c, value from cells
  join (select i, floor((i + 0.5D0)/2 + 0.25D0) as s from range({FINE_SIZE}) q(i)) a on a.s = cells.r
  join (select i, floor((i + 0.5D0)/2 + 0.25D0) as s from range({FINE_SIZE}) q(i)) b on b.s = cells.c
-where value <> -9999.0D0 and month <= 3""")
+where value <> -9999.0D0""")
 def align_nearest(t):
-    return _fine(t, "nearest")
+    aligned, _ = gr.align(t.cells.select(*CELL), GRID, FINE, "nearest", ["month"])
+    return aligned
 
 
 COARSE_AXIS = """select i, s, least((i + 1)*4 + 0.25D0, s + 1.0D0) - greatest(i*4 + 0.25D0, s*1.0D0) as w from range(50) q(i), range(200) p(s)

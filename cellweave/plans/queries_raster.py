@@ -70,28 +70,29 @@ def cells_in_zones(t):
     return g.cells_in_zones(t.cells.select(*CELL), t.edges, GRID)
 
 
-@query("enrich_zones", "cells edges zones", MEMBERS + """
-, s as (select zone_id, month, avg(value) as a, max(value) as b, min(value) as c from m
-        where value <> -9999.0D0 group by zone_id, month)
-select z.zone_id, z.name, z.country,
-  max(case when month = 1 then a end) as pm25_jan_mean, max(case when month = 1 then b end) as pm25_jan_max,
-  max(case when month = 1 then c end) as pm25_jan_min, max(case when month = 7 then a end) as pm25_jul_mean,
-  max(case when month = 7 then b end) as pm25_jul_max, max(case when month = 7 then c end) as pm25_jul_min
-from zones z left join s on z.zone_id = s.zone_id group by z.zone_id, z.name, z.country""")
+_MONTHLY = ", ".join(
+    f"max(case when month = {m} then a end) as m{m:02d}_mean, max(case when month = {m} then b end) as m{m:02d}_max" for m in range(1, 13)
+)
+
+
+@query("enrich_zones", "cells edges zones", MEMBERS + f"""
+, s as (select zone_id, month, avg(value) as a, max(value) as b from m where value <> -9999.0D0 group by zone_id, month)
+select z.zone_id, z.name, z.country, {_MONTHLY} from zones z left join s on z.zone_id = s.zone_id group by z.zone_id, z.name, z.country""")
 def enrich_zones(t):
-    return zn.enrich_by_key(t.zones, t.cells.select(*CELL), t.edges, GRID, "month", {1: "pm25_jan", 7: "pm25_jul"})
+    names = {m: f"m{m:02d}" for m in range(1, 13)}
+    return zn.enrich_by_key(t.zones, t.cells.select(*CELL), t.edges, GRID, "month", names, ["mean", "max"])
 
 
 @query("enrich_zones_datasets", "cells edges zones", MEMBERS + """
 , s as (select zone_id, avg(value) as a, max(value) as b from m where value <> -9999.0D0 and month <= 6 group by zone_id)
-, u as (select zone_id, avg(value) as a, max(value) as b from m where value <> -9999.0D0 and month > 6 and r < 90 group by zone_id)
-select z.zone_id, z.name, z.country, s.a as first_half_mean, s.b as first_half_max, u.a as north_mean, u.b as north_max
+, u as (select zone_id, avg(value) as a, max(value) as b from m where value <> -9999.0D0 and month > 6 group by zone_id)
+select z.zone_id, z.name, z.country, s.a as first_half_mean, s.b as first_half_max, u.a as second_half_mean, u.b as second_half_max
 from zones z left join s on z.zone_id = s.zone_id left join u on z.zone_id = u.zone_id""")
 def enrich_zones_datasets(t):
     cells = t.cells.select(*CELL)
     parts = {
         "first_half": (cells.where("month <= 6"), GRID),
-        "north": (cells.where("month > 6 and r < 90"), GRID),
+        "second_half": (cells.where("month > 6"), GRID),
     }
     return zn.enrich(t.zones, parts, t.edges, ["mean", "max"])
 
@@ -238,16 +239,20 @@ def detect_nodata_outlier(t):
 
 
 @query("detect_nodata", "cells", """
-with w as (select *, 1 as hits from cells where r between 36 and 163 and c between 36 and 163
-  union all select *, 1 from cells where r <= 127 and c <= 127),
-base as (select month as k, value as v from w)
+with base as (select month as k, value as v from cells)
 """ + OUTLIER + """
 , common as (select k, case when count(case when v = -9999.0D0 then 1 end) > 0.001 * count(*) then -9999.0D0 end as v from base group by k)
 select common.k as month, coalesce(common.v, pick.v, gap.v) as nodata from common left join pick on common.k = pick.k
 left join gap on common.k = gap.k""")
 def detect_nodata(t):
-    sample = nd.sample_windows(t.cells.select(*CELL), 200, 200, 16500)
-    return nd.detect_nodata(sample, ["month"])
+    return nd.detect_nodata(t.cells.select(*CELL), ["month"])
+
+
+@query("sample_windows", "cells", """
+select month, r, c, value from cells where r between 36 and 163 and c between 36 and 163 union all
+select month, r, c, value from cells where r <= 127 and c <= 127""")
+def sample_windows(t):
+    return nd.sample_windows(t.cells.select(*CELL), 200, 200, 16500)
 
 
 MASK = "value > 7000000.0D0"

@@ -8,6 +8,7 @@ from cellweave.functions import crs, s2
 from cellweave.operators import geometry as g
 from cellweave.operators import quality as ql
 from cellweave.operators import roads as rd
+from cellweave.operators.buildings import filter_bbox
 from cellweave.plans import oracle_text as ot
 from cellweave.plans.fixtures import GRID, scratch
 from cellweave.plans.registry import query
@@ -89,13 +90,13 @@ def clip_lines(t):
 
 
 @query("tile_prefilter", "boxes buildings", """
-with a as (select longitude as x0, latitude - 5 as y0, longitude + 0.5D0 as x1, latitude - 4.75D0 as y1 from buildings where confidence > 0.9)
+with a as (select longitude as x0, latitude - 5 as y0, longitude + 0.5D0 as x1, latitude - 4.75D0 as y1 from buildings)
 select box_id, left_x as min_x, bottom_y as min_y, right_x as max_x, top_y as max_y from boxes
 where exists (select 1 from a where left_x <= a.x1 and right_x >= a.x0 and bottom_y <= a.y1 and top_y >= a.y0)""")
 def tile_prefilter(t):
     features = t.boxes.select("box_id", col("left_x").alias("min_x"), col("bottom_y").alias("min_y"), col("right_x").alias("max_x"), col("top_y").alias("max_y"))
     x, y = col("longitude"), col("latitude")
-    aoi = t.buildings.where("confidence > 0.9").select(
+    aoi = t.buildings.select(
         x.alias("min_x"), (y - 5).alias("min_y"), (x + 0.5).alias("max_x"), (y - 4.75).alias("max_y")
     )
     return g.tile_prefilter(features, aoi, 0.5)
@@ -334,7 +335,7 @@ def count_per_s2_cell(t):
 
 @query("scan_by_cell_token", "buildings", f"""
 with tok as ({{inner}}) select b.building_id, token as s2_token from tok join buildings b on b.building_id = tok.building_id
-where token in (select token from tok where building_id < 20)""".replace(
+where token in (select token from tok join buildings a on a.building_id = tok.building_id where a.longitude between -18 and -14 and a.latitude between 2 and 8)""".replace(
     "{inner}", ot.s2_tokens(6, "select building_id, longitude as lon, latitude as lat from buildings", "building_id")
 ))
 def scan_by_cell_token(t):
@@ -342,5 +343,5 @@ def scan_by_cell_token(t):
     keyed = t.buildings.withColumn("s2_token", s2.token(col("latitude"), col("longitude"), 6))
     # tokens such as 01e1 must stay text: partition types are not guessed
     vc.write_buildings_by_token(keyed, path)
-    tokens = keyed.where("building_id < 20").select("s2_token")
+    tokens = filter_bbox(keyed, (-18, 2, -14, 8)).select("s2_token")
     return vc.scan_by_cell_token(t.spark, path, tokens, schema=keyed.schema).select("building_id", "s2_token")
