@@ -106,20 +106,17 @@ def natural_breaks(groups: pd.DataFrame, k: int) -> list[float]:
     m = len(groups)
     k = min(k, m)
 
-    def spread(starts: np.ndarray, end: int) -> np.ndarray:
-        dw, d1, d2 = w[end] - w[starts], s1[end] - s1[starts], s2[end] - s2[starts]
-        return np.maximum(d2 - d1 * d1 / dw, 0.0)
-
-    cost = np.array([0.0] + [spread(np.array([0]), e)[0] for e in range(1, m + 1)])
+    # spread[i, e]: squared deviation of values i..e-1; at most 1024 by 1024 numbers
+    start, end = np.arange(m)[:, None], np.arange(m + 1)[None, :]
+    dw, d1, d2 = w[end] - w[start], s1[end] - s1[start], s2[end] - s2[start]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        spread = np.where(end > start, np.maximum(d2 - d1 * d1 / dw, 0.0), np.inf)
+    cost = spread[0]
     choice = np.zeros((k + 1, m + 1), dtype=int)
     for c in range(2, k + 1):
-        best = np.full(m + 1, np.inf)
-        for end in range(c, m + 1):
-            starts = np.arange(c - 1, end)
-            total = cost[starts] + spread(starts, end)
-            at = int(np.argmin(total))
-            best[end], choice[c, end] = total[at], starts[at]
-        cost = best
+        total = cost[:m, None] + spread
+        choice[c] = np.argmin(total, axis=0)
+        cost = total[choice[c], np.arange(m + 1)]
     ends, end = [], m
     for c in range(k, 0, -1):
         ends.append(end)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +14,9 @@ from cellweave.session import cut_lineage, sized_join
 
 col, lit = F.col, F.lit
 
+#: a contracted graph counted to have at most this many edges is finished in one step
+FINISH_EDGES = 50_000
+
 
 def _runs(mask: DataFrame, keys: list[str]) -> DataFrame:
     """Cells with the first column ``c0`` of their horizontal run."""
@@ -49,7 +54,34 @@ def _contract(edges: DataFrame, keys: list[str]) -> DataFrame:
     return best.select(*keys, "a", F.least(col("m"), rank("a"))["v"].alias("p"))
 
 
-def connected_components(mask: DataFrame, keys: Sequence[str] = (), max_rounds: int = 64) -> DataFrame:
+def _settle(edges: DataFrame, keys: list[str]) -> DataFrame:
+    """Roots of a graph of bounded size, one small table per key."""
+
+    def roots(pdf: pd.DataFrame) -> pd.DataFrame:
+        nodes, at = np.unique(pdf[["a", "b"]].to_numpy(), return_inverse=True)
+        a, b = at.reshape(-1, 2).T
+        label = np.arange(len(nodes))
+        while True:
+            low = np.minimum(label[a], label[b])
+            new = label.copy()
+            np.minimum.at(new, a, low)
+            np.minimum.at(new, b, low)
+            new = new[new]
+            if np.array_equal(new, label):
+                break
+            label = new
+        out = pd.DataFrame({"a": nodes, "p": nodes[label]})
+        for k in keys:
+            out[k] = pdf[k].iloc[0]
+        return out[[*keys, "a", "p"]]
+
+    schema = edges.select(*keys, "a", col("a").alias("p")).schema
+    return edges.groupBy(*keys).applyInPandas(roots, schema)
+
+
+def connected_components(
+    mask: DataFrame, keys: Sequence[str] = (), max_rounds: int = 64, finish_edges: int = FINISH_EDGES
+) -> DataFrame:
     """``keys, r, c, component`` for every row of ``mask`` (cells that are on).
 
     Cells first fold into horizontal runs.  The run graph is then contracted: every node
@@ -66,6 +98,9 @@ def connected_components(mask: DataFrame, keys: Sequence[str] = (), max_rounds:
         n = edges.count()
         if n == 0:
             break
+        if n <= finish_edges:
+            parents.append((cut_lineage(_settle(edges, keys)), 2 * n))
+            break
         parent = cut_lineage(_contract(edges, keys))
         parents.append((parent, 2 * n))
         pa = parent.select(*keys, "a", col("p").alias("x"))

@@ -53,12 +53,13 @@ def test_nan_is_not_above_a_limit(spark):
     assert outside == [0.0, 0.0, 1.0]
 
 
-def test_components_of_random_masks(spark):
+@pytest.mark.parametrize("finish", [0, 10**6])
+def test_components_of_random_masks(spark, finish):
     rnd = np.random.default_rng(1)
     mask = rnd.random((40, 60)) < 0.58
     mask[5, :] = mask[:, 7] = True
     df = spark.createDataFrame([(0, int(r), int(c)) for r, c in np.argwhere(mask)], "k int, r int, c int")
-    got = {(r.r, r.c): r.component for r in cc.connected_components(df, ["k"]).collect()}
+    got = {(r.r, r.c): r.component for r in cc.connected_components(df, ["k"], finish_edges=finish).collect()}
     seen, label = set(), {}
     for start in map(tuple, np.argwhere(mask)):
         if start in seen:
