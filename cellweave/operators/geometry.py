@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cellweave.functions.crs import projection
 from cellweave.session import BROADCAST_ROWS, sized_join
 
 col, lit = F.col, F.lit
@@ -153,13 +154,27 @@ def _blocks(spans: DataFrame, grid, first: Column, last: Column) -> DataFrame:
     )
 
 
+def on_grid_crs(edges: DataFrame, grid, crs: str | None) -> DataFrame:
+    """Edges in the CRS of the raster; a missing name means EPSG:4326."""
+    if (crs or "EPSG:4326") == grid.crs:
+        return edges
+    return project_edges(edges, projection(crs, grid.crs))
+
+
 def cells_in_zones(
-    cells: DataFrame, edges: DataFrame, grid, zone: str = "zone_id", max_rows: int = BROADCAST_ROWS
+    cells: DataFrame,
+    edges: DataFrame,
+    grid,
+    zone: str = "zone_id",
+    max_rows: int = BROADCAST_ROWS,
+    crs: str | None = None,
 ) -> DataFrame:
     """Cells joined to every zone that contains their centre (adds the zone column).
 
-    Cells are never exploded, and not shuffled while the spans fit a broadcast.
+    Cells are never exploded, and not shuffled while the spans fit a broadcast.  Edges in
+    another CRS (``crs``) are projected to the raster's.
     """
+    edges = on_grid_crs(edges, grid, crs)
     x = grid.x("c")
     return sized_join(
         cells.withColumn("blk", F.floor(col("c") / BLOCK).cast("int")),
@@ -180,12 +195,14 @@ def clip_raster(
     crop: bool = True,
     fill: bool = False,
     max_rows: int = BROADCAST_ROWS,
+    crs: str | None = None,
 ) -> DataFrame:
     """Cells of the AOI: by centre, or by any contact with ``all_touched``.
 
     ``crop`` keeps only the rows and columns of the AOI box; with ``fill`` the cells of that
     window outside the AOI stay with the nodata value (0 when the raster has none).
     """
+    edges = on_grid_crs(edges, grid, crs)
     anchored = edges.select(lit(0).alias("__zone"), "x1", "y1", "x2", "y2")
     x = grid.x("c")
     spans = zone_spans(anchored, grid, "__zone").select(

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,6 +70,7 @@ def zonal_stats(
     by: Sequence[str] = (),
     zone: str = "zone_id",
     small: bool | None = None,
+    crs: str | None = None,
 ) -> DataFrame:
     """One row per zone and ``by`` key (raster) over the valid cells of the zone.
 
@@ -79,7 +82,7 @@ def zonal_stats(
     if ranks and small is None:
         small = is_small(cells.select("r"), SMALL_ROWS)  # zones may overlap, cells bound each zone
     valid = mask_nodata(cells.select(*by, "r", "c", "value"), grid.nodata)
-    members = cells_in_zones(valid, edges, grid, zone)
+    members = cells_in_zones(valid, edges, grid, zone, crs=crs)
     return grouped_stats(members, [zone, *by], stats, small=small)
 
 
@@ -89,16 +92,25 @@ def enrich(
     edges: DataFrame,
     stats: Sequence[str] = DEFAULT_STATS,
     zone: str = "zone_id",
+    crs: str | None = None,
 ) -> DataFrame:
     """All zone columns plus ``{dataset}_{stat}`` for every raster; no overlap gives NULL.
 
-    Every raster may have its own grid.  All rasters are reduced together and pivoted with
+    Every raster may have its own grid and CRS; zones in ``crs`` are projected to it.  A
+    raster that can not be used is skipped with a warning and leaves NULL columns.  All rasters are reduced together and pivoted with
     an explicit list, so no extra pass finds the names.
     """
-    parts = [
-        zonal_stats(cells, edges, grid, stats, zone=zone).withColumn("dataset", F.lit(name))
-        for name, (cells, grid) in datasets.items()
-    ]
+    split_stats(stats)  # an unknown statistic is an error, not a failed raster
+    parts = []
+    for name, (cells, grid) in datasets.items():
+        try:
+            part = zonal_stats(cells, edges, grid, stats, zone=zone, crs=crs)
+        except (ValueError, AnalysisException) as problem:
+            warnings.warn(f"skipped raster {name}: {problem}", stacklevel=2)
+            continue
+        parts.append(part.withColumn("dataset", F.lit(name)))
+    if not parts:
+        raise ValueError("none of the rasters could be used")
     wide = reduce(DataFrame.unionByName, parts).groupBy(zone)
     columns = [
         F.max(F.when(F.col("dataset") == name, F.col(s))).alias(f"{name}_{s}") for name in datasets for s in stats

@@ -254,3 +254,19 @@ def test_empty_zone_keeps_a_row(spark):
     cells = table(spark, np.arange(144.0).reshape(12, 12))
     out = zn.enrich(zones, {"d": (cells, SRC)}, edges.unionByName(far), ["count", "mean"]).orderBy("zone_id").collect()
     assert out[0].d_count == 16 and out[1].d_count is None and out[1].d_mean is None
+
+
+def test_zones_are_projected_to_the_raster(spark):
+    """A raster in another CRS, and one in a CRS without a projection."""
+    m = 111319.49079327358  # metres per degree of longitude in web Mercator
+    ring = [(1.0, 1.0), (5.0, 1.0), (5.0, 5.0), (1.0, 5.0), (1.0, 1.0)]
+    rows = [(7, *a, *b) for a, b in zip(ring, ring[1:])]
+    edges = spark.createDataFrame(rows, "zone_id int, x1 double, y1 double, x2 double, y2 double")
+    zones = edges.select("zone_id").distinct()
+    cells = table(spark, np.ones((12, 12)))
+    mercator = Grid(0.0, 12 * m, m, m, 12, 12, crs="EPSG:3857")
+    unknown = Grid(0.0, 12.0, 1.0, 1.0, 12, 12, crs="EPSG:2154")
+    with pytest.warns(UserWarning, match="skipped raster odd"):
+        out = zn.enrich(zones, {"plain": (cells, SRC), "merc": (cells, mercator), "odd": (cells, unknown)}, edges, ["count"])
+    r = out.first()
+    assert (r.plain_count, r.merc_count, r.odd_count) == (16, 16, None)
