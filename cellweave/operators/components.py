@@ -79,20 +79,16 @@ def _settle(edges: DataFrame, keys: list[str]) -> DataFrame:
     return edges.groupBy(*keys).applyInPandas(roots, schema)
 
 
-def connected_components(
-    mask: DataFrame, keys: Sequence[str] = (), max_rounds: int = 64, finish_edges: int = FINISH_EDGES
-) -> DataFrame:
-    """``keys, r, c, component`` for every row of ``mask`` (cells that are on).
-
-    Cells first fold into horizontal runs.  The run graph is then contracted: every node
-    joins its smallest-hash neighbour and the graph is rebuilt on the survivors, which
-    shrinks it by a constant factor per round, so rounds grow with log(size) and not with
-    the diameter.  A component is named by its smallest (row, first column) run.
+def edge_components(
+    edges: DataFrame, keys: Sequence[str] = (), max_rounds: int = 64, finish_edges: int = FINISH_EDGES
+) -> tuple[DataFrame, int] | None:
+    """``keys, a, p``: the root of every node of an undirected graph of pairs ``a, b``, and a bound of its rows.
+
+    Every node joins its smallest-hash neighbour and the graph is rebuilt on the survivors, which
+    shrinks it by a constant factor per round, so rounds grow with log(size) and not with the
+    diameter.  ``edges`` should be a written table.  None for a graph without edges.
     """
     keys = list(keys)
-    cells = _runs(mask, keys)
-    runs = cut_lineage(cells.groupBy(*keys, "r", "c0", "node").agg(F.max("c").alias("c1")))
-    edges = cut_lineage(_run_edges(runs, keys))
     parents = []
     for _ in range(max_rounds):
         n = edges.count()
@@ -116,7 +112,7 @@ def connected_components(
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     if not parents:
-        return cells.select(*keys, "r", "c", col("node").alias("component"))
+        return None
     label, size = parents[-1]
     for parent, above in reversed(parents[:-1]):
         upper = label.select(*keys, col("a").alias("p"), col("p").alias("q"))
@@ -124,6 +120,25 @@ def connected_components(
             *keys, "a", F.coalesce("q", "p").alias("p")
         )
         size = above
+    return label, size
+
+
+def connected_components(
+    mask: DataFrame, keys: Sequence[str] = (), max_rounds: int = 64, finish_edges: int = FINISH_EDGES
+) -> DataFrame:
+    """``keys, r, c, component`` for every row of ``mask`` (cells that are on).
+
+    Cells first fold into horizontal runs, whose graph ``edge_components`` contracts.
+    A component is named by its smallest (row, first column) run.
+    """
+    keys = list(keys)
+    cells = _runs(mask, keys)
+    runs = cut_lineage(cells.groupBy(*keys, "r", "c0", "node").agg(F.max("c").alias("c1")))
+    edges = cut_lineage(_run_edges(runs, keys))
+    found = edge_components(edges, keys, max_rounds, finish_edges)
+    if found is None:
+        return cells.select(*keys, "r", "c", col("node").alias("component"))
+    label, size = found
     names = label.groupBy(*keys, "p").agg(F.least(F.min("a"), col("p")).alias("component"))
     label = sized_join(label, names, [*keys, "p"], bound=size).select(*keys, col("a").alias("node"), "component")
     return sized_join(cells, label, [*keys, "node"], "left", bound=size).select(
