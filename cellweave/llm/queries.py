@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cellweave.llm.bpe import decoder, encoder
 from cellweave.llm.common import table
 from cellweave.llm.near_dedup import near_duplicates
 
@@ -61,3 +62,22 @@ from sets join roots using (doc_id)"""
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), k=3, num=85)
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
+def _tokenizer() -> str:
+    """Where the public tokenizer's file lies; a package of the environment, not of this library."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op9_bpe")
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = docs.select("doc_id", encoder(spark, _tokenizer())("text").alias("ids"))
+    return ids.select("doc_id", "ids", decoder(spark, _tokenizer())("ids").alias("decoded")).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
