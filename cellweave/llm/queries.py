@@ -7,9 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cellweave.llm.archives import through_archives
 from cellweave.llm.bpe import decoder, encoder
 from cellweave.llm.common import table
+from cellweave.llm.decontaminate import matches
+from cellweave.llm.fingerprint import compare_edited
+from cellweave.llm.html_text import extract
+from cellweave.llm.language import identify_held_out
+from cellweave.llm.licences import scan
+from cellweave.llm.line_dedup import drop_recurring_lines, lines_of
 from cellweave.llm.near_dedup import near_duplicates
+from cellweave.llm.sharding import shard_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -64,7 +72,7 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
-def _tokenizer() -> str:
+def tokenizer_path() -> str:
     """Where the public tokenizer's file lies; a package of the environment, not of this library."""
     import public_tokenizers
 
@@ -74,10 +82,116 @@ def _tokenizer() -> str:
 @query("op9_bpe")
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = docs.select("doc_id", encoder(spark, _tokenizer())("text").alias("ids"))
-    return ids.select("doc_id", "ids", decoder(spark, _tokenizer())("ids").alias("decoded")).select(
+    ids = docs.select("doc_id", encoder(spark, tokenizer_path())("text").alias("ids"))
+    return ids.select("doc_id", "ids", decoder(spark, tokenizer_path())("ids").alias("decoded")).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op3_language")
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_held_out(table(spark, sf_dir, "documents"))
+
+
+@query("op5_sharding")
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = shard_documents(table(spark, sf_dir, "documents"), shards=40)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query("op10_decontamination")
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = matches(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("__matches").alias("m")).select(
+        "doc_id", F.col("m.item").alias("item_id"), "m.coverage", "m.matched", "m.tokens", "m.tiles"
+    )
+
+
+@query("op8_fingerprints")
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_edited(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+LINES_SQL = r"""
+with src as (
+  select doc_id, text, string_split(text, chr(10)) as all_lines from documents),
+cut as (
+  select doc_id, text, pos, list_filter(regexp_split_to_array(line, '[ \t\x0B\f\r]+'), lambda t: t <> '') as raw
+  from (select doc_id, text, unnest(all_lines) as line, unnest(range(len(all_lines))) as pos from src)),
+lines as (
+  select doc_id, text, pos, t, len(t) as n, concat(len(t), '|', array_to_string(t[1:3], '|')) as leaf, array_to_string(t, ' ') as body
+  from (select *, list_transform(raw, lambda x: case when regexp_matches(x, '[0-9]') then '<*>' else x end) as t from cut)
+  where len(t) >= 3),
+leaves as (select leaf, count(distinct text) as leaf_texts from lines group by leaf having count(distinct text) >= 10),
+forms as (
+  select leaf, body, any_value(t) as t, any_value(n) as n, count(distinct text) as texts, any_value(leaf_texts) as leaf_texts
+  from lines join leaves using (leaf) group by leaf, body),
+places as (
+  select leaf, body, texts, leaf_texts, n, unnest(t) as token, unnest(range(n)) as place from forms),
+constant as (
+  select leaf, place, token from places group by leaf, place, token
+  having sum(texts) >= 10 and sum(texts) >= 0.1 * any_value(leaf_texts)),
+patterns as (
+  select p.leaf, p.body, any_value(n) as n, count(c.token) as n_constant,
+    string_agg(concat(p.place, ':', c.token), ' ' order by p.place) filter (c.token is not null) as pattern
+  from places p left join constant c on p.leaf = c.leaf and p.place = c.place and p.token = c.token
+  group by p.leaf, p.body),
+named as (
+  select leaf, body, case when n_constant >= 0.7 * n then concat('pattern ', pattern) else concat('own ', body) end as template from patterns),
+mine as (
+  select doc_id, text, pos, concat(leaf, '#', template) as template from lines join named using (leaf, body)),
+recurring as (select template from mine group by template having count(distinct text) >= 10),
+ranked as (
+  select doc_id, pos, row_number() over (partition by template order by doc_id, pos) as k
+  from mine join recurring using (template)),
+drops as (select doc_id, list_sort(list(pos)) as dropped from ranked where k > 1 group by doc_id)
+select doc_id, cast(len(all_lines) as bigint) as n_lines, cast(coalesce(len(dropped), 0) as bigint) as n_dropped,
+  case when dropped is null then text else array_to_string(list_transform(
+    list_filter(range(len(all_lines)), lambda i: not list_contains(dropped, i)), lambda i: all_lines[i + 1]), chr(10)) end as text
+from src left join drops using (doc_id)"""
+
+
+@query("op2_line_dedup", LINES_SQL)
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", lines_of(F.col("text")).alias("lines"))
+    found = drop_recurring_lines(docs.withColumn("n_lines", F.size("lines").cast("long")).drop("lines"))
+    return found.select("doc_id", "n_lines", F.size("__dropped").cast("long").alias("n_dropped"), "text")
+
+
+WARC_SQL = """
+with p as (select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as h from pages),
+g as (select html, max(page_id) as first from p group by html)
+select page_id, cast(octet_length(encode(p.html)) as bigint) as payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + cast(
+    list_sum(list_transform(range(5), lambda j: cast((cast(concat('0x', substr(h, 1 + cast(floor((i * 5 + j) / 4) as bigint), 1)) as int)
+      >> cast(3 - (i * 5 + j) % 4 as int)) & 1 as int) * (1 << cast(4 - j as int)))) as bigint), 1)), '') as payload_digest,
+  case when page_id = first then 'response' else 'revisit' end as record_type,
+  case when page_id = first then null else first end as refers_to
+from p join g on p.html = g.html"""
+
+
+@query("op6_warc", WARC_SQL)
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return through_archives(table(spark, sf_dir, "pages"))
+
+
+@query("op1_html_text")
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", extract(F.col("html")).alias("text"))
+
+
+@query("op7_licences")
+def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "license", F.array_join("notices", ",").alias("notices"))
