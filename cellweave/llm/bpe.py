@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from itertools import chain, islice
 
 import numpy as np
@@ -14,15 +15,17 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 #: Words whose ids a worker remembers; beyond that it starts afresh, which changes no result.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 #: Resolved arcs that a worker remembers.
-CACHE_ARCS = 2_000_000
+CACHE_ARCS = 200_000
 #: Words of a text that are turned into ids at once.
 STEP_WORDS = 200_000
 
 #: Fixed value: the pre-tokenizer's pattern.
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|{L}+|{N}|{other}+"
 SUFFIX = "</w>"
+_SPACE = regex.compile(r"\p{White_Space}+")
+_SEPARATORS = re.compile("[\x1c-\x1f]")
 #: Lower forms of capitals newer than Python's own tables, first and last capital and distance.
 NEW_CAPITALS = [
     (0x1C89, 0x1C89, 1), (0xA7CB, 0xA7CB, 0x264 - 0xA7CB), (0xA7CC, 0xA7CC, 1), (0xA7CE, 0xA7CE, 1),
@@ -62,6 +65,15 @@ def byte_letters() -> list[str]:
     return [chr(b if b in visible else next(spare)) for b in range(256)]
 
 
+def labels_of(spec: dict) -> list[str]:
+    """The label of every id."""
+    named = [*spec["model"]["vocab"].items(), *((x["content"], x["id"]) for x in spec["added_tokens"])]
+    labels = [""] * (1 + max(i for _, i in named))
+    for text, i in named:
+        labels[i] = text
+    return labels
+
+
 class Automaton:
     """Deterministic automaton over tokens that accepts exactly the tokenizations the merges lead to.
 
@@ -87,11 +99,9 @@ class Automaton:
         model = spec["model"]
         vocab: dict[str, int] = model["vocab"]
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
+        self.labels = labels_of(spec)
         self.plain, self.exact, self.newer = _patterns()
         self.lower = {c: c + by for first, last, by in NEW_CAPITALS for c in range(first, last + 1)}
-        self.labels = [""] * (1 + max([*vocab.values(), *self.special.values()]))
-        for text, i in [*vocab.items(), *self.special.items()]:
-            self.labels[i] = text
         n = len(self.labels)
         self.left, self.right, self.rank = [-1] * n, [-1] * n, [-1] * n
         self.cut: dict[int, int] = {}
@@ -178,19 +188,22 @@ class Automaton:
             j = back[j]
         return tuple(reversed(out))
 
-    def words(self, text: str) -> Iterator[str]:
-        """Normalised, pre-split words of a text without special tokens."""
+    def lowered(self, text: str) -> str:
+        """Normal form of a text without special tokens."""
         text = unicodedata.normalize("NFC", text)
         if "Σ" in text:
             text = text.replace("Σ", "σ")  # letters are lowered one by one, without a final form
-        text = text.lower()
+        return text.lower()
+
+    def words(self, text: str) -> list[str]:
+        """Pre-split words of a normal text."""
         if text.isascii() or not self.newer.search(text):
-            return (m.group() for m in self.plain.finditer(text))
-        return (m.group() for m in self.exact.finditer(text.translate(self.lower)))
+            return self.plain.findall(text)
+        return self.exact.findall(text.translate(self.lower))
 
 
 class Encoder:
-    """The automaton with a bounded memory of words."""
+    """The automaton with a bounded memory of what lies between white space."""
 
     def __init__(self, definition: str):
         self.automaton = Automaton(definition)
@@ -198,40 +211,54 @@ class Encoder:
         special = "|".join(map(regex.escape, sorted(self.automaton.special, key=len, reverse=True)))
         self.special = regex.compile(f"({special})") if special else None
 
-    def _word(self, word: str) -> tuple[int, ...]:
+    def _chunk(self, chunk: str) -> tuple[int, ...]:
         if len(self.known) >= CACHE_WORDS:
             self.known.clear()
-        out = self.automaton.encode(word.encode())
-        if len(word) <= 64:
-            self.known[word] = out
+        out: tuple[int, ...] = ()
+        for word in self.automaton.words(chunk):
+            ids = self.known.get(word)
+            if ids is None:
+                ids = self.automaton.encode(word.encode())
+                if len(word) <= 64:
+                    self.known[word] = ids
+            out = out + ids if out else ids
+        if len(chunk) <= 64:
+            self.known[chunk] = out
         return out
 
     def ids(self, text: str) -> np.ndarray:
         parts = []
-        known, new = self.known, self._word
+        known, new = self.known, self._chunk
         segments = self.special.split(text) if self.special and "<|" in text else [text]
         for segment in segments:
             if segment in self.automaton.special:
                 parts.append(np.array([self.automaton.special[segment]], np.int32))
                 continue
-            words = self.automaton.words(segment)
-            while some := list(islice(words, STEP_WORDS)):
-                found = [known.get(w) or new(w) for w in some]
+            # no word goes over white space; the separators that Python adds to it are ordinary characters here
+            lowered = self.automaton.lowered(segment)
+            chunks = iter(_SPACE.split(lowered) if _SEPARATORS.search(lowered) else lowered.split())
+            while some := list(islice(chunks, STEP_WORDS)):
+                found = [known.get(c) or new(c) for c in some]
                 parts.append(np.fromiter(chain.from_iterable(found), np.int32))
         return np.concatenate(parts) if parts else np.empty(0, np.int32)
 
 
-_LOADED: dict[int, Encoder] = {}
+_LOADED: dict[tuple[str, int], object] = {}
 
 
-def _encoder(definition: str) -> Encoder:
-    key = hash(definition)
+def _loaded(make: Callable, definition: str):
+    """What ``make`` builds of a definition; a worker builds it once."""
+    key = (make.__name__, hash(definition))
     if key not in _LOADED:
         _LOADED.clear()
-        _LOADED[key] = Encoder(definition)
+        _LOADED[key] = make(definition)
     return _LOADED[key]
 
 
+def _labels(definition: str) -> list[str]:
+    return labels_of(json.loads(definition))
+
+
 def _definition(spark: SparkSession, path: str):
     """The tokenizer file, read by the driver and sent once to every executor; a few megabytes at most."""
     with open(path, encoding="utf-8") as f:
@@ -251,12 +278,13 @@ def encoder(spark: SparkSession, path: str) -> Callable[[Column | str], Column]:
     sent = _definition(spark, path)
 
     def run(texts: pa.Array) -> pa.Array:
-        encode = _encoder(sent.value)
-        parts = [encode.ids(t or "") for t in texts.to_pylist()] if len(texts) else []
+        encode = _loaded(Encoder, sent.value)
+        parts = [encode.ids(t.as_py() or "") for t in texts]
         offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
         return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(parts) if parts else [], pa.int32()))
 
-    return F.arrow_udf(run, "array<int>")
+    # a plan that uses the ids twice would encode twice, were the function called deterministic
+    return F.arrow_udf(run, "array<int>").asNondeterministic()
 
 
 def decoder(spark: SparkSession, path: str) -> Callable[[Column | str], Column]:
@@ -268,7 +296,7 @@ def decoder(spark: SparkSession, path: str) -> Callable[[Column | str], Column]:
     sent = _definition(spark, path)
 
     def run(ids: pa.Array) -> pa.Array:
-        labels = _encoder(sent.value).automaton.labels
+        labels = _loaded(_labels, sent.value)
         ids = ids.combine_chunks() if isinstance(ids, pa.ChunkedArray) else ids
         offsets = ids.offsets.to_numpy()
         values = ids.values.to_numpy(zero_copy_only=False)

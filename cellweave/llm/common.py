@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 #: A key is hot when it holds at least one row in so many; so at most this many keys are hot.
 HOT_PARTS = 1000
-#: Copies of a hot key on the small side of a join.
-HOT_COPIES = 64
 #: Text bytes that one vectorised step looks at.
 STEP_BYTES = 1 << 20
 
@@ -23,12 +21,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it as long as ``df`` has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def hot_join(big: DataFrame, counted: DataFrame, key: str, count: str, total: int, how: str = "inner") -> DataFrame:
     """Join ``big`` with ``counted``, which has one row per key and the rows of ``big`` with it in ``count``.
 
     Keys with at least ``total / HOT_PARTS`` rows are at most ``HOT_PARTS`` by arithmetic, so their
-    part of ``counted`` is broadcast and their rows stay where they are.  The other keys are small
-    and shuffle as usual.  ``how`` is inner or left; NULL keys match nothing.
+    part of ``counted`` is broadcast.  The other keys are small and meet in a shuffle, through which
+    rows of hot keys pass under a hash of the whole row, which spreads them.
+    ``how`` is inner or left; NULL keys match nothing.
     """
     limit = max(2, total // HOT_PARTS)
     extra = [c for c in counted.columns if c not in (key, count)]
@@ -37,15 +44,14 @@ def hot_join(big: DataFrame, counted: DataFrame, key: str, count: str, total: in
         .select(F.col(key).alias("__hot"), *[F.col(c).alias(f"__h_{c}") for c in extra])
     )
     first = big.join(hot, F.col(key) == F.col("__hot"), "left")
+    # the flag is never true here, but keeps rows of hot keys, which have a key of no meaning, from a match
     rest = counted.where(F.col(count) < limit).select(
-        F.col(key).alias("__cold"), *[F.col(c).alias(f"__c_{c}") for c in extra]
-    )
-    # rows of hot keys spread over the tasks of the second join by a key that matches nothing
-    spread = F.when(F.col("__hot").isNull(), F.col(key))
-    both = first.withColumn("__k", spread).withColumn(
-        "__s", F.when(F.col("__k").isNull(), F.pmod(F.monotonically_increasing_id(), F.lit(HOT_COPIES))).otherwise(0)
+        F.col(key).alias("__cold"), (F.col(count) < 0).alias("__flag"), *[F.col(c).alias(f"__c_{c}") for c in extra]
     )
-    out = both.join(rest, (F.col("__k") == F.col("__cold")) & (F.col("__s") == F.lit(0)), "left")
+    aside = F.col("__hot").isNotNull() | F.col(key).isNull()
+    spread = F.when(aside, F.xxhash64(*big.columns).cast(big.schema[key].dataType)).otherwise(F.col(key))
+    both = first.withColumn("__aside", aside).withColumn("__k", spread)
+    out = both.join(rest, (F.col("__k") == F.col("__cold")) & (F.col("__aside") == F.col("__flag")), "left")
     if how == "inner":
         out = out.where(F.col("__hot").isNotNull() | F.col("__cold").isNotNull())
     return out.select(

@@ -145,8 +145,9 @@ def matches(
     min_match: int = MIN_MATCH,
     threshold: float = THRESHOLD,
     block_tokens: int = BLOCK_TOKENS,
+    into: str = "matches",
 ) -> DataFrame:
-    """``docs`` with ``__matches``: the items found in each text, their coverage and number of tiles.
+    """``docs`` with the column ``into``: the items found in each text, their coverage and number of tiles.
 
     Windows of ``min_match`` words that text and item share are seeds; seeds grow to matches, and
     the longest matches are marked as tiles until none of ``min_match`` words is free.  An item is
@@ -169,7 +170,7 @@ def matches(
             ([r["id"] for r in rows], [np.array(r["tokens"], np.int64).view(U) for r in rows])
         )
         parts.append(_finder(sent, min_match, threshold)(F.col(text_col).cast("string")))
-    return out.withColumn("__matches", F.concat(*parts) if len(parts) > 1 else parts[0])
+    return out.withColumn(into, F.concat(*parts) if len(parts) > 1 else parts[0])
 
 
 def _finder(sent, min_match: int, threshold: float):

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.llm.common import U, mix
+from cellweave.llm.common import U, fresh, mix
 from cellweave.session import cut_lineage
 
 #: Length of a vector.
@@ -166,8 +166,8 @@ def predictor(prototypes: dict[str, np.ndarray]):
     return F.arrow_udf(run, "lang string, score double")
 
 
-def identify(docs: DataFrame, labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``docs`` with ``__language``, a struct of the predicted ``lang`` and its ``score``.
+def identify(docs: DataFrame, labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", into: str = "language") -> DataFrame:
+    """``docs`` with the column ``into``, a struct of the predicted ``lang`` and its ``score``.
 
     A document's vector is the bundle of its letter n-grams: each letter has a random vector, an
     n-gram binds its letters' vectors, permuted by place, and the text adds up its n-grams.
@@ -177,7 +177,7 @@ def identify(docs: DataFrame, labelled: DataFrame, text_col: str = "text", lang_
     table gives an empty one; any length of text is read whole, in steps.
     """
     predict = predictor(learn(labelled, text_col, lang_col))
-    return docs.withColumn("__language", predict(F.col(text_col).cast("string")))
+    return docs.withColumn(into, predict(F.col(text_col).cast("string")))
 
 
 def training_rows(docs: DataFrame, id_col: str = "doc_id") -> Column:
@@ -190,11 +190,14 @@ def identify_held_out(docs: DataFrame) -> DataFrame:
     learned = training_rows(docs)
     rows = identify(docs.select("doc_id", "text"), docs.where(learned).select("text", "lang"))
     return rows.select(
-        "doc_id", (~training_rows(rows)).alias("held_out"), F.col("__language.lang").alias("lang_pred"), F.col("__language.score").alias("score")
+        "doc_id", (~training_rows(rows)).alias("held_out"), F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score")
     )
 
 
 def keep_known(docs: DataFrame, min_score: float) -> DataFrame:
     """Documents whose language is known with a cosine of ``min_score`` or more; all columns as they were."""
-    found = cut_lineage(identify(docs, docs.where(training_rows(docs))))
-    return found.where((F.col("__language.lang") != UNKNOWN) & (F.col("__language.score") >= min_score)).drop("__language")
+    name = fresh(docs, "language")
+    found = identify(docs, docs.where(training_rows(docs)), into=name)
+    language = F.col(name)
+    # the struct is used twice; written out, it is found once
+    return cut_lineage(found).where((language["lang"] != UNKNOWN) & (language["score"] >= min_score)).drop(name)

@@ -47,8 +47,9 @@ def drop_recurring_lines(
     share: float = SHARE,
     similar: float = SIMILAR,
     min_tokens: int = MIN_TOKENS,
+    into: str = "dropped",
 ) -> DataFrame:
-    """``docs`` without lines whose template recurs; ``__dropped`` holds their places, from 0.
+    """``docs`` without lines whose template recurs; the column ``into`` holds their places, from 0.
 
     The tree has a level for the token count and one for each of the ``DEPTH`` leading tokens;
     tokens with digits are variable from the start.  Below a leaf, a token is constant at its
@@ -66,8 +67,9 @@ def drop_recurring_lines(
     Texts move once to fetch one line of each distinct form in leaves that recur, and once to be
     rewritten; all counting moves hashes only.
     """
-    keyed = docs.withColumn("__h", F.xxhash64(col(text_col)))
-    who = keyed.select(col(id_col).alias("id"), col("__h").alias("h"), F.posexplode(lines_of(col(text_col))).alias("pos", "line"))
+    text = col(text_col).cast("string")
+    key = [col(id_col).alias("id"), F.xxhash64(text).alias("h")]
+    who = docs.select(*key, F.posexplode(lines_of(text)).alias("pos", "line"))
     cut = who.select("id", "h", "pos", tokens_of(col("line")).alias("t")).where(F.size("t") >= min_tokens)
     lines = cut_lineage(cut.select("id", "h", "pos", _leaf(col("t")).alias("leaf"), F.xxhash64("t").alias("body")))
 
@@ -88,7 +90,7 @@ def drop_recurring_lines(
     wanted = live.groupBy(col("id").alias("w_id"), col("h").alias("w_h")).agg(
         F.collect_list(F.struct("pos", "leaf", "body", "texts", "leaf_texts")).alias("forms")
     )
-    texts = keyed.select(col(id_col).alias("id"), col("__h").alias("h"), col(text_col).alias("text"))
+    texts = docs.select(*key, text.alias("text"))
     read = wanted.join(texts, col("id").eqNullSafe(col("w_id")) & (col("h") == col("w_h"))).select(
         lines_of(col("text")).alias("all"), F.explode("forms").alias("f")
     )
@@ -129,11 +131,14 @@ def drop_recurring_lines(
     found = hot_join(mine, recurring, "template", "n_rows", total)
     drops = (
         found.where(~F.struct("id", "h", "pos").eqNullSafe(col("first")))
-        .groupBy(col("id").alias("__id"), col("h").alias("__dh"))
-        .agg(F.collect_set("pos").alias("__dropped"))
+        .groupBy(col("id").alias("d_id"), col("h").alias("d_h"))
+        .agg(F.collect_set("pos").alias("gone"))
     )
-    out = keyed.join(drops, col(id_col).eqNullSafe(col("__id")) & (col("__h") == col("__dh")), "left")
-    rest = F.filter(lines_of(col(text_col)), lambda line, i: ~F.array_contains(col("__dropped"), i))
-    return out.withColumn(text_col, F.when(col("__dropped").isNull(), col(text_col)).otherwise(F.array_join(rest, "\n"))).select(
-        *docs.columns, F.coalesce(F.array_sort("__dropped"), F.array().cast("array<int>")).alias("__dropped")
+    out = docs.select(*key, F.struct("*").alias("row")).join(drops, col("id").eqNullSafe(col("d_id")) & (col("h") == col("d_h")), "left")
+    old = col("row").getField(text_col).cast("string")
+    rest = F.array_join(F.filter(lines_of(old), lambda line, i: ~F.array_contains(col("gone"), i)), "\n")
+    new = F.when(col("gone").isNull(), old).otherwise(rest)
+    return out.select(
+        *[(new if c == text_col else col("row").getField(c)).alias(c) for c in docs.columns],
+        F.coalesce(F.array_sort("gone"), F.array().cast("array<int>")).alias(into),
     )

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellweave.llm.common import U, distinct_per_row, hot_join, list_column, mix, random_words, shingles, text_parts
@@ -61,8 +61,17 @@ def _set_keys(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nd
     return out[0].view(np.int64), out[1].view(np.int64)
 
 
+def row_keys(id_col: str, text_col: str) -> list[Column]:
+    """128 bits that name a row by its id and text; never NULL."""
+    pair = [F.col(id_col), F.col(text_col).cast("string")]
+    return [F.xxhash64(*pair).alias("row1"), F.xxhash64(F.lit(1), *reversed(pair)).alias("row2")]
+
+
 def sketch(docs: DataFrame, id_col: str, text_col: str, k: int, bands: int, rows: int = ROWS) -> DataFrame:
-    """``id, n_shingles, key1, key2, bands``: set size, 128-bit name of the set, and band hashes."""
+    """``id, row1, row2, n_shingles, key1, key2, bands``.
+
+    128 bits that name the row, set size, 128 bits that name the set, and band hashes.
+    """
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,17 +83,19 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, k: int, bands: int, rows
                 hashes = min_max_bands(values, sizes, bands, rows) if full.any() else np.empty((0, bands), U)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(i, j - i),
+                        *[batch.column(c).slice(i, j - i) for c in (0, 2, 3)],
                         pa.array(sizes, pa.int64()),
                         pa.array(key1),
                         pa.array(key2),
                         list_column(hashes.reshape(-1).view(np.int64), full * bands, pa.int64()),
                     ],
-                    names=["id", "n_shingles", "key1", "key2", "bands"],
+                    names=["id", "row1", "row2", "n_shingles", "key1", "key2", "bands"],
                 )
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        run, f"id {kind}, n_shingles long, key1 long, key2 long, bands array<long>"
+    return docs.select(
+        F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), *row_keys(id_col, text_col)
+    ).mapInArrow(
+        run, f"id {kind}, row1 long, row2 long, n_shingles long, key1 long, key2 long, bands array<long>"
     )
 
 
@@ -175,7 +186,7 @@ def near_duplicates(
     den: int = 100,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """``id, n_shingles, component_id, kept`` for every row of ``docs``.
+    """``id, n_shingles, component_id, kept, row1, row2`` for every row of ``docs``.
 
     Documents whose sets of ``k``-word shingles have a Jaccard similarity of ``num / den`` or more
     are linked; ``component_id`` is the smallest id that links reach.
@@ -218,7 +229,7 @@ def near_duplicates(
         linked = edge_components(edges)
         if linked is not None:
             labels = linked[0]
-    ids = marks.select("id", "n_shingles", F.col("key1").alias("node"), "key2")
+    ids = marks.select("id", "row1", "row2", "n_shingles", F.col("key1").alias("node"), "key2")
     if labels is None:
         named = classes.select("node", "key2", F.col("rep").alias("first"), "copies")
     else:
@@ -229,10 +240,24 @@ def near_duplicates(
         firsts = roots.groupBy("p").agg(F.min("rep").alias("first"), F.count("*").alias("of_root"))
         named = hot_join(roots, firsts, "p", "of_root", roots.count()).select("node", "key2", "first", "copies")
     full = hot_join(ids.where("n_shingles > 0"), named.drop("key2"), "node", "copies", marks.count()).select(
-        "id", "n_shingles", F.col("first").alias("component_id")
+        "id", "row1", "row2", "n_shingles", F.col("first").alias("component_id")
     )
-    alone = ids.where("n_shingles = 0").select("id", "n_shingles", F.col("id").alias("component_id"))
-    return full.unionByName(alone).withColumn("kept", F.col("id").eqNullSafe(F.col("component_id")))
+    alone = ids.where("n_shingles = 0").select("id", "row1", "row2", "n_shingles", F.col("id").alias("component_id"))
+    both = full.unionByName(alone).withColumn("kept", F.col("id").eqNullSafe(F.col("component_id")))
+    return both.select("id", "n_shingles", "component_id", "kept", "row1", "row2")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row of each group of near duplicates, all columns: the one with the smallest id.
+
+    Of repeated rows one stays.  Texts without words are no duplicates of others, only of
+    repetitions of the same row.
+    """
+    kept = near_duplicates(docs, id_col, text_col, **options).where("kept").select("row1", "row2").distinct()
+    rows = docs.select(*row_keys(id_col, text_col), F.struct("*").alias("row"))
+    first = F.row_number().over(Window.partitionBy("row1", "row2").orderBy("row1"))
+    once = rows.withColumn("nth", first).where("nth = 1").join(kept, ["row1", "row2"], "left_semi")
+    return once.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def _confirm(

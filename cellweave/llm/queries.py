@@ -113,7 +113,7 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_decontamination")
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = matches(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
-    return found.select("doc_id", F.explode("__matches").alias("m")).select(
+    return found.select("doc_id", F.explode("matches").alias("m")).select(
         "doc_id", F.col("m.item").alias("item_id"), "m.coverage", "m.matched", "m.tokens", "m.tiles"
     )
 
@@ -164,9 +164,9 @@ from src left join drops using (doc_id)"""
 
 @query("op2_line_dedup", LINES_SQL)
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", lines_of(F.col("text")).alias("lines"))
-    found = drop_recurring_lines(docs.withColumn("n_lines", F.size("lines").cast("long")).drop("lines"))
-    return found.select("doc_id", "n_lines", F.size("__dropped").cast("long").alias("n_dropped"), "text")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.size(lines_of(F.col("text"))).cast("long").alias("n_lines"))
+    found = drop_recurring_lines(docs)
+    return found.select("doc_id", "n_lines", F.size("dropped").cast("long").alias("n_dropped"), "text")
 
 
 WARC_SQL = """
