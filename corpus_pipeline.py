@@ -11,11 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellweave.llm.bpe import decoder, encoder
-from cellweave.llm.common import table
+from cellweave.llm.common import fresh, table
 from cellweave.llm.decontaminate import matches
 from cellweave.llm.language import keep_known
 from cellweave.llm.line_dedup import drop_recurring_lines
-from cellweave.llm.near_dedup import near_duplicates
+from cellweave.llm.near_dedup import keep_one
 from cellweave.llm.queries import tokenizer_path
 from cellweave.session import shared_folder
 
@@ -30,18 +30,19 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines whose template recurs; the first line of each template stays."""
-    return drop_recurring_lines(docs).drop("__dropped")
+    name = fresh(docs, "dropped")
+    return drop_recurring_lines(docs, into=name).drop(name)
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id."""
-    kept = near_duplicates(docs).where("kept").select(F.col("id").alias("__id"))
-    return docs.join(kept.distinct(), F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    return keep_one(docs)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    return matches(docs, table(spark, sf_dir, "benchmark")).where(F.size("__matches") == 0).drop("__matches")
+    name = fresh(docs, "matches")
+    return matches(docs, table(spark, sf_dir, "benchmark"), into=name).where(F.size(name) == 0).drop(name)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
