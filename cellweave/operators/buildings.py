@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cellweave.operators.zonal import grouped_stats
+
 # fixed values: default confidence and area limits
 MIN_CONFIDENCE = 0.75
 MIN_AREA_M2 = 10.0
@@ -49,9 +51,13 @@ def limit_features(df: DataFrame, n: int | None, key: str) -> DataFrame:
 
 
 def building_summary(df: DataFrame) -> DataFrame:
-    """One row: count, area and confidence statistics."""
+    """One row: count, area (with its median) and confidence statistics.
+
+    The median comes from the same ranking as the percentiles of zones, so it is exact at every size.
+    """
     area, conf = F.col("area_in_meters"), F.col("confidence")
-    return df.agg(
+    median = grouped_stats(df.select(F.lit(0).alias("__all"), "area_in_meters"), ["__all"], ["median"], "area_in_meters")
+    base = df.agg(
         F.count("*").alias("n"),
         F.avg(area).alias("area_mean"),
         F.min(area).alias("area_min"),
@@ -60,3 +66,5 @@ def building_summary(df: DataFrame) -> DataFrame:
         F.min(conf).alias("confidence_min"),
         F.max(conf).alias("confidence_max"),
     )
+    # one row each
+    return base.join(F.broadcast(median.select(F.col("median").alias("area_median"))), F.lit(True), "left")

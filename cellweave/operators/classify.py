@@ -14,8 +14,8 @@ from cellweave.session import group_sizes, sized_join
 
 col, lit = F.col, F.lit
 
-#: natural breaks are exact up to this many different values per raster, binned beyond
-MAX_VALUES = 1024
+#: Bins of equal width between the smallest and largest value, on which natural breaks are found.
+BINS = 512
 
 # fixed values: land cover classes: value → (colour, label)
 LAND_COVER = {
@@ -50,11 +50,18 @@ def _linspace(k: int) -> Column:
     return F.array(*steps, col("hi"))
 
 
-def class_breaks(cells: DataFrame, method: str = "auto", k: int = 8, keys: Sequence[str] = ()) -> DataFrame:
-    """``keys, breaks``: ``k + 1`` ascending break values per raster."""
+def class_breaks(
+    cells: DataFrame, method: str = "auto", k: int = 8, keys: Sequence[str] = (), bins: int = BINS
+) -> DataFrame:
+    """``keys, breaks``: ``k + 1`` ascending break values per raster.
+
+    Natural breaks (``jenks``, and ``log`` on logarithms) are the optimal classes of whole bins: each
+    raster's range is divided into ``bins`` bins whatever its size, so a class border is off the
+    unbinned optimum's by about a bin's width, and breaks are values that occur.
+    """
     keys = list(keys)
     if not keys:
-        return class_breaks(cells.withColumn("__all", lit(0)), method, k, ["__all"]).drop("__all")
+        return class_breaks(cells.withColumn("__all", lit(0)), method, k, ["__all"], bins).drop("__all")
     valid = _finite(cells)
     if method == "quantile":
         percents = {f"q{i}": 100.0 * i / k for i in range(k + 1)}
@@ -62,27 +69,26 @@ def class_breaks(cells: DataFrame, method: str = "auto", k: int = 8, keys: Seque
             *keys, F.array(*[col(f"q{i}") for i in range(k + 1)]).alias("breaks")
         )
     if method == "jenks":
-        return _natural(valid, keys, k)
+        return _natural(valid, keys, k, bins)
     linear = valid.groupBy(*keys).agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
     linear = linear.select(*keys, _linspace(k).alias("breaks"))
     if method != "log":
         return linear  # equal interval, also for "auto" and unknown names
     logs = valid.where(col("value") > 0).withColumn("value", F.log10("value"))
-    power = _natural(logs, keys, k).select(
+    power = _natural(logs, keys, k, bins).select(
         *keys, F.transform("breaks", lambda b: F.pow(lit(10.0), b)).alias("log_breaks")
     )
     return linear.join(power, keys, "left").select(*keys, F.coalesce("log_breaks", "breaks").alias("breaks"))
 
 
-def _natural(valid: DataFrame, keys: list[str], k: int) -> DataFrame:
-    """Spark folds each raster to at most 1024 weighted values; one small group is then cut."""
+def _natural(valid: DataFrame, keys: list[str], k: int, bins: int) -> DataFrame:
+    """Spark folds each raster to ``bins`` weighted values at most; one small group is then cut."""
     hist = value_counts(valid, keys)
-    span = hist.groupBy(*keys).agg(F.min("value").alias("lo"), F.max("value").alias("hi"), F.count("*").alias("kinds"))
-    width = (col("hi") - col("lo")) / lit(float(MAX_VALUES))
-    binned = F.least(F.floor((col("value") - col("lo")) / width), lit(MAX_VALUES - 1)).cast("double")
+    span = hist.groupBy(*keys).agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    place = F.floor((col("value") - col("lo")) / F.nullif(col("hi") - col("lo"), lit(0.0)) * lit(float(bins)))
     folded = (
         sized_join(hist, span, keys, bound=group_sizes(valid, keys)[0])
-        .withColumn("__bin", F.when(col("kinds") <= MAX_VALUES, col("value")).otherwise(binned))
+        .withColumn("__bin", F.least(F.coalesce(place, lit(0)), lit(bins - 1)))
         .groupBy(*keys, "__bin")
         .agg(
             F.sum("n").cast("double").alias("w"),
@@ -106,7 +112,7 @@ def natural_breaks(groups: pd.DataFrame, k: int) -> list[float]:
     m = len(groups)
     k = min(k, m)
 
-    # spread[i, e]: squared deviation of values i..e-1; at most 1024 by 1024 numbers
+    # spread[i, e]: squared deviation of values i..e-1; bins by bins numbers at most
     start, end = np.arange(m)[:, None], np.arange(m + 1)[None, :]
     dw, d1, d2 = w[end] - w[start], s1[end] - s1[start], s2[end] - s2[start]
     with np.errstate(divide="ignore", invalid="ignore"):

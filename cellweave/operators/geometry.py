@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellweave.functions.crs import projection
-from cellweave.session import BROADCAST_ROWS, sized_join
+from cellweave.session import BROADCAST_ROWS, cut_lineage, sized_join
 
 col, lit = F.col, F.lit
 
@@ -51,18 +51,29 @@ def edge_x_at(y: Column) -> Column:
     return (col("x2") - col("x1")) * (y - col("y1")) / (col("y2") - col("y1")) + col("x1")
 
 
-def scanline_spans(edges: DataFrame, keys: list[str], top: Column, px_h: Column) -> DataFrame:
+def _rows_between(first: Column, last: Column, height: int | None) -> Column:
+    """The rows of an edge as an array, cut to a grid of ``height`` rows where there is one."""
+    if height is None:
+        return F.sequence(first, last)
+    first, last = F.greatest(first, lit(0)), F.least(last, lit(height - 1))
+    return F.when(first <= last, F.sequence(first, last))
+
+
+def scanline_spans(
+    edges: DataFrame, keys: list[str], top: Column, px_h: Column, height: int | None = None
+) -> DataFrame:
     """Inside intervals ``[x_lo, x_hi)`` of each zone on every grid row centre.
 
     Each edge is expanded over the rows whose centre it crosses; the sorted crossings of a
-    row pair up into intervals.  The output grows with the outline, not with the area.
+    row pair up into intervals.  The output grows with the outline, not with the area, and not
+    beyond ``height`` rows per edge.
     """
     y_lo, y_hi = F.least("y1", "y2"), F.greatest("y1", "y2")
     first = F.ceil((top - y_hi) / px_h - 0.5).cast("int") - 1
     last = F.floor((top - y_lo) / px_h - 0.5).cast("int") + 1
     crossing = (
         edges.where(col("y1") != col("y2"))
-        .withColumn("r", F.explode(F.sequence(first, last)))
+        .withColumn("r", F.explode(_rows_between(first, last, height)))
         .withColumn("__y", top - (col("r") + 0.5) * px_h)
         .where((col("y1") > col("__y")) != (col("y2") > col("__y")))
         .select(*keys, "r", edge_x_at(col("__y")).alias("x_lo"))
@@ -78,7 +89,7 @@ def scanline_spans(edges: DataFrame, keys: list[str], top: Column, px_h: Column)
 
 
 def traversed_cells(
-    edges: DataFrame, keys: list[str], left: Column, top: Column, px_w: Column, px_h: Column
+    edges: DataFrame, keys: list[str], left: Column, top: Column, px_w: Column, px_h: Column, height: int | None = None
 ) -> DataFrame:
     """Column ranges ``c_lo..c_hi`` of the grid cells each edge passes, one row per grid row.
 
@@ -96,7 +107,7 @@ def traversed_cells(
     b = F.when(flat, col("x2")).otherwise(inside(edge_x_at(F.greatest(y_lo, row_bottom))))
     column_of = lambda x: F.floor((x - left) / px_w).cast("int")
     return (
-        edges.withColumn("r", F.explode(F.sequence(row_of(y_hi), row_of(y_lo))))
+        edges.withColumn("r", F.explode(_rows_between(row_of(y_hi), row_of(y_lo), height)))
         .withColumns({"__a": a, "__b": b})
         .withColumns({"c_lo": column_of(F.least("__a", "__b")), "c_hi": column_of(F.greatest("__a", "__b"))})
         .drop("__a", "__b")
@@ -125,12 +136,14 @@ def _mean_extent(edges: DataFrame) -> float:
 
 
 def _spans_bound(edges: DataFrame, grid, zone: str) -> int:
-    """Upper bound of the blocked spans (outline rows times blocks across) of all zones."""
-    rows = _steps(F.least("y1", "y2"), F.greatest("y1", "y2"), lit(grid.px_h))
-    per_zone = edges.groupBy(zone).agg(
-        F.sum(rows).alias("n"),
-        (F.max(F.greatest("x1", "x2")) - F.min(F.least("x1", "x2"))).alias("w"),
-    )
+    """Upper bound of the blocked spans (outline rows times blocks across, on the grid) of all zones."""
+    y_lo = F.greatest(F.least("y1", "y2"), lit(grid.top - grid.height * grid.px_h))
+    y_hi = F.least(F.greatest("y1", "y2"), lit(grid.top))
+    rows = F.when(y_lo <= y_hi, F.least(_steps(y_lo, y_hi, lit(grid.px_h)) + 2, lit(grid.height))).otherwise(0)
+    x_lo, x_hi = F.greatest(F.min(F.least("x1", "x2")), lit(grid.left)), F.least(
+        F.max(F.greatest("x1", "x2")), lit(grid.left + grid.width * grid.px_w)
+    )
+    per_zone = edges.groupBy(zone).agg(F.sum(rows).alias("n"), F.greatest(x_hi - x_lo, lit(0.0)).alias("w"))
     return int(per_zone.agg(F.sum(col("n") * (col("w") / (grid.px_w * BLOCK) + 2))).first()[0] or 0)
 
 
@@ -139,7 +152,7 @@ def _spans_bound(edges: DataFrame, grid, zone: str) -> int:
 
 def zone_spans(edges: DataFrame, grid, zone: str = "zone_id") -> DataFrame:
     """Centre-rule spans of every zone on a raster grid, keyed by row and column block."""
-    spans = scanline_spans(edges, [zone], lit(grid.top), lit(grid.px_h))
+    spans = scanline_spans(edges, [zone], lit(grid.top), lit(grid.px_h), grid.height)
     first = F.floor((col("x_lo") - grid.left) / grid.px_w - 0.5).cast("int") - 1
     last = F.ceil((col("x_hi") - grid.left) / grid.px_w - 0.5).cast("int") + 1
     return _blocks(spans, grid, first, last)
@@ -187,6 +200,17 @@ def cells_in_zones(
     ).drop("blk", "x_lo", "x_hi")
 
 
+def _area(edges: DataFrame, zone: str | None) -> DataFrame:
+    """Edges of an area under the polygon id ``__zone``.
+
+    An area is the union of its polygons, so each is tested on its own.  Without ids all edges
+    are one polygon, which is right as long as polygons do not overlap; its id is computed from a
+    column, so that a join on it stays an equi-join.
+    """
+    one = F.when(col("x1").isNull(), lit(1)).otherwise(lit(0))
+    return edges.select((col(zone) if zone else one).alias("__zone"), "x1", "y1", "x2", "y2")
+
+
 def clip_raster(
     cells: DataFrame,
     edges: DataFrame,
@@ -196,21 +220,24 @@ def clip_raster(
     fill: bool = False,
     max_rows: int = BROADCAST_ROWS,
     crs: str | None = None,
+    zone: str | None = None,
 ) -> DataFrame:
     """Cells of the AOI: by centre, or by any contact with ``all_touched``.
 
+    ``zone`` names the polygon of each edge; needed where polygons of the AOI overlap.
+
     ``crop`` keeps only the rows and columns of the AOI box; with ``fill`` the cells of that
     window outside the AOI stay with the nodata value (0 when the raster has none).
     """
     edges = on_grid_crs(edges, grid, crs)
-    anchored = edges.select(lit(0).alias("__zone"), "x1", "y1", "x2", "y2")
+    anchored = _area(edges, zone)
     x = grid.x("c")
     spans = zone_spans(anchored, grid, "__zone").select(
         "r", "blk", "x_lo", "x_hi", lit(None).cast("int").alias("c_lo"), lit(None).cast("int").alias("c_hi")
     )
     hit = (x >= col("x_lo")) & (x < col("x_hi"))
     if all_touched:
-        passed = traversed_cells(anchored, ["__zone"], lit(grid.left), lit(grid.top), lit(grid.px_w), lit(grid.px_h))
+        passed = traversed_cells(anchored, ["__zone"], lit(grid.left), lit(grid.top), lit(grid.px_w), lit(grid.px_h), grid.height)
         passed = _blocks(passed, grid, col("c_lo"), col("c_hi"))
         spans = spans.unionByName(
             passed.select(
@@ -375,6 +402,20 @@ def distance_sq(px: Column, py: Column) -> Column:
     return ex * ex + ey * ey
 
 
+def points_in_area(
+    points: DataFrame,
+    area: DataFrame,
+    id_cols: list[str],
+    x: str = "x",
+    y: str = "y",
+    zone: str | None = None,
+    max_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Points inside any polygon of an area, each once."""
+    found = points_in_polygons(points, _area(area, zone), id_cols, x, y, "__zone", max_rows).drop("__zone")
+    return found.dropDuplicates(id_cols) if zone else found
+
+
 def within_distance(
     points: DataFrame,
     edges: DataFrame,
@@ -383,6 +424,7 @@ def within_distance(
     x: str = "x",
     y: str = "y",
     max_rows: int = BROADCAST_ROWS,
+    zone: str | None = None,
 ) -> DataFrame:
     """Points inside the AOI or at most ``distance`` from its outline (planar units).
 
@@ -391,9 +433,9 @@ def within_distance(
     """
     if distance < 0:
         raise ValueError("distance must not be negative")
-    aoi = edges.select(lit(0).alias("__zone"), "x1", "y1", "x2", "y2")
+    aoi = _area(edges, zone)
     if distance == 0:
-        return points_in_polygons(points, aoi, id_cols, x, y, "__zone", max_rows).drop("__zone")
+        return points_in_area(points, edges, id_cols, x, y, zone, max_rows)
     size = max(distance, _mean_extent(aoi))
     near = sized_join(
         points.withColumns({"tr": F.floor(col(y) / size).cast("long"), "tc": F.floor(col(x) / size).cast("long")}),
@@ -404,7 +446,7 @@ def within_distance(
         max_rows,
         9 * _passed_bound(aoi, size),
     ).drop("tr", "tc")
-    inside = points_in_polygons(points, aoi, id_cols, x, y, "__zone", max_rows).drop("__zone")
+    inside = points_in_polygons(points, aoi, id_cols, x, y, "__zone", max_rows).drop("__zone")  # repeated ids go below
     return near.unionByName(inside).dropDuplicates(id_cols)
 
 
@@ -457,6 +499,7 @@ def clip_lines(
     id_cols: list[str],
     tile: float | None = None,
     max_rows: int = BROADCAST_ROWS,
+    zone: str | None = None,
 ) -> DataFrame:
     """Line segments cut to the AOI: pieces ``id_cols, piece, x1, y1, x2, y2``.
 
@@ -496,8 +539,7 @@ def clip_lines(
     mid = (col("t") + col("t2")) / 2
     piece = piece.withColumns({"mx": col("x1") + mid * dx, "my": col("y1") + mid * dy})
     piece = piece.withColumnsRenamed({"x1": "sx1", "y1": "sy1", "x2": "sx2", "y2": "sy2"})
-    zone = aoi.select(lit(0).alias("__zone"), "x1", "y1", "x2", "y2")
-    kept = points_in_polygons(piece, zone, [*id_cols, "piece"], "mx", "my", "__zone", max_rows)
+    kept = points_in_area(piece, aoi, [*id_cols, "piece"], "mx", "my", zone, max_rows)
     at = lambda a, b, s: col(a) + col(s) * (col(b) - col(a))
     return kept.select(
         *id_cols,
@@ -515,25 +557,40 @@ def features_within(
     id_cols: list[str],
     tile: float | None = None,
     max_rows: int = BROADCAST_ROWS,
+    zone: str | None = None,
 ) -> DataFrame:
     """Ids of the features that lie wholly inside the AOI.
 
-    ``features`` is an edge table.  A feature stays when all its vertices are inside and no
-    edge properly crosses the outline.
+    ``features`` is an edge table.  A feature stays when all its vertices are inside, no edge
+    properly crosses the outline, and no vertex of the outline lies within it, as those of a hole
+    would.  With ``zone``, the polygon of each AOI edge, the outline is that of their union.
     """
     tile = tile or max(_mean_extent(aoi), _mean_extent(features), 1e-9)
-    outline = dissolve(aoi)
+    outline = union_outline(aoi, zone, max_rows=max_rows) if zone else dissolve(aoi)
     start = features.select(*id_cols, col("x1").alias("vx"), col("y1").alias("vy"))
     end = features.select(*id_cols, col("x2").alias("vx"), col("y2").alias("vy"))
     vertices = start.unionByName(end).distinct()
-    zone = outline.withColumn("__zone", lit(0))
     inside = (
-        points_in_polygons(vertices, zone, [*id_cols, "vx", "vy"], "vx", "vy", "__zone", max_rows)
+        points_in_area(vertices, outline, [*id_cols, "vx", "vy"], "vx", "vy", None, max_rows)
         .groupBy(*id_cols)
         .agg(F.count("*").alias("n_in"))
     )
     total = vertices.groupBy(*id_cols).agg(F.count("*").alias("n_all"))
-    candidate = total.join(inside, id_cols).where(col("n_in") == col("n_all")).select(*id_cols)
+    candidate = cut_lineage(total.join(inside, id_cols).where(col("n_in") == col("n_all")).select(*id_cols))
+    chosen = features.join(candidate, id_cols, "left_semi")
+    shape = chosen.select(F.struct(*id_cols).alias("__f"), "x1", "y1", "x2", "y2")
+    corners = outline.select(col("x1").alias("vx"), col("y1").alias("vy")).distinct()
+    held = points_in_polygons(corners, shape, ["vx", "vy"], "vx", "vy", "__f", max_rows)
+    # a corner on the feature's own border is contact, not a hole
+    held = (
+        held.join(shape, "__f")
+        .groupBy("__f", "vx", "vy")
+        .agg(F.min(distance_sq(col("vx"), col("vy"))).alias("__d"))
+        .where(col("__d") > 1e-18)
+        .select("__f")
+        .distinct()
+    )
+    candidate = candidate.join(held, F.struct(*[candidate[c] for c in id_cols]) == col("__f"), "left_anti")
     orient = lambda ax, ay, bx, by, cx, cy: (
         (col(bx) - col(ax)) * (col(cy) - col(ay)) - (col(by) - col(ay)) * (col(cx) - col(ax))
     )
@@ -557,7 +614,10 @@ def features_within(
 
 
 def dissolve(edges: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """Union of adjoining polygons: borders that occur twice vanish."""
+    """Union of adjoining polygons that share whole edges: borders that occur twice vanish.
+
+    Polygons that overlap or meet in part of an edge need :func:`union_outline`.
+    """
     keys = keys or []
     swap = (col("x1") > col("x2")) | ((col("x1") == col("x2")) & (col("y1") > col("y2")))
     a = lambda p, q: F.when(swap, col(q)).otherwise(col(p))
@@ -572,6 +632,75 @@ def dissolve(edges: DataFrame, keys: list[str] | None = None) -> DataFrame:
     )
 
 
+#: The sides of a piece of outline are tested at this share of its length from its middle.
+SIDE = 1e-6
+
+
+def union_outline(edges: DataFrame, zone: str, tile: float | None = None, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Outline of the union of polygons, as undirected edges ``x1, y1, x2, y2``.
+
+    Edges are cut where they meet others (tile join), also at corners that lie on them, so pieces
+    only meet in their ends.  A piece stays when exactly one of its sides is in a polygon.
+    Overlapping, equal, nested and partly adjoining polygons and holes come right alike; gaps
+    narrower than about ``SIDE`` of a piece are taken for contact.
+    """
+    tile = tile or max(_mean_extent(edges), 1e-9)
+    base = edges.select("x1", "y1", "x2", "y2").where((col("x1") != col("x2")) | (col("y1") != col("y2"))).distinct()
+    keys = ["x1", "y1", "x2", "y2"]
+    dx, dy = col("x2") - col("x1"), col("y2") - col("y1")
+    ex, ey = col("ax2") - col("ax1"), col("ay2") - col("ay1")
+    den = F.nullif(dx * ey - dy * ex, lit(0.0))
+    wx, wy = col("ax1") - col("x1"), col("ay1") - col("y1")
+    t, u = (wx * ey - wy * ex) / den, (wx * dy - wy * dx) / den
+    mine = F.struct(*keys) < F.struct("ax1", "ay1", "ax2", "ay2")
+    cut = lambda at, px, py: F.struct(at.alias("t"), px.alias("px"), py.alias("py"))
+    # both edges of a crossing take the point from the same one of them, and a corner as it is
+    cross = F.when(
+        (t > 0) & (t < 1) & (u >= 0) & (u <= 1),
+        cut(
+            t,
+            F.when(u == 0, col("ax1")).when(u == 1, col("ax2")).when(mine, col("x1") + t * dx).otherwise(col("ax1") + u * ex),
+            F.when(u == 0, col("ay1")).when(u == 1, col("ay2")).when(mine, col("y1") + t * dy).otherwise(col("ay1") + u * ey),
+        ),
+    )
+    on_line = den.isNull() & (wx * dy == wy * dx)
+    along = lambda px, py: ((col(px) - col("x1")) * dx + (col(py) - col("y1")) * dy) / (dx * dx + dy * dy)
+    end = lambda px, py: F.when(
+        on_line & (along(px, py) > 0) & (along(px, py) < 1), cut(along(px, py), col(px), col(py))
+    )
+    found = F.array_compact(F.array(cross, end("ax1", "ay1"), end("ax2", "ay2")))
+    cuts = (
+        sized_join(
+            segment_tiles(base, keys, tile), _aoi_tiles(base, tile), ["tr", "tc"], "inner", F.size(found) > 0, max_rows,
+            9 * _passed_bound(base, tile),
+        )
+        .select(*keys, F.explode(found).alias("p"))
+        .select(*keys, "p.*")
+    )
+    ends = base.select(*keys, F.explode(F.array(cut(lit(0.0), col("x1"), col("y1")), cut(lit(1.0), col("x2"), col("y2")))).alias("p"))
+    w = Window.partitionBy(*keys).orderBy("t", "px", "py")
+    pieces = cuts.unionByName(ends.select(*keys, "p.*")).distinct().select(
+        col("px").alias("a"), col("py").alias("b"), F.lead("px").over(w).alias("c"), F.lead("py").over(w).alias("d")
+    )
+    pieces = pieces.where(col("c").isNotNull() & ((col("a") != col("c")) | (col("b") != col("d"))))
+    swap = (col("a") > col("c")) | ((col("a") == col("c")) & (col("b") > col("d")))
+    pick = lambda p, q: F.when(swap, col(q)).otherwise(col(p))
+    pieces = pieces.select(
+        pick("a", "c").alias("sx1"), pick("b", "d").alias("sy1"), pick("c", "a").alias("sx2"), pick("d", "b").alias("sy2")
+    ).distinct()
+    pieces = cut_lineage(pieces)
+    side = pieces.withColumn("side", F.explode(F.array(lit(-SIDE), lit(SIDE)))).withColumns(
+        {
+            "mx": (col("sx1") + col("sx2")) / 2 - col("side") * (col("sy2") - col("sy1")),
+            "my": (col("sy1") + col("sy2")) / 2 + col("side") * (col("sx2") - col("sx1")),
+        }
+    )
+    names = ["sx1", "sy1", "sx2", "sy2"]
+    covered = points_in_area(side, edges, [*names, "side"], "mx", "my", zone, max_rows)
+    # written, as users of the outline read it several times
+    return cut_lineage(covered.groupBy(*names).count().where("count = 1").select(*[col(s).alias(k) for s, k in zip(names, keys)]))
+
+
 def polygon_area(edges: DataFrame, keys: list[str], units: str = "m2", name: str | None = None) -> DataFrame:
     """Shoelace area per key over edges in planar metres; holes wind the other way."""
     if units not in ("m2", "km2"):

@@ -113,13 +113,16 @@ def temporal_stat(
 ) -> DataFrame:
     """Per-cell statistic over time.  A cell that is nodata throughout keeps nodata (or NaN).
 
+    With a nodata value, NaN is an ordinary value and makes every statistic of its cell NaN.
+
     The time axis is just the rows of a (cell) group, so partial aggregation reduces the
     stack before the only shuffle; a group holds one row per time step.
     """
     if stat not in _STATS:
         raise ValueError(f"unknown statistic {stat!r}, choose from {', '.join(_STATS)}")
     empty = float("nan") if nodata is None else float(nodata)
-    agg = _STATS[stat](_masked(F.col(value), nodata))
+    masked = _masked(F.col(value), nodata)
+    agg = F.when(F.bool_or(F.isnan(masked)), F.lit(float("nan"))).otherwise(_STATS[stat](masked))
     return cells.groupBy(*by, *cell).agg(F.coalesce(agg, F.lit(empty)).alias(value))
 
 

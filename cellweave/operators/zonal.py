@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from cellweave.functions.raster import mask_nodata
 from cellweave.operators.geometry import cells_in_zones
@@ -46,10 +47,14 @@ def split_stats(stats: Sequence[str]) -> tuple[list[str], dict[str, float]]:
 def grouped_stats(
     df: DataFrame, keys: Sequence[str], stats: Sequence[str], value: str = "value", small: bool | None = None
 ) -> DataFrame:
-    """Statistics per group.  Rank statistics use the built-in exact ``percentile`` while the
+    """Statistics per group over the values that are numbers: NULL and NaN are nodata.
+
+    Rank statistics use the built-in exact ``percentile`` while the
     whole input is counted to be small, else the distributed ranking."""
     simple, ranks = split_stats(stats)
     keys = list(keys)
+    if isinstance(df.schema[value].dataType, (DoubleType, FloatType)):
+        df = df.withColumn(value, F.when(~F.isnan(value), F.col(value)))
     if ranks and small is None:
         small = is_small(df.select(*keys), SMALL_ROWS)
     aggs = [_SIMPLE[s](F.col(value)).alias(s) for s in simple]

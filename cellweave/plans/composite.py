@@ -28,7 +28,8 @@ def city_enrichment(
     """Chosen zones with statistics of a raster brought onto the reference grid, and their area."""
     chosen = pl.filter_in(zones, country, countries, check=False)
     outline = sized_join(edges, chosen.select("zone_id"), ["zone_id"], "left_semi")
-    aligned, grid = gr.align(g.clip_raster(cells, outline, src, all_touched=True), src, ref, method)
+    clipped = g.clip_raster(cells, outline, src, all_touched=True, zone="zone_id")
+    aligned, grid = gr.align(clipped, src, ref, method)
     enriched = zn.enrich(chosen, {name: (aligned, grid)}, outline, stats)
     area = g.polygon_area(g.project_edges(outline, crs.to_albers), ["zone_id"], "km2")
     return enriched.join(area, "zone_id", "left")
@@ -36,7 +37,7 @@ def city_enrichment(
 
 def buildings_for_aoi(
     buildings: DataFrame, aoi: DataFrame, key: str, confidence: float, min_area: float, max_area: float | None = None,
-    exact: bool = True, level: int = 6, token: str | None = None,
+    exact: bool = True, level: int = 6, token: str | None = None, zone: str | None = None,
 ) -> DataFrame:
     """Buildings of an AOI: cell tokens prune, cheap filters run next, the exact test last."""
     box = g.bounds(aoi)
@@ -49,18 +50,18 @@ def buildings_for_aoi(
     kept = bd.filter_bbox(kept, (b["min_x"], b["min_y"], b["max_x"], b["max_y"]))
     if not exact:
         return kept
-    zone = aoi.select(F.lit(0).alias("__zone"), "x1", "y1", "x2", "y2")
-    return g.points_in_polygons(kept, zone, [key], "longitude", "latitude", "__zone").drop("__zone")
+    return g.points_in_area(kept, aoi, [key], "longitude", "latitude", zone)
 
 
 def roads_for_area(
-    roads: DataFrame, aoi: DataFrame, types: Sequence[str], attributes: Sequence[str], utm: int, south: bool = False
+    roads: DataFrame, aoi: DataFrame, types: Sequence[str], attributes: Sequence[str], utm: int, south: bool = False,
+    zone: str | None = None,
 ) -> DataFrame:
     """Roads cut to the AOI, filtered, cleaned, de-duplicated and measured."""
     one = rd.dedupe(rd.validate_segments(roads))
     one = rd.filter_road_type(one, types)
     one = rd.clean_road_attributes(rd.select_road_attributes(one, attributes))
-    pieces = g.clip_lines(one, aoi, ["osm_id"])
+    pieces = g.clip_lines(one, aoi, ["osm_id"], zone=zone)
     planar = g.project_edges(pieces, lambda x, y: crs.to_utm(x, y, utm, south))
     lengths = planar.groupBy("osm_id").agg(
         F.count("*").alias("pieces"), F.sum(F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))).alias("length_m")
@@ -77,10 +78,11 @@ def emissions_report(cells: DataFrame, edges: DataFrame, grid: Grid, month: str,
 
 
 def annual_air_quality(
-    cells: DataFrame, aoi: DataFrame, grid: Grid, stats: Sequence[str] = ("mean", "max"), seasons: Mapping | None = None
+    cells: DataFrame, aoi: DataFrame, grid: Grid, stats: Sequence[str] = ("mean", "max"), seasons: Mapping | None = None,
+    zone: str | None = None,
 ) -> DataFrame:
     """Spatial summary of each annual and seasonal statistic raster inside the AOI."""
-    valid = mask_nodata(g.clip_raster(cells, aoi, grid), grid.nodata).where("value is not null")
+    valid = mask_nodata(g.clip_raster(cells, aoi, grid, zone=zone), grid.nodata).where("value is not null")
     parts = []
     for stat in stats:
         year = tm.temporal_stat(valid, stat, nodata=grid.nodata).withColumn("season", F.lit("annual"))

@@ -70,6 +70,22 @@ VIEWS: dict[str, str] = {
         from part""",
     "highway_copies": """
         select * from highways union all select * from highways where osm_id % 10 = 0""",
+    "nan_cells": """
+        select month, r, c, x, y, case when (r + c*2) % 13 = 0 then cast('NaN' as double) else value end as value from cells""",
+    "squares": """
+        select cast(s_suppkey as int) as zone_id, -20.0D0 + (s_suppkey*37 % 92)*0.125D0 as x0, 10.0D0 - (s_suppkey*61 % 92 + 6)*0.125D0 as y0,
+          (1 + s_suppkey % 5)*0.125D0 as side from supplier
+        union all
+        select cast(s_suppkey + 10000000 as int), -20.0D0 + (s_suppkey*37 % 92)*0.125D0, 10.0D0 - (s_suppkey*61 % 92 + 6)*0.125D0,
+          (1 + s_suppkey % 5)*0.125D0 from supplier where s_suppkey % 4 = 0""",
+    "square_edges": """
+        select zone_id, k, x0 + case when k in (1, 2) then side else 0.0D0 end as x1, y0 + case when k in (2, 3) then side else 0.0D0 end as y1,
+          x0 + case when k in (0, 1) then side else 0.0D0 end as x2, y0 + case when k in (1, 2) then side else 0.0D0 end as y2
+        from squares cross join (select 0 as k union all select 1 union all select 2 union all select 3) q
+        union all
+        select zone_id, k + 4, x0 + case when k in (1, 2) then 0.375D0 else 0.25D0 end, y0 + case when k in (2, 3) then 0.375D0 else 0.25D0 end,
+          x0 + case when k in (0, 1) then 0.375D0 else 0.25D0 end, y0 + case when k in (1, 2) then 0.375D0 else 0.25D0 end
+        from squares cross join (select 0 as k union all select 1 union all select 2 union all select 3) q where side = 0.625D0""",
     "places": """
         select c_custkey as place_id,
           case c_custkey % 6 when 0 then 'KEN' when 1 then 'GHA' when 2 then 'NGA' when 3 then 'XYZ'

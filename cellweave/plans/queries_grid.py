@@ -25,9 +25,9 @@ def _box():
 @query("bounds_intersection", "boxes", """
 select a.box_id, greatest(a.left_x, b.left_x) as left_x, greatest(a.bottom_y, b.bottom_y) as bottom_y, least(a.right_x, b.right_x) as right_x,
   least(a.top_y, b.top_y) as top_y from boxes a join (select box_id, left_x, bottom_y, left_x + 12.0D0 as right_x, bottom_y + 9.0D0 as top_y from boxes) b
-  on b.box_id = a.box_id + 1 where greatest(a.left_x, b.left_x) < least(a.right_x, b.right_x) and greatest(a.bottom_y, b.bottom_y) < least(a.top_y, b.top_y)""")
+  on b.box_id = a.box_id + 99 where greatest(a.left_x, b.left_x) < least(a.right_x, b.right_x) and greatest(a.bottom_y, b.bottom_y) < least(a.top_y, b.top_y)""")
 def bounds_intersection(t):
-    other = t.boxes.select((col("box_id") - 1).alias("box_id"), col("left_x").alias("l"), col("bottom_y").alias("b"))
+    other = t.boxes.select((col("box_id") - 99).alias("box_id"), col("left_x").alias("l"), col("bottom_y").alias("b"))
     common = gr.bounds_intersection(_box(), [col("l"), col("b"), col("l") + 12.0, col("b") + 9.0])
     found = t.boxes.join(other, "box_id").select("box_id", common.alias("box")).where("box is not null")
     return found.select("box_id", col("box.left").alias("left_x"), col("box.bottom").alias("bottom_y"), col("box.right").alias("right_x"), col("box.top").alias("top_y"))

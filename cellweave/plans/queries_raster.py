@@ -16,6 +16,7 @@ from cellweave.operators import temporal as tm
 from cellweave.operators import zonal as zn
 from cellweave.plans.fixtures import GRID
 from cellweave.plans.registry import query
+from cellweave.session import sized_join
 
 MEMBERS = """
 with m as (select c.month, c.r, c.c, c.value, e.zone_id from cells c join edges e
@@ -334,16 +335,47 @@ def class_breaks_quantile(t):
     return cl.class_breaks(valid, "quantile", 4, ["month"]).select("month", F.posexplode("breaks").alias("i", "brk"))
 
 
-@query("class_breaks_jenks")
+def _natural_oracle(source: str, bins: int, k: int) -> str:
+    """Optimal classes of whole bins: a table of least costs per number of classes, then the way back."""
+    return f"""
+with recursive v as ({source}),
+span as (select month, min(value) as lo, max(value) as hi from v group by month),
+bin as (select v.month, least(coalesce(floor((value - lo) / nullif(hi - lo, 0.0D0) * {bins}.0D0), 0), {bins - 1}) as b, count(*) as w, sum(value) as s1,
+  sum(value*value) as s2, min(value) as lo, max(value) as hi from v join span s on v.month = s.month group by 1, 2),
+item as (select month, row_number() over (partition by month order by b) as i, lo, hi,
+  sum(w) over z as w, sum(s1) over z as s1, sum(s2) over z as s2 from bin window z as (partition by month order by b)),
+edge as (select month, i, w, s1, s2 from item union all select distinct month, 0, 0, 0.0D0, 0.0D0 from item),
+spread as (select a.month, a.i as i, e.i as e, greatest(e.s2 - a.s2 - (e.s1 - a.s1)*(e.s1 - a.s1)/(e.w - a.w), 0.0D0) as d
+  from edge a join edge e on a.month = e.month and a.i < e.i),
+best as (
+  select month, 1 as c, list(d order by e) as cost, list(cast(0 as bigint) order by e) as back from spread where i = 0 group by month
+  union all
+  select month, c, list(d order by e), list(cast(i as bigint) order by e) from (
+    select s.month, b.c + 1 as c, s.e, min(case when s.i > 0 then b.cost[s.i] end + s.d) as d,
+      arg_min(s.i, case when s.i > 0 then b.cost[s.i] end + s.d) filter (s.i >= b.c) as i
+    from best b join spread s on b.month = s.month where b.c < {k} group by s.month, b.c, s.e) q group by month, c),
+way as (
+  select m.month, {k} as c, m.m as e from (select month, max(i) as m from item group by month) m
+  union all
+  select w.month, w.c - 1, b.back[w.e] from way w join best b on b.month = w.month and b.c = w.c where w.c > 0),
+brk as (select w.month, w.c as i, case when w.c = 0 then (select min(lo) from item t where t.month = w.month) else t.hi end as brk
+  from way w left join item t on t.month = w.month and t.i = w.e)
+"""
+
+
+@query("class_breaks_jenks", "cells", _natural_oracle("select month, value from cells where value <> -9999.0D0", cl.BINS, 5) + """
+select month, cast(i as int) as i, brk from brk""")
 def class_breaks_jenks(t):
     valid = t.cells.select(*CELL).where("value <> -9999")
     return cl.class_breaks(valid, "jenks", 5, ["month"]).select("month", F.posexplode("breaks").alias("i", "brk"))
 
 
-@query("class_breaks_log")
+@query("class_breaks_log", "cells", _natural_oracle("select month, log10(value) as value from cells where value > 0", cl.BINS, 5) + """
+select month, cast(i as int) as i, round(pow(10.0D0, brk), 2) as brk from brk""")
 def class_breaks_log(t):
     valid = t.cells.select(*CELL).where("value <> -9999")
-    return cl.class_breaks(valid, "log", 5, ["month"]).select("month", F.posexplode("breaks").alias("i", "brk"))
+    breaks = cl.class_breaks(valid, "log", 5, ["month"]).select("month", F.posexplode("breaks").alias("i", "brk"))
+    return breaks.withColumn("brk", F.round("brk", 2))
 
 
 @query("classify_cells", "cells", """
@@ -354,7 +386,7 @@ from cells join b on month = k""".replace(", b as", "with b as"))
 def classify_cells(t):
     valid = mask_nodata(t.cells.select(*CELL), -9999.0)
     breaks = cl.class_breaks(valid, "auto", 8, ["month"]).withColumnRenamed("month", "k")
-    joined = valid.join(F.broadcast(breaks), F.col("month") == F.col("k"))  # one row per raster
+    joined = sized_join(valid, breaks.withColumnRenamed("k", "month"), ["month"])
     return joined.select("month", "r", "c", classify_by(F.col("value"), F.col("breaks")).alias("class"))
 
 
@@ -413,3 +445,33 @@ select b.raster_id, coalesce(b.bands = 4 and n > 1 and (zero > 0 or lo < 200), f
 from (select raster_id, max(band) as bands from rgba group by raster_id) b left join a on a.raster_id = b.raster_id""")
 def detect_alpha(t):
     return im.detect_alpha(t.rgba, ["raster_id"])
+
+
+# ------------------------------------------------------------------ NaN
+
+NAN_MEMBERS = MEMBERS.replace("from cells c", "from nan_cells c")
+_NAN_STATS = """
+select zone_id, month, count(value) as count, avg(value) as mean, median(value) as median, round(quantile_cont(value, 0.75), 6) as percentile_75
+from (select zone_id, month, case when value <> -9999.0D0 and not isnan(value) then value end as value from m) v group by zone_id, month"""
+
+for _name, _small in {"zonal_nan_small": True, "zonal_nan_large": False}.items():
+
+    def _zonal_nan(t, small=_small):
+        stats = ["count", "mean", "median", "percentile_75"]
+        out = zn.zonal_stats(t.nan_cells.select(*CELL), t.edges, GRID, stats, by=["month"], small=small)
+        return _rounded(out, "percentile_75", digits=6)
+
+    query(_name, "cells nan_cells edges", NAN_MEMBERS + _NAN_STATS)(_zonal_nan)
+
+_NAN_SQL = {"mean": "avg", "median": "median", "sum": "sum", "min": "min", "max": "max", "std": "stddev_pop"}
+
+for _stat, _function in _NAN_SQL.items():
+
+    def _temporal_nan(t, stat=_stat):
+        out = tm.temporal_stat(t.nan_cells.select(*CELL), stat, nodata=-9999.0)
+        return out.withColumn("value", F.round("value", 4))
+
+    query(f"temporal_nan_{_stat}", "cells nan_cells", f"""
+select r, c, case when bool_or(isnan(value)) then cast('NaN' as double) else
+  round(coalesce({_function}(case when value <> -9999.0D0 and not isnan(value) then value end), -9999.0D0), 4) end as value
+from nan_cells group by r, c""")(_temporal_nan)

@@ -262,9 +262,9 @@ def validate_rows(t):
 
 @query("region_of", "places", """
 select place_id, case iso3 when 'KEN' then 'kenya' when 'GHA' then 'ghana' when 'NGA' then 'nigeria' when 'ZAF' then 'south-africa'
-  when 'XYZ' then 'xyz' end as region, iso3 as back from places where iso3 is not null""")
+  when 'XYZ' then 'xyz' end as region, iso3 as back from places""")
 def region_of(t):
-    named = t.places.where("iso3 is not null").select("place_id", pl.region_of(col("iso3")).alias("region"))
+    named = t.places.select("place_id", pl.region_of(col("iso3")).alias("region"))
     return named.withColumn("back", pl.iso3_of(col("region")))
 
 
@@ -358,11 +358,8 @@ select count(*) as n, round(avg(area_in_meters), 6) as area_mean, min(area_in_me
   round(avg(confidence), 9) as confidence_mean, min(confidence) as confidence_min, max(confidence) as confidence_max,
   round(median(area_in_meters), 6) as area_median from buildings""")
 def building_summary(t):
-    from cellweave.operators.zonal import grouped_stats
-
-    base = bd.building_summary(t.buildings).withColumns({"area_mean": F.round("area_mean", 6), "confidence_mean": F.round("confidence_mean", 9)})
-    median = grouped_stats(t.buildings, [], ["median"], "area_in_meters").select(F.round("median", 6).alias("area_median"))
-    return base.join(F.broadcast(median))  # one row
+    out = bd.building_summary(t.buildings).withColumns({"area_mean": F.round("area_mean", 6), "confidence_mean": F.round("confidence_mean", 9)})
+    return out.withColumn("area_median", F.round("area_median", 6))
 
 
 # ------------------------------------------------------------------ roads

@@ -117,7 +117,7 @@ def within_distance(t):
 
 
 GRID_EDGES = """
-with cellbox as (select building_id % 40 as gx, floor(building_id/40.0D0) as gy from buildings where confidence < 0.9),
+with cellbox as (select building_id % 40 as gx, floor(building_id/40.0D0) as gy from buildings),
 q as (select gx, gy, k, gx*0.5D0 + case when k in (1, 2) then 0.5D0 else 0.0D0 end as x1, gy*0.5D0 + case when k in (2, 3) then 0.5D0 else 0.0D0 end as y1,
   gx*0.5D0 + case when k in (0, 1) then 0.5D0 else 0.0D0 end as x2, gy*0.5D0 + case when k in (1, 2) then 0.5D0 else 0.0D0 end as y2
   from cellbox cross join range(4) z(k))
@@ -126,7 +126,7 @@ q as (select gx, gy, k, gx*0.5D0 + case when k in (1, 2) then 0.5D0 else 0.0D0 e
 
 def _squares(t):
     """Adjoining half-degree squares, one per building."""
-    at = t.buildings.where("confidence < 0.9").select(
+    at = t.buildings.select(
         (col("building_id") % 40).alias("gx"), F.floor(col("building_id") / 40.0).alias("gy")
     )
     k = F.explode(F.sequence(lit(0), lit(3)))
@@ -345,3 +345,76 @@ def scan_by_cell_token(t):
     vc.write_buildings_by_token(keyed, path)
     tokens = filter_bbox(keyed, (-18, 2, -14, 8)).select("s2_token")
     return vc.scan_by_cell_token(t.spark, path, tokens, schema=keyed.schema).select("building_id", "s2_token")
+
+
+# ------------------------------------------------------------------ areas of overlapping polygons
+
+SQUARE_CELLS = f"""
+with part as (select c.month, c.r, c.c, c.value, e.zone_id from cells c join square_edges e on {INSIDE.format(x='c.x', y='c.y')}
+  group by all having count(*) % 2 = 1),
+hit as (select distinct month, r, c, value from part)
+"""
+
+#: eighth-degree cells of the union; squares and their holes are made of whole ones
+LATTICE = """
+with cover as (select distinct cast(i as int) as i, cast(j as int) as j from (
+  select (x0 + 20.0D0) / 0.125D0 + a as i, (y0 + 20.0D0) / 0.125D0 + b as j, side, a, b
+  from squares, range(5) p(a), range(5) q(b) where a < side / 0.125D0 and b < side / 0.125D0) z where not (side = 0.625D0 and a = 2 and b = 2))
+"""
+
+
+@query("clip_raster_overlap", "cells squares square_edges", SQUARE_CELLS + "select * from hit")
+def clip_raster_overlap(t):
+    return g.clip_raster(t.cells.select(*CELL), t.square_edges, GRID, zone="zone_id")
+
+
+@query("clip_touched_overlap", "cells squares square_edges", SQUARE_CELLS + """
+select * from hit union select c.month, c.r, c.c, c.value from cells c join square_edges e
+ on c.r between floor((10.0D0 - greatest(e.y1, e.y2))/0.0625D0) and floor((10.0D0 - least(e.y1, e.y2))/0.0625D0)
+ and c.c between floor((least(e.x1, e.x2) + 20.0D0)/0.0625D0) and floor((greatest(e.x1, e.x2) + 20.0D0)/0.0625D0)""")
+def clip_touched_overlap(t):
+    return g.clip_raster(t.cells.select(*CELL), t.square_edges, GRID, all_touched=True, zone="zone_id")
+
+
+@query("within_distance_overlap", "buildings squares square_edges", f"""
+with d as (select building_id, longitude as x, latitude as y, e.*, greatest(0.0D0, least(1.0D0, ((longitude-x1)*(x2-x1)+(latitude-y1)*(y2-y1)) / ((x2-x1)*(x2-x1)+(y2-y1)*(y2-y1)))) as t
+  from buildings cross join square_edges e)
+select building_id from d group by building_id having min((x-(x1+t*(x2-x1)))*(x-(x1+t*(x2-x1))) + (y-(y1+t*(y2-y1)))*(y-(y1+t*(y2-y1)))) <= 0.01D0
+union select building_id from (select b.building_id, e.zone_id from buildings b join square_edges e on {INSIDE.format(x='b.longitude', y='b.latitude')}
+  group by b.building_id, e.zone_id having count(*) % 2 = 1) z""")
+def within_distance_overlap(t):
+    points = t.buildings.select("building_id", "longitude", "latitude")
+    return g.within_distance(points, t.square_edges, 0.1, ["building_id"], "longitude", "latitude", zone="zone_id").select("building_id")
+
+
+@query("clip_lines_overlap", "highways squares square_edges", PIECES.replace("join aoi a", "join square_edges a").split("kept as")[0] + f"""
+part as (select q.osm_id, q.piece, q.t, q.t2, q.x1, q.y1, q.x2, q.y2, e.zone_id from q join square_edges e on {INSIDE.format(x='q.mx', y='q.my')}
+  group by all having count(*) % 2 = 1),
+one as (select distinct osm_id, piece, t, t2, x1, y1, x2, y2 from part)
+select osm_id, round(sum((t2-t)*sqrt((x2-x1)*(x2-x1)+(y2-y1)*(y2-y1))), 6) as length from one group by osm_id""")
+def clip_lines_overlap(t):
+    pieces = g.clip_lines(t.highways, t.square_edges, ["osm_id"], zone="zone_id")
+    length = F.sum(F.hypot(col("x2") - col("x1"), col("y2") - col("y1")))
+    return pieces.groupBy("osm_id").agg(F.round(length, 6).alias("length"))
+
+
+@query("features_within_holes", "buildings squares", LATTICE + """
+, need as (select building_id, cast(floor((longitude + 20.0D0)/0.125D0) + a as int) as i, cast(floor((latitude + 20.0D0)/0.125D0) + b as int) as j
+  from buildings, range(3) p(a), range(3) q(b)
+  where -20.0D0 + (floor((longitude + 20.0D0)/0.125D0) + a)*0.125D0 < longitude + 0.25D0 and -20.0D0 + (floor((latitude + 20.0D0)/0.125D0) + b)*0.125D0 < latitude + 0.25D0)
+select building_id from need n left join cover c on n.i = c.i and n.j = c.j group by building_id having count(*) = count(c.i)""")
+def features_within_holes(t):
+    return g.features_within(t.building_edges, t.square_edges, ["building_id"], zone="zone_id")
+
+
+@query("dissolve_overlap", "squares", LATTICE + """
+, sides as (select i, j, k from cover, range(4) q(k)),
+free as (select s.i, s.j, s.k from sides s left join cover c on c.i = s.i + case k when 1 then 1 when 3 then -1 else 0 end
+  and c.j = s.j + case k when 0 then -1 when 2 then 1 else 0 end where c.i is null)
+select k % 2 = 0 as flat, round(case k when 0 then j when 2 then j + 1 when 3 then i else i + 1 end * 0.125D0 - 20.0D0, 6) as at, round(count(*)*0.125D0, 6) as length
+from free group by 1, 2""")
+def dissolve_overlap(t):
+    outline = g.union_outline(t.square_edges, "zone_id")
+    flat = col("y1") == col("y2")
+    length = F.round(F.sum(F.abs(col("x2") - col("x1")) + F.abs(col("y2") - col("y1"))), 6)
+    return outline.groupBy(flat.alias("flat"), F.round(F.when(flat, col("y1")).otherwise(col("x1")), 6).alias("at")).agg(length.alias("length"))
