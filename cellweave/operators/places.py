@@ -53,11 +53,17 @@ def missing_names(requested: DataFrame, features: DataFrame, column: str) -> Dat
 
 
 def require_names(requested: DataFrame, features: DataFrame, column: str) -> DataFrame:
-    """``features`` itself, or an error listing missing and available names."""
-    absent = [r[0] for r in missing_names(requested, features, column).orderBy(column).limit(20).collect()]
+    """``features`` itself, or an error with the number of missing names.
+
+    The names themselves may be many: :func:`missing_names` and :func:`list_names` give all of them.
+    """
+    absent, such = missing_names(requested, features, column).agg(F.count("*"), F.min(column)).first()
     if absent:
-        known = [r[0] for r in list_names(features, column).limit(20).collect()]
-        raise ValueError(f"names not found: {absent}; available: {known}")
+        known = list_names(features, column).count()
+        raise ValueError(
+            f"{absent} requested name(s) not found in {column}, such as {such!r}; missing_names gives all, "
+            f"list_names the {known} there are"
+        )
     return features
 
 

@@ -61,11 +61,10 @@ def detect_months(
     if check:
         report = found.agg(F.count_if(F.col("month").isNull()).alias("n")).first()
         if report["n"] and not skip_undetected:
-            names = [r[0] for r in found.where("month is null").select(path).orderBy(path).limit(5).collect()]
-            raise ValueError(f"no month in {report['n']} file(s), such as {names}")
-        twice = duplicate_months(found, keys).limit(1).collect()
+            raise ValueError(f"no month in {report['n']} file(s); with skip_undetected and check off they have a NULL month")
+        twice = duplicate_months(found, keys).count()
         if twice:
-            raise ValueError(f"several files for one month: {twice[0].asDict()}")
+            raise ValueError(f"several files for one month in {twice} case(s); duplicate_months lists them")
     return found.where(F.col("month").isNotNull())
 
 

@@ -227,6 +227,23 @@ def features_roundtrip(t):
     return vc.feature_edges(back, ["id"]).select("id", "seq", "x1", "y1", "x2", "y2")
 
 
+@query("features_two_files", "building_edges", """
+select copy, count(*) as edges, count(distinct building_id) as features, 'EPSG:4326' as crs
+from building_edges cross join (select 1 as copy union all select 2) q group by copy""")
+def features_two_files(t):
+    """The same features under the same given ids in two files: every one keeps an id of its own."""
+    ring = t.building_edges.select("building_id", "k", col("x1").alias("px"), col("y1").alias("py"))
+    closed = ring.unionByName(ring.where("k = 0").withColumn("k", lit(4)))
+    features = vc.parts_from_vertices(closed, ["building_id"], "k").withColumn("geom_type", lit("Polygon"))
+    paths = [scratch(t.spark), scratch(t.spark)]
+    for path in paths:
+        vc.write_features(features, path, "geojson", ["building_id"])
+    back = vc.read_features(t.spark, paths)
+    copy = F.when(F.col("feature_id").contains(paths[0].rsplit("/", 1)[-1]), 1).otherwise(2)
+    edges = vc.feature_edges(back.withColumn("copy", copy), ["feature_id", "crs", "copy"])
+    return edges.groupBy("copy", "crs").agg(F.count("*").alias("edges"), F.countDistinct("feature_id").alias("features"))
+
+
 @query("vector_info", "zone_ring buildings", """
 select 'Polygon' as geom_type, count(distinct zone_id) as features, min(px) as min_x, min(py) as min_y, max(px) as max_x, max(py) as max_y from zone_ring
 union all select 'Point', count(distinct building_id), min(longitude), min(latitude), max(longitude), max(latitude) from buildings""")

@@ -49,11 +49,9 @@ def list_files(
 def require_single(files: DataFrame, pattern: str) -> DataFrame:
     """The one file that matches, as a row; none or several is an error."""
     found = list_files(files, pattern=pattern)
-    names = [r["path"] for r in found.limit(6).collect()]
-    if not names:
-        raise ValueError(f"no file matches {pattern}")
-    if len(names) > 1:
-        raise ValueError(f"{pattern} must match one file, found {names}")
+    n = found.count()
+    if n != 1:
+        raise ValueError(f"{pattern} must match one file, found {n}; list_files with this pattern gives them")
     return found
 
 

@@ -26,6 +26,9 @@ _FEATURE = T.StructType(
     ]
 )
 _COLLECTION = T.StructType([T.StructField("features", T.ArrayType(_FEATURE))])
+_CRS = T.StructType(
+    [T.StructField("crs", T.StructType([T.StructField("properties", T.StructType([T.StructField("name", T.StringType())]))]))]
+)
 
 
 def _points(coords: Column) -> Column:
@@ -47,31 +50,87 @@ def _parse(kind: Column, text: Column) -> tuple[Column, Column]:
     return parts, shape
 
 
+#: Names that a GeoJSON ``crs`` member gives to longitude and latitude.
+_LONLAT = "(?i)(?:CRS84|EPSG:{1,2}4326)$"
+
+
+def feature_records(spark: SparkSession, path: str | Sequence[str], lines: bool = False) -> DataFrame:
+    """``file, position, f, crs, broken``: one row per feature, and per text that is no feature.
+
+    ``broken`` holds a text that could not be parsed (a line, or what is left of a document);
+    ``position`` is the place of the feature in its file.
+    """
+    paths = [path] if isinstance(path, str) else list(path)
+    if lines:
+        raw = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
+        raw = raw.where(F.trim("value") != "")
+        schema = T.StructType([*_FEATURE, T.StructField("broken", T.StringType())])
+        parsed = F.from_json("value", schema, {"columnNameOfCorruptRecord": "broken"})
+        # block of the file and row within the task that reads it: unique, and the same while files are split alike
+        row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+        named = F.concat_ws("-", F.col("block").cast("string"), row.cast("string")).alias("position")
+        return raw.select("file", named, parsed.alias("f"), F.lit(None).cast("string").alias("crs"), parsed["broken"].alias("broken"))
+    schema = T.StructType(
+        [*_COLLECTION, *_CRS, T.StructField("type", T.StringType()), T.StructField("broken", T.StringType())]
+    )
+    docs = (
+        spark.read.schema(schema)
+        .option("multiLine", True)
+        .option("columnNameOfCorruptRecord", "broken")
+        .json(paths)
+        .select(F.col("_metadata.file_path").alias("file"), "*")
+    )
+    # a document that is neither broken nor a collection holds no features either
+    broken = F.coalesce("broken", F.when(F.col("features").isNull(), F.concat(F.lit("no FeatureCollection but "), F.coalesce("type", F.lit("other JSON")))))
+    return docs.select("file", F.posexplode_outer("features").alias("position", "f"), F.col("crs.properties.name").alias("crs"), broken.alias("broken"))
+
+
+def rejected_features(spark: SparkSession, path: str | Sequence[str], lines: bool = False) -> DataFrame:
+    """``file, broken``: every document or line that is no feature, in full."""
+    records = feature_records(spark, path, lines)
+    return records.where(F.col("broken").isNotNull()).select("file", "broken")
+
+
 def read_features(
-    spark: SparkSession, path: str | Sequence[str], crs: str | None = None, lines: bool = False, check: bool = True
+    spark: SparkSession,
+    path: str | Sequence[str],
+    crs: str | None = None,
+    lines: bool = False,
+    check: bool = True,
+    strict: bool = True,
 ) -> DataFrame:
-    """GeoJSON → ``feature_id, properties, crs, geom_type, parts, shape``.
+    """GeoJSON → ``feature_id, given_id, properties, crs, geom_type, parts, shape``.
 
     With ``lines`` each text line is one feature: such files split over tasks.  A
     FeatureCollection is one JSON document, so one task parses one file.
+
+    ``feature_id`` is made of the file and the feature's place in it, so it is unique over files
+    and the same on each read; the id in the file is ``given_id``.  ``crs``
+    overrides the file's own ``crs`` member; without both it is EPSG:4326.  A malformed document or
+    line is an error that counts them; :func:`rejected_features` lists all, and ``strict=False`` goes on
+    without them.
     """
-    paths = [path] if isinstance(path, str) else list(path)
-    if lines:
-        rows = spark.read.schema(_FEATURE).json(paths).select(F.struct("*").alias("f"))
-    else:
-        rows = spark.read.schema(_COLLECTION).option("multiLine", True).json(paths)
-        rows = rows.select(F.explode("features").alias("f"))
+    records = feature_records(spark, path, lines)
+    if strict:
+        bad = records.where(F.col("broken").isNotNull()).count()
+        if bad:
+            raise ValueError(f"{bad} malformed document(s) or line(s) in {path}; rejected_features lists them")
+    rows = records.where(F.col("broken").isNull() & F.col("f").isNotNull())
     parts, shape = _parse(F.col("f.geometry.type"), F.col("f.geometry.coordinates"))
+    named = F.when(F.col("crs").rlike(_LONLAT), F.lit("EPSG:4326")).otherwise(
+        F.regexp_replace("crs", r"^urn:ogc:def:crs:([^:]+):[^:]*:([^:]+)$", "$1:$2")
+    )
     out = rows.select(
-        F.coalesce("f.id", F.monotonically_increasing_id().cast("string")).alias("feature_id"),
+        F.concat_ws("#", "file", F.col("position").cast("string")).alias("feature_id"),
+        F.col("f.id").alias("given_id"),
         F.col("f.properties").alias("properties"),
-        F.lit(crs or "EPSG:4326").alias("crs"),
+        F.coalesce(F.lit(crs), named, F.lit("EPSG:4326")).alias("crs"),
         F.col("f.geometry.type").alias("geom_type"),
         parts.alias("parts"),
         shape.alias("shape"),
     )
     if check and out.isEmpty():
-        raise ValueError(f"no features could be read from {paths}")
+        raise ValueError(f"no features could be read from {path}")
     return out
 
 
@@ -161,17 +220,29 @@ def write_features(
 
 
 def read_buildings(
-    spark: SparkSession, path: str | Sequence[str], names: Sequence[str] | None = None, partitions: int | None = None
+    spark: SparkSession,
+    path: str | Sequence[str],
+    names: Sequence[str] | None = None,
+    partitions: int | None = None,
+    rejected: str | None = None,
 ) -> DataFrame:
     """Headerless gzip CSV building files.
 
-    gzip does not split, so a file is one task; ``partitions`` spreads the rows afterwards.
+    gzip does not split, so a file is one task; ``partitions`` spreads the rows afterwards.  A
+    line that does not fit the columns is an error; with ``rejected`` all rows are returned, and
+    the column of that name holds the text of a line that does not fit (else NULL).
     """
     schema = BUILDINGS
     if names is not None:
         types = {f.name: f.dataType for f in BUILDINGS}
         schema = T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in names])
-    df = spark.read.schema(schema).option("header", False).csv([path] if isinstance(path, str) else list(path))
+    reader = spark.read.option("header", False)
+    if rejected is None:
+        reader = reader.schema(schema).option("mode", "FAILFAST")
+    else:
+        schema = T.StructType([*schema, T.StructField(rejected, T.StringType())])
+        reader = reader.schema(schema).option("columnNameOfCorruptRecord", rejected)
+    df = reader.csv([path] if isinstance(path, str) else list(path))
     return df.repartition(partitions) if partitions else df
 
 

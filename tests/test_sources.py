@@ -189,3 +189,30 @@ def test_stream_of_masks(spark, tmp_path):
     q = run_available(stream, lambda d: mask_values(d, 49, "greater", nodata=-1), str(tmp_path / "out"), str(tmp_path / "ck"))
     q.awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).where("value = -1").count() == 50
+
+
+def test_malformed_features_are_never_lost(spark, tmp_path):
+    good = '{"type":"Feature","id":"1","properties":{},"geometry":{"type":"Point","coordinates":[1,2]}}'
+    crs = '"crs":{"type":"name","properties":{"name":"urn:ogc:def:crs:EPSG::3857"}},'
+    for name, text in {"a": f'{{"type":"FeatureCollection",{crs}"features":[{good},{good}]}}', "b": f'{{"type":"FeatureCollection","features":[{good}'}.items():
+        (tmp_path / f"{name}.geojson").write_text(text)
+    path = str(tmp_path / "*.geojson")
+    with pytest.raises(ValueError, match="1 malformed"):
+        vc.read_features(spark, path)
+    assert [r["file"][-9:] for r in vc.rejected_features(spark, path).collect()] == ["b.geojson"]
+    rows = vc.read_features(spark, path, strict=False).collect()
+    assert len({r["feature_id"] for r in rows}) == 2 and {(r["given_id"], r["crs"]) for r in rows} == {("1", "EPSG:3857")}
+    lines = tmp_path / "l.jsonl"
+    lines.write_text(f"{good}\n{good}\n{good[:-9]}\n\n{good}\n")
+    assert vc.rejected_features(spark, str(lines), lines=True).count() == 1
+    rows = vc.read_features(spark, str(lines), lines=True, strict=False).collect()
+    assert len({r["feature_id"] for r in rows}) == len(rows) == 3
+
+
+def test_malformed_buildings_are_never_lost(spark, tmp_path):
+    with gzip.open(tmp_path / "x.csv.gz", "wt") as f:
+        f.write("1.5,2.5,10,0.9,POINT,8F\n1.5,abc,10,0.9,POINT,8F\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        vc.read_buildings(spark, str(tmp_path / "x.csv.gz")).collect()
+    rows = vc.read_buildings(spark, str(tmp_path / "x.csv.gz"), rejected="bad").collect()
+    assert [r["bad"] for r in rows] == [None, "1.5,abc,10,0.9,POINT,8F"]
