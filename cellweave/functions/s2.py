@@ -38,11 +38,6 @@ def check_level(level: int) -> int:
     return level
 
 
-def is_building_level(level: int) -> bool:
-    """Levels that building files are cut at."""
-    return 4 <= level <= 8
-
-
 def _pick(face: Column, choices) -> Column:
     out = F.when(face == 0, choices[0])
     for k in range(1, 5):

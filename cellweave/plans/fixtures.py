@@ -122,7 +122,7 @@ VIEWS: dict[str, str] = {
         from part""",
     "catalog": """
         select o_orderkey as item_id, o_orderdate as start_datetime,
-          concat('s3://bucket/item_', cast(o_orderkey as varchar(20)), '.tif') as href, o_orderpriority as collection
+          concat('/data/item_', cast(o_orderkey as varchar(20)), '.tif') as href, o_orderpriority as collection
         from orders""",
     "gridded": """
         select cast(month as int) as month, lat, lon, max(v) as v

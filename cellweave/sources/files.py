@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import io
-import posixpath
 import zipfile
 from collections.abc import Iterator, Sequence
 
@@ -102,7 +101,3 @@ def select_archive_entries(entries: DataFrame, pattern: str | None = None) -> Da
 
 def list_archive_entries(spark: SparkSession, path: str | Sequence[str], pattern: str | None = None) -> DataFrame:
     return select_archive_entries(read_zip_entries(spark, path), pattern)
-
-
-def parent_folder(path: str) -> str:
-    return posixpath.dirname(path)
