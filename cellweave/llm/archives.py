@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 import uuid
@@ -13,11 +14,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm.common import hot_join
+from cellweave.llm.common import hot_join, may_match
 from cellweave.session import cut_lineage, shared_folder
 
-#: Payload bytes of an archive file, about; a reader holds one file at a time.
+#: Payload bytes of an archive file, on average; a reader holds one file at a time.
 FILE_BYTES = 16 << 20
+SUFFIX = "*.txt.gz"
 #: Payload bytes handed to Spark at once.
 BATCH_BYTES = 4 << 20
 #: The header lines of both versions of the ARC format.
@@ -46,16 +48,26 @@ def _url(url: str | None) -> str:
     return re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url or "about:blank")
 
 
-def _file_count(rows: DataFrame, bytes_col) -> int:
-    total = rows.agg(F.sum(bytes_col)).first()[0] or 0
-    return int(max(1, -(-total // FILE_BYTES)))
+def _records_per_file(rows: int, payload_bytes: int) -> int:
+    """Rows of a file, its description among them, that hold about ``FILE_BYTES``."""
+    return max(2, 1 + FILE_BYTES * rows // max(1, payload_bytes)) if rows else 2
+
+
+def _write(records: DataFrame, path: str, per_file: int) -> None:
+    """Records as they are, a line feed behind each, in gzip files of ``per_file`` rows."""
+    records.write.option("lineSep", "\n").option("compression", "gzip").option("maxRecordsPerFile", per_file).text(path)
 
 
 def write_arc(pages: DataFrame, path: str, date: str = "20240101000000", id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> None:
     """One ARC record per page, in files of about ``FILE_BYTES``; version 1 and 2 take turns.
 
-    The payload is the page in UTF-8 behind HTTP headers; NULL is an empty payload.
+    The payload is the page in UTF-8 behind HTTP headers; NULL is an empty payload.  Pages stay in
+    the task that reads them: a description is put before every so many records, and the sink
+    begins a new file there.
     """
+    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string"), F.col(html_col).cast("string").alias("html"))
+    count, size = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("html")), F.lit(0))).first()
+    per_file = _records_per_file(count, size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId()
@@ -63,21 +75,24 @@ def write_arc(pages: DataFrame, path: str, date: str = "20240101000000", id_col:
         about = f"{version} 0 cellweave\n{ARC_FIELDS[version]}\n"
         extra = " 200 - - 0 -" if version == 2 else ""
         name = f"pages-{number:05d}.arc"
-        yield pa.RecordBatch.from_pydict({"value": [f"filedesc://{name} 0.0.0.0 {date} text/plain{extra} {len(about)}\n{about}"]})
+        start = f"filedesc://{name} 0.0.0.0 {date} text/plain{extra} {len(about)}\n{about}"
+        written = 0
         for batch in batches:
             out = []
             for page, url, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if written % per_file == 0:
+                    out.append(start)
+                    written += 1
                 html = html or ""
                 size = len(html.encode())
                 head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n{PAGE_HEADER}: {'' if page is None else page}\r\n\r\n"
                 if version == 2:
                     extra = f" 200 {digest(html.encode())} - 0 {name}"
                 out.append(f"{_url(url)} 0.0.0.0 {date} text/html{extra} {len(head) + size}\n{head}{html}")
-            yield pa.RecordBatch.from_pydict({"value": out})
+                written += 1
+            yield pa.RecordBatch.from_pydict({"value": pa.array(out, pa.string())})
 
-    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string"), F.col(html_col).cast("string").alias("html"))
-    files = _file_count(rows, F.octet_length("html"))
-    rows.repartition(files).mapInArrow(run, "value string").write.option("lineSep", "\n").text(path)
+    _write(rows.mapInArrow(run, "value string"), path, per_file)
 
 
 def parse_arc(data: bytes) -> Iterator[dict]:
@@ -154,7 +169,7 @@ def read_arc(spark: SparkSession, path: str) -> DataFrame:
         def rows() -> Iterator[dict]:
             for batch in batches:
                 for i in range(len(batch)):
-                    for r in parse_arc(batch.column(0)[i].as_py()):
+                    for r in parse_arc(gzip.decompress(batch.column(0)[i].as_py())):
                         head, payload = _split_http(r["block"])
                         text = head.decode("latin-1")
                         yield {
@@ -171,7 +186,7 @@ def read_arc(spark: SparkSession, path: str) -> DataFrame:
 
         yield from _batches(rows(), _arrow(RECORDS))
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", SUFFIX).load(path)
     return files.select("content").mapInArrow(run, RECORDS)
 
 
@@ -199,16 +214,23 @@ def convert(arc: DataFrame, path: str, min_bytes: int = 0) -> None:
     groups = narrow.where(F.col("payload_bytes") >= min_bytes).groupBy("payload_digest").agg(
         F.max("page_id").alias("first"), F.count("*").alias("n")
     )
-    rows = hot_join(arc, groups, "payload_digest", "n", narrow.count(), how="left")
+    groups = cut_lineage(groups.where("n > 1").withColumn("hashed", F.xxhash64("payload_digest")))
+    # payloads without a copy, as far as the filter can tell, stay where they are
+    marked, flag = may_match(arc, F.xxhash64("payload_digest"), groups, "hashed", groups.count())
+    moved = hot_join(marked.where(F.col(flag).isNotNull()).drop(flag), groups.drop("hashed"), "payload_digest", "n", narrow.count(), how="left")
+    rows = moved.unionByName(marked.where(F.col(flag).isNull()).drop(flag).withColumn("first", F.lit(None).cast("long")))
+    per_file = _records_per_file(*narrow.agg(F.count("*"), F.coalesce(F.sum("payload_bytes"), F.lit(0))).first())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId()
         about = b"software: cellweave\r\nformat: WARC File Format 1.0\r\n"
-        info = _warc("warcinfo", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'file:{number}')}>", "2024-01-01T00:00:00Z", "application/warc-fields", about, [])
-        yield pa.RecordBatch.from_arrays([pa.array([info], pa.binary())], ["value"])
+        written = 0
         for batch in batches:
             out = []
             for r in batch.to_pylist():
+                if written % per_file == 0:
+                    info = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'file:{TaskContext.get().partitionId()}:{written}')}>"
+                    out.append(_warc("warcinfo", info, to_warc_date(r["date"]), "application/warc-fields", about, []))
+                    written += 1
                 own, date = record_id(r["page_id"], r["payload_digest"]), to_warc_date(r["date"])
                 more = [("WARC-Target-URI", r["url"]), ("WARC-IP-Address", r["ip"]), ("WARC-Payload-Digest", f"sha1:{r['payload_digest']}")]
                 head, mime = r["head"].encode("latin-1"), "application/http; msgtype=response"
@@ -217,11 +239,10 @@ def convert(arc: DataFrame, path: str, min_bytes: int = 0) -> None:
                     out.append(_warc("revisit", own, date, mime, head, more))
                 else:
                     out.append(_warc("response", own, date, mime, head + r["payload"], more))
+                written += 1
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
 
-    files = max(1, -(-(narrow.agg(F.sum("payload_bytes")).first()[0] or 0) // FILE_BYTES))
-    records = rows.repartition(int(files)).mapInArrow(run, "value binary")
-    records.select(F.col("value").cast("string").alias("value")).write.option("lineSep", "\n").text(path)
+    _write(rows.mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value")), path, per_file)
 
 
 def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -252,7 +273,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         def rows() -> Iterator[dict]:
             for batch in batches:
                 for i in range(len(batch)):
-                    for head, block in parse_warc(batch.column(0)[i].as_py()):
+                    for head, block in parse_warc(gzip.decompress(batch.column(0)[i].as_py())):
                         kind = head["warc-type"]
                         if kind not in ("response", "revisit"):
                             continue
@@ -272,7 +293,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
         yield from _batches(rows(), _arrow(READ))
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", SUFFIX).load(path)
     return files.select("content").mapInArrow(run, READ)
 
 

@@ -6,11 +6,13 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A key is hot when it holds at least one row in so many; so at most this many keys are hot.
 HOT_PARTS = 1000
+#: Numbers in the filter before a join, at most.
+MAX_BUCKETS = 1 << 20
 #: Text bytes that one vectorised step looks at.
 STEP_BYTES = 1 << 20
 
@@ -59,6 +61,19 @@ def hot_join(big: DataFrame, counted: DataFrame, key: str, count: str, total: in
     )
 
 
+def may_match(df: DataFrame, hashed: Column, keys: DataFrame, key: str, n_keys: int) -> tuple[DataFrame, str]:
+    """``df`` with a flag that is NULL for rows whose hash is in no bucket of ``keys``; and the flag's name.
+
+    Used before a shuffle join on the hash, so that rows without a partner need not move.  The
+    buckets are a set of at most ``MAX_BUCKETS`` numbers whatever the tables' sizes, and are
+    broadcast; with more keys than that, more rows are flagged, and the result is the same.
+    """
+    buckets = min(MAX_BUCKETS, 1 << max(10, (16 * n_keys).bit_length()))
+    name = fresh(df, "may_match")
+    found = keys.select(F.pmod(F.col(key), F.lit(buckets)).alias(name)).distinct()
+    return df.join(F.broadcast(found), F.pmod(hashed, F.lit(buckets)) == F.col(name), "left"), name
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Scrambles 64-bit values (the finaliser of splitmix64)."""
     with np.errstate(over="ignore"):
