@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.llm.common import hot_join
+from cellweave.llm.common import hot_join, may_match
 from cellweave.session import cut_lineage
 
 #: Leading tokens that lead to a leaf, below the token count.
@@ -64,8 +64,8 @@ def drop_recurring_lines(
     the first line, all keep it.  NULL ids sort first.  An empty table gives an empty one.  Other
     columns pass unchanged.
 
-    Texts move once to fetch one line of each distinct form in leaves that recur, and once to be
-    rewritten; all counting moves hashes only.
+    Texts of which a line is wanted move once, to fetch one line of each distinct form in leaves that
+    recur, and texts that may lose a line move once to be rewritten; all counting moves hashes.
     """
     text = col(text_col).cast("string")
     key = [col(id_col).alias("id"), F.xxhash64(text).alias("h")]
@@ -90,7 +90,8 @@ def drop_recurring_lines(
     wanted = live.groupBy(col("id").alias("w_id"), col("h").alias("w_h")).agg(
         F.collect_list(F.struct("pos", "leaf", "body", "texts", "leaf_texts")).alias("forms")
     )
-    texts = docs.select(*key, text.alias("text"))
+    texts, flag = may_match(docs.select(*key, text.alias("text")), col("h"), live, "h", live.count())
+    texts = texts.where(col(flag).isNotNull()).drop(flag)
     read = wanted.join(texts, col("id").eqNullSafe(col("w_id")) & (col("h") == col("w_h"))).select(
         lines_of(col("text")).alias("all"), F.explode("forms").alias("f")
     )
@@ -134,7 +135,12 @@ def drop_recurring_lines(
         .groupBy(col("id").alias("d_id"), col("h").alias("d_h"))
         .agg(F.collect_set("pos").alias("gone"))
     )
-    out = docs.select(*key, F.struct("*").alias("row")).join(drops, col("id").eqNullSafe(col("d_id")) & (col("h") == col("d_h")), "left")
+    drops = cut_lineage(drops)
+    # rows that lose no line, as far as the filter can tell, stay where they are
+    rows, flag = may_match(docs.select(*key, F.struct("*").alias("row")), col("h"), drops, "d_h", drops.count())
+    moved = rows.where(col(flag).isNotNull()).join(drops, col("id").eqNullSafe(col("d_id")) & (col("h") == col("d_h")), "left")
+    stay = rows.where(col(flag).isNull()).select("row", lit(None).cast("array<int>").alias("gone"))
+    out = moved.select("row", "gone").unionByName(stay)
     old = col("row").getField(text_col).cast("string")
     rest = F.array_join(F.filter(lines_of(old), lambda line, i: ~F.array_contains(col("gone"), i)), "\n")
     new = F.when(col("gone").isNull(), old).otherwise(rest)
