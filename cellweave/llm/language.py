@@ -48,17 +48,17 @@ def gram_vectors(grams: np.ndarray) -> np.ndarray:
 
 
 class Profiler:
-    """Bundles of texts; keeps the vectors of n-grams it has met."""
+    """Bundles of texts; keeps the vectors of n-grams it has met, in ``rows`` of a table of fixed size."""
 
     def __init__(self):
         self.letter = np.zeros(0x110000, bool)
         self.letter[[c for c in range(0x110000) if chr(c).isalpha()]] = True
         self.grams = np.empty(0, np.int64)
-        self.vectors = np.empty((0, DIMENSIONS), np.float32)
+        self.rows = np.empty(0, np.int64)
+        self.vectors = np.empty((CACHE_GRAMS, DIMENSIONS), np.float32)
 
     def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Distinct n-grams of the lowered letters, with their counts; other characters are one space."""
-        found: dict[int, int] | None = None
         keys, n, last = np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(1, np.int64)
         for at in range(0, len(text), STEP_CHARS):
             codes = np.frombuffer(text[at : at + STEP_CHARS].lower().encode("utf-32-le", "replace"), np.uint32).astype(np.int64)
@@ -71,7 +71,7 @@ class Profiler:
                 for place in range(1, GRAM):
                     grams = grams << _CODE_BITS | codes[place : len(codes) - GRAM + 1 + place]
                 new, m = np.unique(grams, return_counts=True)
-                if found is None and len(keys) == 0:
+                if len(keys) == 0:
                     keys, n = new, m
                 else:
                     keys, where = np.unique(np.concatenate([keys, new]), return_inverse=True)
@@ -81,20 +81,23 @@ class Profiler:
     def bundle(self, grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """The sum of the n-grams' vectors."""
         total = np.zeros(DIMENSIONS, np.float64)
+        kind = np.float32 if counts.sum() < 1 << 24 else np.float64  # whole numbers stay exact
         for at in range(0, len(grams), CACHE_GRAMS // 4):
-            some, n = grams[at : at + CACHE_GRAMS // 4], counts[at : at + CACHE_GRAMS // 4].astype(np.float32)
+            some, n = grams[at : at + CACHE_GRAMS // 4], counts[at : at + CACHE_GRAMS // 4].astype(kind)
             place = np.searchsorted(self.grams, some)
             known = place < len(self.grams)
             known[known] = self.grams[place[known]] == some[known]
             if not known.all():
                 new = some[~known]
                 if len(self.grams) + len(new) > CACHE_GRAMS:
-                    self.grams, self.vectors, new = np.empty(0, np.int64), np.empty((0, DIMENSIONS), np.float32), some
-                both = np.concatenate([self.grams, new])
-                order = np.argsort(both)
-                self.grams, self.vectors = both[order], np.concatenate([self.vectors, gram_vectors(new)])[order]
+                    self.grams, self.rows, new = np.empty(0, np.int64), np.empty(0, np.int64), some
+                used = len(self.grams)
+                self.vectors[used : used + len(new)] = gram_vectors(new)
+                grams_, rows = np.concatenate([self.grams, new]), np.concatenate([self.rows, np.arange(used, used + len(new))])
+                order = np.argsort(grams_)
+                self.grams, self.rows = grams_[order], rows[order]
                 place = np.searchsorted(self.grams, some)
-            total += n @ self.vectors[place]
+            total += n @ self.vectors[self.rows[place]]
         return total
 
 
@@ -128,12 +131,17 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         profiler, sums = _profiler(), {}
         for batch in batches:
-            for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                grams, n = profiler.counts(text)
-                if len(grams) and (grams != 0).any():
-                    sums[lang] = sums.get(lang, 0) + profiler.bundle(grams, n)
+            found: dict[str, list] = {}
+            for text, lang in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                grams, n = profiler.counts(text.as_py())
+                if grams.any():
+                    found.setdefault(lang, []).append((grams, n))
+            for lang, pairs in found.items():  # a bundle is a sum, so a batch's n-grams are counted first
+                grams, where = np.unique(np.concatenate([g for g, _ in pairs]), return_inverse=True)
+                n = np.bincount(where, np.concatenate([n for _, n in pairs]))
+                sums[lang] = sums.get(lang, 0) + profiler.bundle(grams, n)
         for lang, total in sums.items():
-            yield pa.RecordBatch.from_pydict({"lang": [lang], "v": pa.array([total.astype(np.int64)], pa.list_(pa.int64()))})
+            yield pa.RecordBatch.from_pydict({"lang": [lang], "v": pa.array([np.rint(total).astype(np.int64)], pa.list_(pa.int64()))})
 
     parts = chosen.mapInArrow(run, "lang string, v array<long>")
     sums = parts.select("lang", F.posexplode("v").alias("i", "x")).groupBy("lang", "i").agg(F.sum("x").alias("x"))
