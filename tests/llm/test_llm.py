@@ -471,7 +471,7 @@ def test_pipeline_against_its_parts(spark, docs):
     out = corpus_pipeline.run(spark, SF).toPandas()
     frame = spark.read.parquet(f"{SF}/documents.parquet")
     lang = {r["doc_id"]: r for r in language.identify(frame, frame.where(language.training_rows(frame))).collect()}
-    known = docs[[lang[i]["language"]["lang"] != "und" and lang[i]["language"]["score"] >= 0.3 for i in docs.doc_id]].reset_index(drop=True)
+    known = docs[[lang[i]["language"]["lang"] != "und" and lang[i]["language"]["score"] >= corpus_pipeline.MIN_LANGUAGE_SCORE for i in docs.doc_id]].reset_index(drop=True)
     lines = drop_recurring_lines(spark.createDataFrame(known)).toPandas().sort_values("doc_id").reset_index(drop=True)
     roots = brute_components(lines.text.tolist(), 5, 80)
     kept = lines[[r == i for i, (_, r) in enumerate(roots)]]
