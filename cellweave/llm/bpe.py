@@ -255,8 +255,8 @@ def _loaded(make: Callable, definition: str):
     return _LOADED[key]
 
 
-def _labels(definition: str) -> list[str]:
-    return labels_of(json.loads(definition))
+def _labels(definition: str) -> list[bytes]:
+    return [label.encode() for label in labels_of(json.loads(definition))]
 
 
 def _definition(spark: SparkSession, path: str):
@@ -279,9 +279,12 @@ def encoder(spark: SparkSession, path: str) -> Callable[[Column | str], Column]:
 
     def run(texts: pa.Array) -> pa.Array:
         encode = _loaded(Encoder, sent.value)
-        parts = [encode.ids(t.as_py() or "") for t in texts]
-        offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
-        return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(parts) if parts else [], pa.int32()))
+        ids, ends = bytearray(), [0]  # one buffer that Arrow takes as it is
+        for text in texts:
+            ids += encode.ids(text.as_py() or "").tobytes()
+            ends.append(len(ids) // 4)
+        flat = pa.Array.from_buffers(pa.int32(), ends[-1], [None, pa.py_buffer(ids)])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
 
     # a plan that uses the ids twice would encode twice, were the function called deterministic
     return F.arrow_udf(run, "array<int>").asNondeterministic()
@@ -302,9 +305,10 @@ def decoder(spark: SparkSession, path: str) -> Callable[[Column | str], Column]:
         values = ids.values.to_numpy(zero_copy_only=False)
         if len(values) and (values.min() < 0 or values.max() >= len(labels)):
             raise ValueError("an id is outside the vocabulary")
-        return pa.array(
-            [" ".join([labels[i] for i in values[a:b].tolist()]) for a, b in zip(offsets, offsets[1:], strict=False)],
-            pa.string(),
-        )
+        out, ends = bytearray(), [0]
+        for a, b in zip(offsets, offsets[1:], strict=False):
+            out += b" ".join([labels[i] for i in values[a:b].tolist()])
+            ends.append(len(out))
+        return pa.StringArray.from_buffers(len(ids), pa.py_buffer(np.array(ends, np.int32)), pa.py_buffer(out))
 
     return F.arrow_udf(run, "string")
