@@ -101,15 +101,6 @@ class Profiler:
         return total
 
 
-_PROFILER: list[Profiler] = []
-
-
-def _profiler() -> Profiler:
-    if not _PROFILER:
-        _PROFILER.append(Profiler())
-    return _PROFILER[0]
-
-
 def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", train_rows: int = TRAIN_ROWS) -> dict[str, np.ndarray]:
     """One prototype per language: the bundle of all n-grams of its texts.
 
@@ -129,7 +120,7 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", t
     chosen = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share * F.lit(float(1 << 30)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        profiler, sums = _profiler(), {}
+        profiler, sums = Profiler(), {}  # lives as long as the task
         for batch in batches:
             found: dict[str, list] = {}
             for text, lang in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
@@ -154,10 +145,15 @@ def predictor(prototypes: dict[str, np.ndarray]):
     names = sorted(prototypes)
     table = np.array([prototypes[k] / np.linalg.norm(prototypes[k]) for k in names]).reshape(len(names), DIMENSIONS)
 
+    state: list[Profiler] = []  # each task has its own copy, which goes with it
+
     def run(texts: pa.Array) -> pa.Array:
-        profiler = _profiler()
+        if not state:
+            state.append(Profiler())
+        profiler = state[0]
         langs, scores = [], []
-        for text in texts.to_pylist():
+        for value in texts:
+            text = value.as_py()
             lang, score = UNKNOWN, 0.0
             if text and names:
                 grams, n = profiler.counts(text)
