@@ -16,11 +16,13 @@ MIN_TEXTS = 10
 SHARE = 0.1
 #: Share of a line's tokens that its template must keep.
 SIMILAR = 0.7
-#: Shorter lines are left alone.
-MIN_TOKENS = 3
+#: Shorter lines are left alone; blank lines have no token.
+MIN_TOKENS = 1
 
 col, lit = F.col, F.lit
 SPACE = r"[ \t\x0B\f\r]+"
+#: Lines of ``DEPTH`` tokens or more.
+LONG = r"^[ \t\x0B\f\r]*+(?:[^ \t\x0B\f\r]++(?:[ \t\x0B\f\r]++|$)){%d}" % DEPTH
 
 
 def lines_of(text: Column) -> Column:
@@ -28,9 +30,9 @@ def lines_of(text: Column) -> Column:
 
 
 def tokens_of(line: Column) -> Column:
-    """Tokens by white space; one with a digit is a variable field, ``<*>``."""
+    """Tokens by white space; one with a digit is a variable field, ``<*>``, in lines of ``DEPTH`` tokens or more."""
     masked = F.when(
-        line.rlike("[0-9]"), F.regexp_replace(line, r"(?<![^ \t\x0B\f\r])[^ \t\x0B\f\r0-9]*+[0-9][^ \t\x0B\f\r]*+", "<*>")
+        line.rlike("[0-9]") & line.rlike(LONG), F.regexp_replace(line, r"(?<![^ \t\x0B\f\r])[^ \t\x0B\f\r0-9]*+[0-9][^ \t\x0B\f\r]*+", "<*>")
     ).otherwise(line)
     return F.filter(F.split(masked, SPACE), lambda t: t != "")
 
@@ -52,7 +54,8 @@ def drop_recurring_lines(
     """``docs`` without lines whose template recurs; the column ``into`` holds their places, from 0.
 
     The tree has a level for the token count and one for each of the ``DEPTH`` leading tokens;
-    tokens with digits are variable from the start.  Below a leaf, a token is constant at its
+    tokens with digits are variable from the start, but in lines of fewer than ``DEPTH`` tokens,
+    of which only exact recurrences go.  Below a leaf, a token is constant at its
     place if ``min_texts`` texts and a ``share`` of the leaf's texts have it there; the others are
     variable fields.  A line whose constant tokens are ``similar`` of all has these as its
     template; any other line is its own template.  A template in at least ``min_texts`` different

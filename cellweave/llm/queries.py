@@ -165,7 +165,7 @@ from src left join drops using (doc_id)"""
 @query("op2_line_dedup", LINES_SQL)
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.size(lines_of(F.col("text"))).cast("long").alias("n_lines"))
-    found = drop_recurring_lines(docs)
+    found = drop_recurring_lines(docs, min_tokens=3)  # as in the SQL; the pipeline takes shorter lines too
     return found.select("doc_id", "n_lines", F.size("dropped").cast("long").alias("n_dropped"), "text")
 
 

@@ -139,6 +139,13 @@ def test_line_templates(spark):
     assert copies.where(F.size("dropped") > 0).count() == 0
 
 
+def test_short_lines_recur_exactly(spark):
+    texts = [f"{w} tells of {chr(97 + i)}\nRead more\n{i}\nPage {i}\n\nHome" for i, w in enumerate("Ann Bob Cid Dan Eve Fay Gus Hal Ida Jim".split())]
+    out = {r["doc_id"]: r for r in drop_recurring_lines(rows_of(spark, texts)).collect()}
+    assert out[0]["text"] == texts[0]
+    assert all(out[i]["dropped"] == [1, 5] and out[i]["text"].split("\n")[1:] == [str(i), f"Page {i}", ""] for i in range(1, 10))
+
+
 def test_line_dedup_odd_rows(spark):
     df = odd_rows(spark)
     out = drop_recurring_lines(df, min_texts=2, into="gone")
