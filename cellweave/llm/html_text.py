@@ -21,8 +21,8 @@ _PIECE = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_RULE = re.compile(r"([^{}]*)\{([^{}]*)\}")
-_HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)")
+_CSS_OPAQUE = re.compile(r"/\*.*?(?:\*/|\Z)|<!--|-->|\"(?:[^\"\\\n]|\\.)*+\"?|'(?:[^'\\\n]|\\.)*+'?|url\([^()\"']*+\)", re.S)
+_LENGTH = re.compile(r"([\d.]+)(px|em|rem)?")
 
 # Element names of the HTML standard by how they are parsed and displayed.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -57,14 +57,32 @@ IMPLIED = {
     "rt": ({"rt", "rp"}, {"ruby"}),
     "rp": ({"rt", "rp"}, {"ruby"}),
 }
+#: What ``display`` and ``visibility`` may say that shows, that hides, and that leaves it to the browser.
+SHOWN = {
+    "display": frozenset(
+        "block inline inline-block flex inline-flex grid inline-grid table inline-table table-row table-cell table-caption"
+        " table-column table-column-group table-row-group table-header-group table-footer-group list-item contents flow"
+        " flow-root run-in ruby -webkit-box -webkit-inline-box -webkit-flex -ms-flexbox -ms-grid initial inherit unset".split()
+    ),
+    "visibility": frozenset("visible initial inherit unset".split()),
+}
+HIDES = frozenset("none hidden collapse".split())
+DEFAULTS = frozenset("revert revert-layer".split())
+#: The screen that pages are shown on, in pixels, and what else media queries may ask.
+WIDTH, HEIGHT = 1280.0, 800.0
+SCREEN = {
+    "orientation": "landscape", "hover": "hover", "any-hover": "hover", "pointer": "fine", "any-pointer": "fine", "prefers-color-scheme": "light",
+    "prefers-reduced-motion": "no-preference", "scripting": "enabled", "display-mode": "browser",
+}
+MEDIA = frozenset("all screen print speech aural braille embossed handheld projection tty tv".split())
 SCOPE = frozenset("html table td th caption template object button".split())
 
 
 class Node:
     __slots__ = ("tag", "attrs", "children", "hidden")
 
-    def __init__(self, tag: str, attrs: dict[str, str], hidden: bool):
-        self.tag, self.attrs, self.hidden, self.children = tag, attrs, hidden, []
+    def __init__(self, tag: str, attrs: dict[str, str]):
+        self.tag, self.attrs, self.hidden, self.children = tag, attrs, False, []
 
 
 def attributes(text: str) -> dict[str, str]:
@@ -75,37 +93,156 @@ def attributes(text: str) -> dict[str, str]:
     return out
 
 
-def hiding_selectors(css: str) -> set[str]:
-    """Simple selectors (``tag``, ``.class``, ``#id``) that a style sheet does not display."""
-    out: set[str] = set()
-    for selectors, body in _RULE.findall(re.sub(r"/\*.*?\*/", "", css, flags=re.S)):
-        if _HIDING.search(body.lower()):
-            out.update(s.strip() for s in selectors.split(",") if re.fullmatch(r"\s*[.#]?[\w-]+\s*", s))
-    return out
+def _plain(css: str) -> str:
+    """CSS without comments, and without what strings and addresses hold."""
+    return _CSS_OPAQUE.sub(lambda m: '""' if m[0][0] in "\"'" else " ", css)
+
+
+def declaration(text: str) -> tuple[str, bool, bool | None] | None:
+    """``display`` or ``visibility``, whether it is important, and whether it hides; None for the browser's own value."""
+    name, _, value = text.lower().partition(":")
+    name = name.strip()
+    if name not in SHOWN:
+        return None
+    value, mark, rest = value.partition("!")
+    value = " ".join(value.split())
+    if mark and rest.strip() != "important" or value not in SHOWN[name] and value not in HIDES and value not in DEFAULTS:
+        return None
+    return name, bool(mark), None if value in DEFAULTS else value in HIDES
+
+
+def _feature(text: str) -> bool | None:
+    """A media feature on the screen; None if it is not known."""
+    name, colon, value = (x.strip() for x in text.partition(":"))
+    if colon and name in SCREEN:
+        return value == SCREEN[name]
+    if name in SCREEN:
+        return SCREEN[name] != "none"
+    sizes = {"width": WIDTH, "device-width": WIDTH, "height": HEIGHT, "device-height": HEIGHT}
+
+    def number(x: str) -> float | None:
+        if x in sizes:
+            return sizes[x]
+        found = _LENGTH.fullmatch(x)
+        try:
+            return float(found[1]) * (16 if found[2] in ("em", "rem") else 1) if found else None
+        except ValueError:
+            return None
+
+    if colon:
+        bound, _, of = name.partition("-") if name[:4] in ("min-", "max-") else ("", "", name)
+        limit, have = number(value), sizes.get(of)
+        if limit is None or have is None:
+            return None
+        return have >= limit if bound == "min" else have <= limit if bound == "max" else have == limit
+    if name in ("color", *sizes):
+        return True
+    parts = [x.strip() for x in re.split(r"(<=|>=|<|>|=)", text)]
+    values = [number(x) for x in parts[::2]]
+    if len(parts) < 3 or None in values:
+        return None
+    test = {"<=": float.__le__, ">=": float.__ge__, "<": float.__lt__, ">": float.__gt__, "=": float.__eq__}
+    return all(test[sign](x, y) for x, sign, y in zip(values, parts[1::2], values[1:], strict=False))
+
+
+def _query(text: str) -> bool:
+    """One media query; what is not known does not hold, negated or not."""
+    words = re.findall(r"\([^()]*\)|[^\s()]+", text)
+    if re.sub(r"\([^()]*\)|[^\s()]+|\s+", "", text):
+        return False  # nested conditions
+    negated = words[:1] == ["not"]
+    words = words[1:] if words[:1] in (["not"], ["only"]) else words
+    either = "or" in words
+    found: list[bool | None] = []
+    for word in words:
+        if word in ("and", "or"):
+            continue
+        found.append(_feature(word[1:-1]) if word[0] == "(" else word in ("all", "screen") if word in MEDIA else None)
+    if not found or None in found:
+        return False
+    return (any(found) if either else all(found)) != negated
+
+
+def on_screen(media: str) -> bool:
+    """Whether a list of media queries holds on a screen of ``WIDTH`` by ``HEIGHT``; an empty list does."""
+    return not media.strip() or any(_query(q.strip()) for q in media.lower().split(","))
+
+
+def sheet_rules(css: str) -> Iterator[tuple[str, str, bool, bool | None]]:
+    """``selector, property, important, hides`` of simple selectors (``tag``, ``.class``, ``#id``), in order.
+
+    Rules count at the top and in ``@media`` that holds on a screen, ``@supports`` that is not
+    negated and ``@layer``; other at-rules and nested selectors do not.
+    """
+    css = _plain(css)
+    blocks: list[list[str] | bool] = []  # selectors of a rule; of other blocks, whether what is in them counts
+    at = 0
+    for sign in (*re.finditer(r"[{};]", css), None):
+        text = css[at : sign.start() if sign else len(css)].strip()
+        at = sign.end() if sign else at
+        inside = blocks[-1] if blocks else True
+        if sign and sign[0] == "{":
+            if text.startswith("@"):
+                name, _, rest = re.sub(r"^@([\w-]+)", r"\1 ", text.lower()).partition(" ")
+                holds = name == "media" and on_screen(rest) or name == "layer" or name == "supports" and not rest.split()[:1] == ["not"]
+                blocks.append(inside if holds else False)
+            elif inside is True:
+                blocks.append([s.strip() for s in text.split(",") if re.fullmatch(r"\s*[.#]?[\w-]+\s*", s)])
+            else:
+                blocks.append(False)
+            continue
+        if isinstance(inside, list) and (found := declaration(text)):
+            for s in inside:
+                yield (s if s[0] in ".#" else s.lower(), *found)
+        if sign and sign[0] == "}" and blocks:
+            blocks.pop()
 
 
 class Builder:
     """Builds the tree of a page, with the tags that authors may leave out."""
 
     def __init__(self, source: str):
-        self.root = Node("html", {}, False)
+        self.root = Node("html", {})
         self.stack = [self.root]
-        self.hiding: set[str] = set()
+        self.nodes: list[Node] = []
+        self.order = 0
+        self.rules: dict[str, dict[str, tuple]] = {}
         self.open: dict[str, int] = {"html": 1}
         self._read(source)
+        for node in self.nodes:  # a style sheet also counts for what stands before it
+            node.hidden = self._hidden(node.tag, node.attrs)
+
+    def _sheet(self, css: str, media: str) -> None:
+        """The important declaration of a selector wins, or else the last one."""
+        if not on_screen(media) or self.open.get("noscript") or self.open.get("template"):
+            return
+        for name, kind, important, hides in sheet_rules(css):
+            self.order += 1
+            own = self.rules.setdefault(name, {})
+            new = (important, ".#".find(name[0]) + 1, self.order, hides)
+            own[kind] = max(own.get(kind, new), new)
 
     def _hidden(self, tag: str, attrs: dict[str, str]) -> bool:
-        if tag in HIDDEN or "hidden" in attrs or tag == "input" and attrs.get("type", "").lower() == "hidden":
-            return True
-        if tag == "dialog" and "open" not in attrs or "style" in attrs and _HIDING.search(attrs["style"].lower()):
+        if tag in HIDDEN or tag == "input" and attrs.get("type", "").lower() == "hidden":
             return True
-        if not self.hiding:
-            return False
-        names = {tag, "#" + attrs.get("id", ""), *("." + c for c in attrs.get("class", "").split())}
-        return not names.isdisjoint(self.hiding)
+        best: dict[str, tuple] = {}
+        if self.rules:
+            for name in {tag, "#" + attrs.get("id", ""), *("." + c for c in attrs.get("class", "").split())}:
+                for kind, new in self.rules.get(name, {}).items():
+                    best[kind] = max(best.get(kind, new), new)
+        if "style" in attrs:
+            for i, text in enumerate(_plain(attrs["style"]).split(";")):
+                if found := declaration(text):
+                    new = (found[1], 3, i, found[2])
+                    best[found[0]] = max(best.get(found[0], new), new)
+        display, seen = (best[kind][3] if kind in best else None for kind in ("display", "visibility"))
+        if display is None:
+            display = "hidden" in attrs or tag == "dialog" and "open" not in attrs
+        return display or bool(seen)
 
     def _push(self, tag: str, attrs: dict[str, str]) -> Node:
-        node = Node(tag, attrs, self._hidden(tag, attrs))
+        node = Node(tag, attrs)
+        self.nodes.append(node)
         self.stack[-1].children.append(node)
         if tag not in VOID:
             self.stack.append(node)
@@ -200,13 +337,14 @@ class Builder:
                 end = source.find(">", at)
                 at = n if end < 0 else end + 1
             tag = found[1].lower()
-            self._start(tag, attributes(found[2]) if found[2] else {})
+            attrs = attributes(found[2]) if found[2] else {}
+            self._start(tag, attrs)
             if tag in RAW or tag in RCDATA:
                 end = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(source, at)
                 stop = end.start() if end else n
                 body = source[at:stop]
                 if tag == "style":
-                    self.hiding |= hiding_selectors(body)
+                    self._sheet(body, attrs.get("media", ""))
                 elif tag == "textarea":
                     self.stack[-1].children.append(html.unescape(body))
                 if self.stack[-1].tag == tag:
@@ -274,6 +412,12 @@ class Layout:
         return "\n".join(self.lines)
 
 
+def _cell(text: str) -> Node:
+    cell = Node("td", {})
+    cell.children = [text]
+    return cell
+
+
 def _rows(table: Node) -> tuple[list[Node], list[list[Node]]]:
     """Captions and rows of cells; what else is in the table counts as a row of its own."""
     captions, rows = [], []
@@ -282,9 +426,7 @@ def _rows(table: Node) -> tuple[list[Node], list[list[Node]]]:
         node = todo.pop()
         if isinstance(node, str):
             if not node.isspace() and node:
-                cell = Node("td", {}, False)
-                cell.children = [node]
-                rows.append([cell])
+                rows.append([_cell(node)])
         elif node.hidden:
             continue
         elif node.tag in ("tbody", "thead", "tfoot"):
@@ -292,6 +434,7 @@ def _rows(table: Node) -> tuple[list[Node], list[list[Node]]]:
         elif node.tag == "caption":
             captions.append(node)
         elif node.tag == "tr":
+            rows += [[_cell(c)] for c in node.children if isinstance(c, str) and c and not c.isspace()]
             cells = [c for c in node.children if isinstance(c, Node) and not c.hidden]
             if cells:
                 rows.append(cells)

@@ -119,6 +119,26 @@ def test_html_layout():
     assert visible_text(page) == want
 
 
+def test_html_style_sheets_by_nesting_and_cascade():
+    def shown(css, body="<p class=a>x<p id=b>y", tag="style"):
+        return visible_text(f"<{tag}>{css}</style>{body}")
+
+    assert shown("@media print{.a{display:none}} @media (max-width:600px){p,.a{display:none}}") == "x\n\ny"
+    assert shown("@media screen and (min-width: 40em){.a{display:none}}") == "y"
+    assert shown("@media not print{.a{display:none}}") == shown("@media (400px <= width < 2000px){.a{display:none}}") == "y"
+    assert shown("@media print, (width < 600px){.a{display:none}} @font-face{a:b} @import url(x;y);#b{display:none}") == "x"
+    assert shown("@keyframes k{a{x:y}} p{content:'}';display:none/*}*/} .a{display:block}") == "x"
+    assert shown(".a{display:none} .a{display:block}") == shown("p{display:none} .a{display:grid} #b{display:flex}") == "x\n\ny"
+    assert shown("#b{visibility:hidden!important} #b{visibility:visible}") == "x"
+    assert shown(".a{display:none}", "<p class=a style='display:block'>x<p style='display:none'>y") == "x"
+    assert shown(".a{display:none}", tag="style media=print") == "x\n\ny"
+    assert shown("", "<p class=a>x<p>y<style>.a{display:none}</style>") == "y"
+
+
+def test_html_text_directly_in_a_row():
+    assert visible_text("<table><tr>loose<td>a<td>b<tr><td>c</table>") == "loose\na      b\nc"
+
+
 def test_html_odd_input(spark):
     bad = ["<" * 5000, '<a "' * 3000, "<div>" * 5000, "<table><tr><td>" * 500, "<!--" * 3000, "<li>" * 3000, "<p" * 3000, "\0<b"]
     assert all(isinstance(visible_text(b), str) for b in bad)
