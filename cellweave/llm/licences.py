@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import json
+import re
+from importlib.resources import files
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +52,10 @@ _BSD_TAIL = (
     "CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
     "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
 )
+_BSD_NAMES = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+    "promote products derived from this software without specific prior written permission. "
+)
 #: Licence texts and notices, without their copyright lines.
 TEXTS = [
     (
@@ -73,8 +78,7 @@ TEXTS = [
     ("BSD-2-Clause", _BSD_HEAD + _BSD_TAIL),
     (
         "BSD-3-Clause",
-        _BSD_HEAD + "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
-        "promote products derived from this software without specific prior written permission. " + _BSD_TAIL,
+        _BSD_HEAD + _BSD_NAMES + _BSD_TAIL,
     ),
     (
         "Apache-2.0",
@@ -93,7 +97,28 @@ TEXTS = [
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("Rights-Reserved", "All rights reserved."),
+    # the usual forms of the above with bullets in place of numbers, and with other words for the holder
+    *[
+        (name, text)
+        for name, body in (("BSD-2-Clause", ""), ("BSD-3-Clause", _BSD_NAMES))
+        for held in (_BSD_TAIL, _BSD_TAIL.replace("COPYRIGHT HOLDER OR", "COPYRIGHT OWNER OR"))
+        for text in (_BSD_HEAD + body + held, re.sub(r"\b[123]\. ", "", _BSD_HEAD + body) + held)
+    ],
 ]
+#: Words of a canonical form by which candidates are found.
+FIRST = 3
+_END = "END OF TERMS AND CONDITIONS"
+
+
+#: Titles as a line of their own, in cleaned text.
+_TITLE = (
+    r"(?:the )?(?:(?:mit|expat|mit expat|isc|0bsd|(?:(?:new|modified|revised|simplified|zero clause|[0-3] clause) )?bsd(?: (?:zero|[0-3]) clause)?"
+    r"(?: (?:new|modified|revised|simplified|freebsd)(?: or (?:new|modified|revised|simplified|freebsd))?)?|apache(?: software)?|mozilla public"
+    r"|gnu (?:(?:lesser|library) )?general public|gnu free documentation|artistic) licen[cs]e"
+    r"(?: (?:mit|expat|isc|0bsd|bsd|gpl|lgpl|mpl|[0-3] clause|bsd [0-3] clause|(?:version |v)?[0-9](?: [0-9])?))*+|mit|isc|0bsd|bsd [0-3] clause|licen[cs]e)"
+)
+#: Titles, copyright lines and rights reserved before a text's first other line.
+_HEAD = rf"^(?:(?: ?{_TITLE} ?| ?copyright(?:ed)? [^\n]*+| ?all rights reserved ?| ?)\n)*+"
 
 
 def _clean(text: Column) -> Column:
@@ -114,45 +139,83 @@ def canonical(text: Column) -> Column:
     return _canonical(_clean(text))
 
 
+def _body(clean: Column) -> Column:
+    return F.regexp_replace(clean, _HEAD, "")
+
+
 def digest(text: Column) -> Column:
     return F.sha2(text, 256)
 
 
-def known_texts(spark: SparkSession, texts: list[tuple[str, str]] = TEXTS) -> DataFrame:
-    """``license, digest, size, first``: the catalogue, with length and first word of the canonical form."""
-    rows = spark.range(1).select(F.explode(F.from_json(lit(json.dumps(texts)), "array<array<string>>")).alias("x"))
-    rows = rows.select(col("x")[0].alias("license"), canonical(col("x")[1]).alias("form"))
-    return rows.select("license", digest(col("form")).alias("digest"), F.length("form").alias("size"), F.substring_index("form", " ", 1).alias("first"))
+def default_texts() -> list[tuple[str, str]]:
+    """``TEXTS`` and the files beside this module, as they are, without their appendix, and without a place for the owner."""
+    out = list(TEXTS)
+    for file in sorted((f for f in files("cellweave.llm").joinpath("licence_texts").iterdir() if f.name.endswith(".txt")), key=lambda f: f.name):
+        text, name = file.read_text(encoding="utf-8"), file.name[: -len(".txt")]
+        out.append((name, text))
+        out.append((name, re.sub(r"(?m)^ *Copyright \[yyyy\].*$", "", text)))
+        terms, end, _ = text.partition(_END)
+        if end:
+            out += [(name, terms), (name, terms + end)]
+    return list(dict.fromkeys(out))
+
+
+def known_texts(spark: SparkSession, texts: list[tuple[str, str]] | DataFrame | None = None) -> DataFrame:
+    """``license, digest, size, first``: the catalogue, with length and first words of the canonical form.
+
+    ``texts`` is a table or list of ``license, text``, else ``default_texts``.  A text counts as it is
+    and without its head, the title and copyright lines that it begins with.
+    """
+    if not isinstance(texts, DataFrame):
+        texts = spark.createDataFrame(default_texts() if texts is None else texts, "license string, text string")
+    clean = texts.select("license", _clean(col("text").cast("string")).alias("clean"))
+    forms = clean.select("license", F.explode(F.array("clean", _body(col("clean")))).alias("clean"))
+    forms = forms.select("license", _canonical(col("clean")).alias("form")).where("form <> ''").distinct()
+    return forms.select("license", digest(col("form")).alias("digest"), F.length("form").alias("size"), F.substring_index("form", " ", FIRST).alias("first"))
+
+
+def _begins(firsts: list[str]) -> str:
+    """A pattern for cleaned text whose canonical form may begin with one of ``firsts``."""
+    spelled: dict[str, list[str]] = {}
+    for a, b in EQUIVALENT.items():
+        spelled.setdefault(b.split(" ")[0], []).append(a)
+    patterns = set()
+    for first in firsts:
+        words = []
+        for word in first.split(" "):
+            words.append("(?:" + "|".join(re.escape(w) for w in sorted({word, *spelled.get(word, [])})) + ")")
+            if any(" " in EQUIVALENT[w] for w in spelled.get(word, [])):
+                break  # one word in the text may stand for this one and the next
+        patterns.add(r"[ \n]+".join(words))
+    return r"^[ \n]*+(?:" + "|".join(sorted(patterns)) + r")(?:[ \n]|$)" if patterns else "$^"
 
 
 def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, license, notices`` for every row: the licence that the entire text is, and those that entire lines are.
 
-    Case, punctuation, white space, copyright lines and spelling do not matter; apart from that a
-    text or line must be the licence's in full, so an excerpt or a changed licence is no match.
+    Case, punctuation, white space, copyright lines and spelling do not matter, nor does an entire
+    text's head of title, copyright and rights-reserved lines; apart from that a text or line must be the licence's in full, so an excerpt or a changed licence is no match.
     ``license`` is NULL if the text as a whole is no known one; ``notices`` are the distinct licences
-    of lines, in order.  ``known`` has ``license, digest, size, first``; for two licences of one
+    of lines, in order.  ``known`` is a catalogue made by ``known_texts``; for two licences of one
     digest the first name counts.
 
     Only candidates are spelled out and looked up: canonical forms are at least a third as long as
-    cleaned ones, and a line can only be a notice if its first word begins one.  NULL and empty
-    texts match nothing, repeated rows match each, an empty table gives an empty result.
+    cleaned ones, and a text or line can only be known if its first words begin a known one.  NULL
+    and empty texts match nothing, repeated rows match each, an empty table gives an empty result.
     """
     known = known_texts(docs.sparkSession) if known is None else known
     known = known.groupBy("digest").agg(F.min("license").alias("license"), F.first("size").alias("size"), F.first("first").alias("first"))
     most, firsts = known.agg(F.max("size"), F.collect_set("first")).first()
-    spellings = {f for f in firsts or []} | {a for a, b in EQUIVALENT.items() if b.split(" ")[0] in (firsts or [])}
-    begins = "^ ?(?:" + "|".join(sorted(spellings)) + ")(?: |$)" if spellings else "$^"
+    begins = _begins(firsts or [])
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), col(id_col).alias("id"), _clean(col(text_col).cast("string")).alias("clean")
     )
     room = 3 * (most or 0) + 2
-    lines = F.filter(F.split("clean", "\n"), lambda x: (F.length(x) <= room) & x.rlike(begins))
+    candidate = lambda x: (F.length(x) <= room) & x.rlike(begins)
+    unit = lambda whole: lambda x: F.struct(lit(whole).alias("whole"), digest(_canonical(x)).alias("unit"))
     units = F.concat(
-        F.transform(lines, lambda x: F.struct(lit(False).alias("whole"), digest(_canonical(x)).alias("unit"))),
-        F.when(F.length("clean") <= room, F.array(F.struct(lit(True).alias("whole"), digest(_canonical(col("clean"))).alias("unit")))).otherwise(
-            F.array().cast("array<struct<whole:boolean,unit:string>>")
-        ),
+        F.transform(F.filter(F.split("clean", "\n"), candidate), unit(False)),
+        F.transform(F.filter(F.array_distinct(F.array("clean", _body(col("clean")))), candidate), unit(True)),
     )
     marked = rows.select("row", "id", F.coalesce(units, F.array().cast("array<struct<whole:boolean,unit:string>>")).alias("units"))
     flat = marked.select("row", "id", F.explode_outer("units").alias("u")).select("row", "id", "u.whole", "u.unit")

@@ -359,6 +359,30 @@ def test_licences(spark):
     assert licences.scan(df).count() == df.count() and licences.scan(df.limit(0)).count() == 0
 
 
+def test_licence_files(spark):
+    by = {}
+    for name, text in licences.default_texts():
+        by.setdefault(name, text)
+    owned = "\n\nCopyright 2020 Somebody\nCopyright The Authors\nAll rights reserved.\n\n"
+    full = dict(t for t in reversed(licences.default_texts()) if len(t[1]) > 9000)
+    cases = [
+        ("MIT", "MIT License" + owned + by["MIT"]),
+        ("MIT", "# The MIT License (MIT)\n=====" + owned + by["MIT"] + "\n"),
+        ("ISC", "ISC License" + owned + by["ISC"]),
+        ("BSD-2-Clause", 'BSD 2-Clause "Simplified" License' + owned + by["BSD-2-Clause"].replace("1.", "*").replace("2.", "*")),
+        ("BSD-3-Clause", "BSD 3-Clause License" + owned + licences.TEXTS[4][1]),
+        ("Apache-2.0", full["Apache-2.0"].replace("[yyyy] [name of copyright owner]", "2021 Somebody")),
+        ("Apache-2.0", full["Apache-2.0"].split("   APPENDIX")[0]),
+        *[(name, t.upper()) for name, t in full.items()],
+        (None, "MIT License" + owned + by["ISC"][:-30]),
+        (None, "MIT License" + owned),
+    ]
+    out = {r["id"]: r["license"] for r in licences.scan(rows_of(spark, [t for _, t in cases])).collect()}
+    assert [out[i] for i in range(len(cases))] == [name for name, _ in cases] and len(full) >= 10
+    own = licences.known_texts(spark, spark.createDataFrame([("Own", "The Own Licence. Do what you like.")], "license string, text string"))
+    assert [r["license"] for r in licences.scan(rows_of(spark, ["the own license do what you like"]), own).collect()] == ["Own"]
+
+
 # ---- 8 fingerprints
 
 
