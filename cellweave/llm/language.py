@@ -25,6 +25,8 @@ STEP_CHARS = 1 << 20
 #: n-gram vectors that a worker remembers.
 CACHE_GRAMS = 16_384
 UNKNOWN = "und"
+#: Share of the cosine that a text of a language has on average, below which it is not of that language.
+EXPECTED = 0.25
 
 _CODE_BITS = 21
 
@@ -106,7 +108,7 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", t
 
     Of a language with more than ``train_rows`` labelled rows, those whose text hashes below the
     matching share are used, so the fit reads a bounded sample and is the same on each run.
-    What comes back to the driver is one vector per language.
+    What comes back to the driver is one vector per language; after it stands how many n-grams are in it.
     """
     rows = labelled.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where(
         "text is not null and lang is not null"
@@ -130,7 +132,7 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", t
             for lang, pairs in found.items():  # a bundle is a sum, so a batch's n-grams are counted first
                 grams, where = np.unique(np.concatenate([g for g, _ in pairs]), return_inverse=True)
                 n = np.bincount(where, np.concatenate([n for _, n in pairs]))
-                sums[lang] = sums.get(lang, 0) + profiler.bundle(grams, n)
+                sums[lang] = sums.get(lang, 0) + np.append(profiler.bundle(grams, n), n.sum())
         for lang, total in sums.items():
             yield pa.RecordBatch.from_pydict({"lang": [lang], "v": pa.array([np.rint(total).astype(np.int64)], pa.list_(pa.int64()))})
 
@@ -141,9 +143,12 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", t
 
 
 def predictor(prototypes: dict[str, np.ndarray]):
-    """A function from a text column to ``struct<lang, score>``."""
+    """A function from a text column to ``struct<lang, score, expected>``."""
     names = sorted(prototypes)
-    table = np.array([prototypes[k] / np.linalg.norm(prototypes[k]) for k in names]).reshape(len(names), DIMENSIONS)
+    lengths = [np.linalg.norm(prototypes[k][:DIMENSIONS]) for k in names]
+    table = np.array([prototypes[k][:DIMENSIONS] / x for k, x in zip(names, lengths, strict=True)]).reshape(len(names), DIMENSIONS)
+    # length of a language's n-gram shares as a vector: a bundle of unlike vectors is as long as its counts, times the root of DIMENSIONS
+    shares = [x / np.sqrt(DIMENSIONS) / prototypes[k][DIMENSIONS] for k, x in zip(names, lengths, strict=True)]
 
     state: list[Profiler] = []  # each task has its own copy, which goes with it
 
@@ -151,10 +156,10 @@ def predictor(prototypes: dict[str, np.ndarray]):
         if not state:
             state.append(Profiler())
         profiler = state[0]
-        langs, scores = [], []
+        langs, scores, expected = [], [], []
         for value in texts:
             text = value.as_py()
-            lang, score = UNKNOWN, 0.0
+            lang, score, usual = UNKNOWN, 0.0, 0.0
             if text and names:
                 grams, n = profiler.counts(text)
                 if len(grams) and grams.any():
@@ -163,20 +168,24 @@ def predictor(prototypes: dict[str, np.ndarray]):
                     cosines = table @ v / norm if norm else np.zeros(len(names))
                     best = int(np.argmax(cosines))
                     lang, score = names[best], float(min(1.0, max(0.0, cosines[best])))
+                    usual = float(min(1.0, shares[best] * n.sum() / np.linalg.norm(n.astype(float))))
             langs.append(lang)
             scores.append(score)
-        return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang", "score"])
+            expected.append(usual)
+        columns = [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(expected, pa.float64())]
+        return pa.StructArray.from_arrays(columns, ["lang", "score", "expected"])
 
-    return F.arrow_udf(run, "lang string, score double")
+    return F.arrow_udf(run, "lang string, score double, expected double")
 
 
 def identify(docs: DataFrame, labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", into: str = "language") -> DataFrame:
-    """``docs`` with the column ``into``, a struct of the predicted ``lang`` and its ``score``.
+    """``docs`` with the column ``into``, a struct of the predicted ``lang``, its ``score`` and the ``expected`` one.
 
     A document's vector is the bundle of its letter n-grams: each letter has a random vector, an
     n-gram binds its letters' vectors, permuted by place, and the text adds up its n-grams.
     The language is that of the prototype with the largest cosine (a tie goes to the first name),
-    the score is that cosine, at least 0.  NULL texts, texts without a letter, and any text when
+    the score is that cosine, at least 0.  ``expected`` is the cosine that a text of this language
+    with as many and as evenly repeated n-grams has on average.  NULL texts, texts without a letter, and any text when
     nothing could be learned are ``und`` with score 0.  Repeated rows get equal answers; an empty
     table gives an empty one; any length of text is read whole, in steps.
     """
@@ -199,9 +208,9 @@ def identify_held_out(docs: DataFrame) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, min_score: float) -> DataFrame:
-    """Documents whose language is known with a cosine of ``min_score`` or more; all columns as they were."""
+    """Documents whose language is known with a cosine of ``min_score`` and ``EXPECTED`` of the expected one or more; all columns as they were."""
     name = fresh(docs, "language")
     found = identify(docs, docs.where(training_rows(docs)), into=name)
     language = F.col(name)
     # the struct is used twice; written out, it is found once
-    return cut_lineage(found).where((language["lang"] != UNKNOWN) & (language["score"] >= min_score)).drop(name)
+    return cut_lineage(found).where((language["lang"] != UNKNOWN) & (language["score"] >= min_score) & (language["score"] >= EXPECTED * language["expected"])).drop(name)

@@ -19,8 +19,9 @@ from cellweave.llm.near_dedup import keep_one
 from cellweave.llm.queries import tokenizer_path
 from cellweave.session import shared_folder
 
-#: A document whose best language is less alike than this is in none of the learned languages.  Unrelated
-#: vectors have cosines around 0.03; texts of a word or two, or of one line over and over, still reach 0.1.
+#: A document whose best language is less alike than this is in none of the learned languages, whatever its
+#: length.  Unrelated vectors have cosines around 0.03; texts of a word or two, or of one line over and over,
+#: still reach 0.1.  What is asked of others grows with their different n-grams (``language.EXPECTED``).
 MIN_LANGUAGE_SCORE = 0.05
 
 

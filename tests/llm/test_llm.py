@@ -199,6 +199,19 @@ def test_language_bundle_is_the_sum_of_bound_grams():
     assert np.array_equal(p.bundle(grams, n), want)
 
 
+def test_known_languages_by_length(spark):
+    frame = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rng = random.Random(4)
+    alphabets = [range(0x3B1, 0x3CA), range(0x430, 0x450), range(0x4E00, 0x5200), range(97, 123)]
+    foreign = [" ".join("".join(chr(rng.choice(a)) for _ in range(rng.randint(2, 9))) for _ in range(n)) for a in alphabets for n in (30, 100) for _ in range(30)]
+    real = [r["text"] for r in frame.where("lang is not null and length(text) > 200").orderBy("doc_id").limit(40).collect()]
+    real += ["\n".join([t.split("\n")[0][:60]] * 50) for t in real]
+    texts = rows_of(spark, foreign + real).select("doc_id", "text").withColumn("lang", F.lit(None).cast("string"))
+    far = frame.select((F.col("doc_id") + 1_000_000).alias("doc_id"), "text", "lang")
+    kept = {r["doc_id"] for r in language.keep_known(far.unionByName(texts), 0.05).where("doc_id < 1000000").collect()}
+    assert kept == set(range(len(foreign), len(foreign) + len(real)))
+
+
 def test_language_odd_rows(spark):
     df = odd_rows(spark)
     found = {r["doc_id"]: r for r in language.identify_held_out(df.where("doc_id is not null")).collect()}
