@@ -9,8 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.llm.common import U, fresh, mix
-from cellweave.session import cut_lineage
+from cellweave.llm.common import U, mix
 
 #: Length of a vector.
 DIMENSIONS = 1024
@@ -46,7 +45,7 @@ def gram_vectors(grams: np.ndarray) -> np.ndarray:
     for place in range(GRAM):
         codes, at = np.unique(grams >> (_CODE_BITS * place) & ((1 << _CODE_BITS) - 1), return_inverse=True)
         out *= letter_vectors(codes, place)[at]
-    return out.astype(np.float32)
+    return out
 
 
 class Profiler:
@@ -57,7 +56,7 @@ class Profiler:
         self.letter[[c for c in range(0x110000) if chr(c).isalpha()]] = True
         self.grams = np.empty(0, np.int64)
         self.rows = np.empty(0, np.int64)
-        self.vectors = np.empty((CACHE_GRAMS, DIMENSIONS), np.float32)
+        self.vectors = np.empty((CACHE_GRAMS, DIMENSIONS), np.int8)
 
     def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Distinct n-grams of the lowered letters, with their counts; other characters are one space."""
@@ -99,7 +98,7 @@ class Profiler:
                 order = np.argsort(grams_)
                 self.grams, self.rows = grams_[order], rows[order]
                 place = np.searchsorted(self.grams, some)
-            total += n @ self.vectors[self.rows[place]]
+            total += n @ self.vectors[self.rows[place]].astype(kind)
         return total
 
 
@@ -142,8 +141,8 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", t
     return {r["lang"]: np.array([x["x"] for x in r["v"]], np.float64) for r in found}
 
 
-def predictor(prototypes: dict[str, np.ndarray]):
-    """A function from a text column to ``struct<lang, score, expected>``."""
+def scorer(prototypes: dict[str, np.ndarray]):
+    """A function from texts to lists of their languages, scores and expected scores."""
     names = sorted(prototypes)
     lengths = [np.linalg.norm(prototypes[k][:DIMENSIONS]) for k in names]
     table = np.array([prototypes[k][:DIMENSIONS] / x for k, x in zip(names, lengths, strict=True)]).reshape(len(names), DIMENSIONS)
@@ -152,7 +151,7 @@ def predictor(prototypes: dict[str, np.ndarray]):
 
     state: list[Profiler] = []  # each task has its own copy, which goes with it
 
-    def run(texts: pa.Array) -> pa.Array:
+    def run(texts: pa.Array) -> tuple[list[str], list[float], list[float]]:
         if not state:
             state.append(Profiler())
         profiler = state[0]
@@ -172,6 +171,17 @@ def predictor(prototypes: dict[str, np.ndarray]):
             langs.append(lang)
             scores.append(score)
             expected.append(usual)
+        return langs, scores, expected
+
+    return run
+
+
+def predictor(prototypes: dict[str, np.ndarray]):
+    """A function from a text column to ``struct<lang, score, expected>``."""
+    score = scorer(prototypes)
+
+    def run(texts: pa.Array) -> pa.Array:
+        langs, scores, expected = score(texts)
         columns = [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(expected, pa.float64())]
         return pa.StructArray.from_arrays(columns, ["lang", "score", "expected"])
 
@@ -209,8 +219,10 @@ def identify_held_out(docs: DataFrame) -> DataFrame:
 
 def keep_known(docs: DataFrame, min_score: float) -> DataFrame:
     """Documents whose language is known with a cosine of ``min_score`` and ``EXPECTED`` of the expected one or more; all columns as they were."""
-    name = fresh(docs, "language")
-    found = identify(docs, docs.where(training_rows(docs)), into=name)
-    language = F.col(name)
-    # the struct is used twice; written out, it is found once
-    return cut_lineage(found).where((language["lang"] != UNKNOWN) & (language["score"] >= min_score) & (language["score"] >= EXPECTED * language["expected"])).drop(name)
+    score = scorer(learn(docs.where(training_rows(docs))))
+
+    def run(texts: pa.Array) -> pa.Array:
+        known = [lang != UNKNOWN and x >= max(min_score, EXPECTED * usual) for lang, x, usual in zip(*score(texts), strict=True)]
+        return pa.array(known, pa.bool_())
+
+    return docs.where(F.arrow_udf(run, "boolean")(F.col("text").cast("string")))

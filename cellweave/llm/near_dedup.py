@@ -7,12 +7,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.llm.common import U, distinct_per_row, hot_join, list_column, mix, random_words, shingles, text_parts
+from cellweave.llm.common import U, distinct_per_row, hot_join, list_column, may_match, mix, random_words, shingles, text_parts
 from cellweave.operators.components import edge_components
-from cellweave.session import cut_lineage
+from cellweave.session import cut_lineage, discard
 
 #: Signature values in a band.
 ROWS = 6
@@ -186,10 +186,11 @@ def near_duplicates(
     den: int = 100,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """``id, n_shingles, component_id, kept, row1, row2`` for every row of ``docs``.
+    """``id, n_shingles, component_id, kept, row1, row2, chosen`` for every row of ``docs``.
 
     Documents whose sets of ``k``-word shingles have a Jaccard similarity of ``num / den`` or more
-    are linked; ``component_id`` is the smallest id that links reach.
+    are linked; ``component_id`` is the smallest id that links reach.  ``row1, row2`` name the row by
+    id and text; ``chosen`` is true for one such name per group, of a row with the smallest id.
 
     1. Every text becomes a set of shingle hashes, of which min-max hashing makes band hashes.
        Equal sets form one class, so copies cost one row each from here on.
@@ -206,11 +207,16 @@ def near_duplicates(
     """
     bands = bands_for(num / den)
     marks = cut_lineage(sketch(docs, id_col, text_col, k, bands))
+    best = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row1", "row2"))
     classes = cut_lineage(
         marks.where("n_shingles > 0")
         .groupBy(F.col("key1").alias("node"), "key2")
-        .agg(F.min("id").alias("rep"), F.first("n_shingles").alias("n"), F.count("*").alias("copies"), F.first("bands").alias("bands"))
+        .agg(best.alias("rep"), F.first("n_shingles").alias("n"), F.count("*").alias("copies"), F.first("bands").alias("bands"))
     )
+    # what is needed of a row from here on, without its band hashes
+    ids = cut_lineage(marks.select("id", "row1", "row2", "n_shingles", F.col("key1").alias("node")))
+    discard(marks)
+    total = ids.count()
     buckets = classes.select("node", F.posexplode("bands").alias("band", "bucket")).select(
         "node", F.xxhash64("band", "bucket").alias("bucket")
     )
@@ -222,66 +228,88 @@ def near_duplicates(
         .select(F.col("head").alias("a"), F.col("node").alias("b"))
         .distinct()
     )
+    discard(buckets)
     found = edge_components(stars)
     labels = None
     if found is not None:
-        edges = cut_lineage(_confirm(docs, classes, found[0], id_col, text_col, k, num, den, block_bytes))
+        edges = _confirm(docs, classes, found[0], id_col, text_col, k, num, den, block_bytes)
         linked = edge_components(edges)
+        discard(edges)
         if linked is not None:
             labels = linked[0]
-    ids = marks.select("id", "row1", "row2", "n_shingles", F.col("key1").alias("node"), "key2")
+    discard(stars)
     if labels is None:
-        named = classes.select("node", "key2", F.col("rep").alias("first"), "copies")
+        named = classes.select("node", F.col("rep").alias("first"), "copies")
     else:
         roots = classes.join(labels.select(F.col("a").alias("node"), "p"), "node", "left").withColumn(
             "p", F.coalesce("p", "node")
         )
-        roots = cut_lineage(roots.select("node", "key2", "p", "rep", "copies"))
+        roots = cut_lineage(roots.select("node", "p", "rep", "copies"))
+        discard(classes)
         firsts = roots.groupBy("p").agg(F.min("rep").alias("first"), F.count("*").alias("of_root"))
-        named = hot_join(roots, firsts, "p", "of_root", roots.count()).select("node", "key2", "first", "copies")
-    full = hot_join(ids.where("n_shingles > 0"), named.drop("key2"), "node", "copies", marks.count()).select(
-        "id", "row1", "row2", "n_shingles", F.col("first").alias("component_id")
+        named = hot_join(roots, firsts, "p", "of_root", roots.count()).select("node", "first", "copies")
+    full = hot_join(ids.where("n_shingles > 0"), named, "node", "copies", total).select(
+        "id",
+        "row1",
+        "row2",
+        "n_shingles",
+        F.col("first.id").alias("component_id"),
+        ((F.col("row1") == F.col("first.row1")) & (F.col("row2") == F.col("first.row2"))).alias("chosen"),
+    )
+    alone = ids.where("n_shingles = 0").select(
+        "id", "row1", "row2", "n_shingles", F.col("id").alias("component_id"), F.lit(True).alias("chosen")
     )
-    alone = ids.where("n_shingles = 0").select("id", "row1", "row2", "n_shingles", F.col("id").alias("component_id"))
     both = full.unionByName(alone).withColumn("kept", F.col("id").eqNullSafe(F.col("component_id")))
-    return both.select("id", "n_shingles", "component_id", "kept", "row1", "row2")
+    return both.select("id", "n_shingles", "component_id", "kept", "row1", "row2", "chosen")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One row of each group of near duplicates, all columns: the one with the smallest id.
+    """One row of each group of near duplicates, all columns: one with the smallest id.
+
+    Of rows with equal id and text one stays.  Of a group without ids one stays as well, the first by its
+    text's hash.  Texts without words are no duplicates of others, only of repetitions of the same row.
 
-    Of repeated rows one stays.  Texts without words are no duplicates of others, only of
-    repetitions of the same row.
+    Rows that stay are not moved, as far as a filter of at most ``MAX_BUCKETS`` numbers can tell them;
+    repeated rows are combined before the others move.
     """
-    kept = near_duplicates(docs, id_col, text_col, **options).where("kept").select("row1", "row2").distinct()
+    marks = near_duplicates(docs, id_col, text_col, **options)
+    names = marks.groupBy("row1", "row2").agg(F.max("chosen").alias("stays"), F.count("*").alias("n"))
+    touched = cut_lineage(names.where("not stays or n > 1").select("row1", "row2", "stays"))
     rows = docs.select(*row_keys(id_col, text_col), F.struct("*").alias("row"))
-    first = F.row_number().over(Window.partitionBy("row1", "row2").orderBy("row1"))
-    once = rows.withColumn("nth", first).where("nth = 1").join(kept, ["row1", "row2"], "left_semi")
-    return once.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+    rows, flag = may_match(rows, F.col("row1"), touched, "row1", touched.count())
+    moved = rows.where(F.col(flag).isNotNull()).groupBy("row1", "row2").agg(F.first("row").alias("row"))
+    moved = moved.join(touched, ["row1", "row2"], "left").where(F.coalesce("stays", F.lit(True))).select("row")
+    out = rows.where(F.col(flag).isNull()).select("row").unionByName(moved)
+    return out.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def _confirm(
     docs: DataFrame, classes: DataFrame, groups: DataFrame, id_col: str, text_col: str, k: int, num: int, den: int, block_bytes: int
 ) -> DataFrame:
-    """Edges ``a, b`` between classes of a candidate group whose whole sets are similar enough."""
+    """Written edges ``a, b`` between classes of a candidate group whose whole sets are similar enough."""
     members = classes.join(groups.select(F.col("a").alias("node"), F.col("p").alias("comp")), "node").select(
-        "node", "key2", "rep", "n", "comp"
+        "node", "key2", F.col("rep.row1").alias("rep1"), F.col("rep.row2").alias("rep2"), "n", "comp"
     )
     members = cut_lineage(members)
+    n_members = members.count()
     sizes = members.groupBy("comp").agg(
         F.ceil(F.sum(F.col("n") * 8) / F.lit(block_bytes)).cast("int").alias("blocks"), F.count("*").alias("of_comp")
     )
     bins = max(1, -(-(members.agg(F.sum("n")).first()[0] or 0) * 8 // block_bytes))
-    placed = hot_join(members, sizes, "comp", "of_comp", members.count()).select(
-        "rep",
+    placed = hot_join(members, sizes, "comp", "of_comp", n_members).select(
+        "rep1",
+        "rep2",
         F.col("key2").alias("name2"),
         "node",
         "comp",
         "blocks",
         F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("comp"), F.lit(4 * bins))).otherwise(F.col("comp")).alias("bin"),
     )
-    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("text"))
-    sets = _sets(texts.join(placed, F.col("__id").eqNullSafe(F.col("rep"))), k)
+    # one text of each class moves; repeated rows are combined before
+    texts = docs.select(*row_keys(id_col, text_col), F.col(text_col).cast("string").alias("text"))
+    texts, flag = may_match(texts, F.col("row1"), members, "rep1", n_members)
+    texts = texts.where(F.col(flag).isNotNull()).groupBy("row1", "row2").agg(F.first("text").alias("text"))
+    sets = _sets(texts.join(placed, (F.col("row1") == F.col("rep1")) & (F.col("row2") == F.col("rep2"))), k)
     sets = sets.where("node = key1 and name2 = key2").drop("key1", "name2", "key2")
     mine = F.pmod(F.xxhash64("node"), F.col("blocks"))
     tasks = sets.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
@@ -310,4 +338,6 @@ def _confirm(
             b.append(nodes[group[y]])
         return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
 
-    return tasks.groupBy("bin", "blocks", "i", "j").applyInArrow(confirm, "a long, b long")
+    edges = cut_lineage(tasks.groupBy("bin", "blocks", "i", "j").applyInArrow(confirm, "a long, b long"))
+    discard(members)
+    return edges

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,9 @@ BROADCAST_ROWS = 1_000_000
 #: Copies of the smaller side when a join has to shuffle; spreads a hot key over tasks.
 SALTS = 8
 
+#: Folders of the tables that ``cut_lineage`` wrote.
+_FOLDERS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """True when ``df`` is counted to have at most ``max_rows`` rows."""
@@ -76,7 +80,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     path = shared_folder(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    _FOLDERS[table] = path
+    return table
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder below the checkpoint folder, through the file system that holds it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``cut_lineage`` that no unfinished plan reads any more: what followed from them is written."""
+    for table in tables:
+        path = _FOLDERS.pop(table, None)
+        if path is not None:
+            delete_folder(table.sparkSession, path)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
