@@ -16,6 +16,7 @@ from cellweave.llm.html_text import extract
 from cellweave.llm.language import identify_held_out
 from cellweave.llm.licences import scan
 from cellweave.llm.line_dedup import drop_recurring_lines, lines_of
+from cellweave.llm.manifest import manifest
 from cellweave.llm.near_dedup import near_duplicates
 from cellweave.llm.sharding import shard_documents
 
@@ -195,3 +196,47 @@ def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "license", F.array_join("notices", ",").alias("notices"))
+
+
+#: crc32 of the decimal id, bit by bit, as DuckDB has no such function.
+CRC_SQL = """xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(doc_id::varchar, ''), lambda c: ord(c)::bigint)),
+  lambda r, c: list_reduce([xor(r, c), 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda x, k: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end)), 4294967295)"""
+
+
+def _leaf_sql(text: str) -> str:
+    parts = [f"coalesce(concat(octet_length(encode({f}::varchar)), ':', {f}), '-')" for f in ("doc_id", "source", "lang", "n_chars", text)]
+    return f"sha256(concat({', '.join(parts)}))"
+
+
+def _level_sql(nodes: str, rows: str, i: int) -> str:
+    """One level up: runs of 16 nodes become one, a lone node stays; rows fold their digest and add their siblings."""
+    return f"""
+{nodes}r{i} as (select tree, pos // 16 as up, list(d order by pos) as ds, any_value(n) as n
+  from (select *, count(*) over (partition by tree) as n from {nodes}{i}) group by all),
+{nodes}{i + 1} as (select tree, up as pos, case when n = 1 then ds[1] else sha256(array_to_string(ds, '')) end as d from {nodes}r{i}),
+{rows}{i + 1} as (select doc_id, leaf, subroot, tree, up as pos, case when n = 1 then f else sha256(concat(l, f, r)) end as f, concat(proof, l, r) as proof
+  from (select doc_id, leaf, subroot, tree, pos, f, proof, up, n, array_to_string(ds[1:pos % 16], '') as l, array_to_string(ds[pos % 16 + 2:], '') as r
+    from {rows}{i} join {nodes}r{i} using (tree) where pos // 16 = up))"""
+
+
+def manifest_sql(levels: int = 5, upper: int = 3) -> str:
+    """SQL of the manifest for sources of up to ``16 ** levels`` rows, and ``16 ** upper`` sources."""
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""with docs as (select doc_id, coalesce('=' || source, '') as tree, {_leaf_sql("text")} as d,
+  case when {CRC_SQL} % 5 = 0 then {_leaf_sql(lower)} else {_leaf_sql("text")} end as f from documents),
+p as (select *, row_number() over (partition by tree order by doc_id nulls first, d) - 1 as pos from docs),
+a0 as (select tree, pos, d from p),
+p0 as (select doc_id, d as leaf, null::varchar as subroot, tree, pos, f, '' as proof from p),
+{",".join(_level_sql("a", "p", i) for i in range(levels))},
+b as (select tree as name, row_number() over (order by tree) - 1 as pos, d from a{levels}),
+b0 as (select '' as tree, pos, d from b),
+q0 as (select doc_id, leaf, d as subroot, '' as tree, b.pos, f, proof from p{levels} x join b on name = x.tree),
+{",".join(_level_sql("b", "q", i) for i in range(upper))}
+select doc_id, leaf, subroot, d as root, sha256(proof) as proof_sha256, f as folded_root, f = d as verified
+from q{upper} join b{upper} using (tree)"""
+
+
+@query("op13_manifest", manifest_sql())
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(table(spark, sf_dir, "documents"))
