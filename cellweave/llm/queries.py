@@ -19,6 +19,7 @@ from cellweave.llm.line_dedup import drop_recurring_lines, lines_of
 from cellweave.llm.manifest import manifest
 from cellweave.llm.near_dedup import near_duplicates
 from cellweave.llm.sharding import shard_documents
+from cellweave.llm.whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -240,3 +241,8 @@ from q{upper} join b{upper} using (tree)"""
 @query("op13_manifest", manifest_sql())
 def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest(table(spark, sf_dir, "documents"))
+
+
+@query("op12_whitening")
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
