@@ -16,6 +16,7 @@ from cellweave.llm.html_text import extract
 from cellweave.llm.language import identify_held_out
 from cellweave.llm.licences import scan
 from cellweave.llm.line_dedup import drop_recurring_lines, lines_of
+from cellweave.llm.lm_score import score_texts
 from cellweave.llm.manifest import manifest
 from cellweave.llm.near_dedup import near_duplicates
 from cellweave.llm.sharding import shard_documents
@@ -246,3 +247,8 @@ def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_whitening")
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+@query("op11_lm_score")
+def op11_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
