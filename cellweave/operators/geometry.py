@@ -551,6 +551,11 @@ def clip_lines(
     )
 
 
+#: Distance below which coordinates touch, and its square.
+CONTACT = 1e-9
+CONTACT_SQ = CONTACT**2
+
+
 def features_within(
     features: DataFrame,
     aoi: DataFrame,
@@ -559,25 +564,29 @@ def features_within(
     max_rows: int = BROADCAST_ROWS,
     zone: str | None = None,
 ) -> DataFrame:
-    """Ids of the features that lie wholly inside the AOI.
+    """Ids of the features that lie wholly inside the AOI; contact with its border is allowed.
 
-    ``features`` is an edge table.  A feature stays when all its vertices are inside, no edge
-    properly crosses the outline, and no vertex of the outline lies within it, as those of a hole
-    would.  With ``zone``, the polygon of each AOI edge, the outline is that of their union.
+    ``features`` is an edge table.  Edges are cut wherever they meet the outline, at crossings,
+    corners and shared stretches, so that every piece is inside, on, or outside the outline as a whole, as is its
+    middle.  A feature stays when no piece is outside, when no corner of the outline lies within it, as
+    those of a hole would, and when a point of its interior is inside, which tells a feature that fills a hole or a
+    notch from one that fills the AOI.  With ``zone``, the polygon of each AOI edge, the outline is that of their union.
     """
     tile = tile or max(_mean_extent(aoi), _mean_extent(features), 1e-9)
     outline = union_outline(aoi, zone, max_rows=max_rows) if zone else dissolve(aoi)
-    start = features.select(*id_cols, col("x1").alias("vx"), col("y1").alias("vy"))
-    end = features.select(*id_cols, col("x2").alias("vx"), col("y2").alias("vy"))
-    vertices = start.unionByName(end).distinct()
-    inside = (
-        points_in_area(vertices, outline, [*id_cols, "vx", "vy"], "vx", "vy", None, max_rows)
-        .groupBy(*id_cols)
-        .agg(F.count("*").alias("n_in"))
-    )
-    total = vertices.groupBy(*id_cols).agg(F.count("*").alias("n_all"))
-    candidate = cut_lineage(total.join(inside, id_cols).where(col("n_in") == col("n_all")).select(*id_cols))
+    outline = cut_lineage(outline.select("x1", "y1", "x2", "y2"))
+    keys = [*id_cols, "x1", "y1", "x2", "y2"]
+    edges = features.select(*keys).distinct()
+    pieces = cut_lineage(_cut_at_contacts(edges, outline, id_cols, tile, max_rows))
+    inside = points_in_area(pieces, outline, [*id_cols, "mx", "my"], "mx", "my", None, max_rows)
+    open_pieces = pieces.join(inside, [*id_cols, "mx", "my"], "left_anti")
+    touching = _on_outline(open_pieces, outline, id_cols, tile, max_rows)
+    outside = open_pieces.join(touching, [*id_cols, "mx", "my"], "left_anti").select(*id_cols).distinct()
+    candidate = cut_lineage(features.select(*id_cols).distinct().join(outside, id_cols, "left_anti"))
     chosen = features.join(candidate, id_cols, "left_semi")
+    inner = _interior_points(chosen, id_cols)
+    out_there = inner.join(points_in_area(inner, outline, id_cols, "px", "py", None, max_rows), id_cols, "left_anti")
+    candidate = candidate.join(out_there, id_cols, "left_anti")
     shape = chosen.select(F.struct(*id_cols).alias("__f"), "x1", "y1", "x2", "y2")
     corners = outline.select(col("x1").alias("vx"), col("y1").alias("vy")).distinct()
     held = points_in_polygons(corners, shape, ["vx", "vy"], "vx", "vy", "__f", max_rows)
@@ -586,31 +595,75 @@ def features_within(
         held.join(shape, "__f")
         .groupBy("__f", "vx", "vy")
         .agg(F.min(distance_sq(col("vx"), col("vy"))).alias("__d"))
-        .where(col("__d") > 1e-18)
+        .where(col("__d") > CONTACT_SQ)
         .select("__f")
         .distinct()
     )
-    candidate = candidate.join(held, F.struct(*[candidate[c] for c in id_cols]) == col("__f"), "left_anti")
-    orient = lambda ax, ay, bx, by, cx, cy: (
-        (col(bx) - col(ax)) * (col(cy) - col(ay)) - (col(by) - col(ay)) * (col(cx) - col(ax))
-    )
-    s1 = orient("ax1", "ay1", "ax2", "ay2", "x1", "y1") * orient("ax1", "ay1", "ax2", "ay2", "x2", "y2")
-    s2 = orient("x1", "y1", "x2", "y2", "ax1", "ay1") * orient("x1", "y1", "x2", "y2", "ax2", "ay2")
+    return candidate.join(held, F.struct(*[candidate[c] for c in id_cols]) == col("__f"), "left_anti")
+
+
+def _cut_at_contacts(edges: DataFrame, outline: DataFrame, id_cols: list[str], tile: float, max_rows: int) -> DataFrame:
+    """``id_cols, mx, my``: middles of the pieces of edges between their contacts with the outline."""
     keys = [*id_cols, "x1", "y1", "x2", "y2"]
-    crossing = (
-        sized_join(
-            segment_tiles(features.select(*keys), keys, tile),
-            _aoi_tiles(outline, tile),
-            ["tr", "tc"],
-            "left_semi",
-            (s1 < 0) & (s2 < 0),
-            max_rows,
-            9 * _passed_bound(aoi, tile),
-        )
-        .select(*id_cols)
-        .distinct()
-    )
-    return candidate.join(crossing, id_cols, "left_anti")
+    dx, dy = col("x2") - col("x1"), col("y2") - col("y1")
+    ex, ey = col("ax2") - col("ax1"), col("ay2") - col("ay1")
+    den = F.nullif(dx * ey - dy * ex, lit(0.0))
+    wx, wy = col("ax1") - col("x1"), col("ay1") - col("y1")
+    t, u = (wx * ey - wy * ex) / den, (wx * dy - wy * dx) / den
+    crossing = F.when((u >= 0) & (u <= 1), t)
+    # corners of the outline that lie on the edge, also where both run along each other
+    along = lambda x, y: ((x - col("x1")) * dx + (y - col("y1")) * dy) / F.nullif(dx * dx + dy * dy, lit(0.0))
+    corner = lambda x, y: F.when(distance_sq(x, y) <= CONTACT_SQ, along(x, y))
+    contacts = F.filter(
+        F.array(crossing, corner(col("ax1"), col("ay1")), corner(col("ax2"), col("ay2"))), lambda v: (v > 0) & (v < 1)
+    )
+    near = (
+        (F.least("x1", "x2") <= F.greatest("ax1", "ax2") + CONTACT)
+        & (F.greatest("x1", "x2") >= F.least("ax1", "ax2") - CONTACT)
+        & (F.least("y1", "y2") <= F.greatest("ay1", "ay2") + CONTACT)
+        & (F.greatest("y1", "y2") >= F.least("ay1", "ay2") - CONTACT)
+    )
+    pairs = sized_join(
+        segment_tiles(edges, keys, tile), _aoi_tiles(outline, tile), ["tr", "tc"], "inner", near, max_rows, 9 * _passed_bound(outline, tile)
+    )
+    cuts = pairs.select(*keys, F.explode(contacts).alias("t")).distinct()
+    ends = edges.select(*keys, F.explode(F.array(lit(0.0), lit(1.0))).alias("t"))
+    middle = (col("t") + F.lead("t").over(Window.partitionBy(*keys).orderBy("t"))) / 2
+    pieces = ends.unionByName(cuts).withColumn("m", middle).where(col("m").isNotNull())
+    return pieces.select(*id_cols, (col("x1") + col("m") * dx).alias("mx"), (col("y1") + col("m") * dy).alias("my")).distinct()
+
+
+def _on_outline(points: DataFrame, outline: DataFrame, id_cols: list[str], tile: float, max_rows: int) -> DataFrame:
+    """``id_cols, mx, my`` of the points that lie on the outline."""
+    keys = [*id_cols, "mx", "my"]
+    dots = points.select(*keys, col("mx").alias("x1"), col("my").alias("y1"), col("mx").alias("x2"), col("my").alias("y2"))
+    dx, dy = col("ax2") - col("ax1"), col("ay2") - col("ay1")
+    length = dx * dx + dy * dy
+    share = ((col("mx") - col("ax1")) * dx + (col("my") - col("ay1")) * dy) / F.nullif(length, lit(0.0))
+    t = F.least(F.greatest(F.coalesce(share, lit(0.0)), lit(0.0)), lit(1.0))
+    gx, gy = col("mx") - (col("ax1") + t * dx), col("my") - (col("ay1") + t * dy)
+    tiles = segment_tiles(dots, [*keys, "x1", "y1", "x2", "y2"], tile).select(*keys, "tr", "tc")
+    near = gx * gx + gy * gy <= CONTACT_SQ
+    return sized_join(tiles, _aoi_tiles(outline, tile), ["tr", "tc"], "left_semi", near, max_rows, 9 * _passed_bound(outline, tile)).select(*keys)
+
+
+def _interior_points(features: DataFrame, id_cols: list[str]) -> DataFrame:
+    """``id_cols, px, py``: a point within each feature, halfway between its first two borders on a line through it.
+
+    The line lies halfway between its two lowest corners of different height; lines have none.
+    """
+    heights = features.select(*id_cols, col("y1").alias("h")).union(features.select(*id_cols, col("y2").alias("h")))
+    low = heights.groupBy(*id_cols).agg(F.min("h").alias("h0"))
+    named = {c: f"__i_{c}" for c in id_cols}
+    same = lambda other: [col(c) == other[k] for c, k in named.items()]
+    first = low.withColumnsRenamed(named)
+    above = heights.join(first, same(first)).where(col("h") > col("h0")).groupBy(*id_cols).agg(((F.min("h") + F.first("h0")) / 2).alias("py"))
+    line = above.withColumnsRenamed(named)
+    met = features.join(line, same(line)).where((F.least("y1", "y2") <= col("py")) & (F.greatest("y1", "y2") > col("py")))
+    at = col("x1") + (col("py") - col("y1")) * (col("x2") - col("x1")) / (col("y2") - col("y1"))
+    w = Window.partitionBy(*id_cols).orderBy("__x")
+    spots = met.select(*id_cols, "py", at.alias("__x")).withColumns({"__next": F.lead("__x").over(w), "__at": F.row_number().over(w)})
+    return spots.where((col("__at") == 1) & col("__next").isNotNull()).select(*id_cols, ((col("__x") + col("__next")) / 2).alias("px"), "py")
 
 
 def dissolve(edges: DataFrame, keys: list[str] | None = None) -> DataFrame:

@@ -204,3 +204,35 @@ def test_utm_central_meridian(spark):
 def test_unknown_projection():
     with pytest.raises(ValueError):
         crs.projection("EPSG:4326", "EPSG:2154")
+
+
+def within(spark, shapes, area):
+    kind = "fid string, x1 double, y1 double, x2 double, y2 double"
+    outline = spark.createDataFrame(edge_rows(area), kind).drop("fid")
+    return {r.fid for r in g.features_within(spark.createDataFrame(edge_rows(shapes), kind), outline, ["fid"]).collect()}
+
+
+def test_features_within_keeps_contact_with_every_side(spark):
+    square = {"a": [(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0)]}
+    unit = lambda x, y: [(x, y), (x + 1.0, y), (x + 1.0, y + 1.0), (x, y + 1.0)]
+    shapes = {"left": unit(0.0, 1.5), "right": unit(3.0, 1.5), "top": unit(1.5, 3.0), "bottom": unit(1.5, 0.0), "free": unit(1.5, 1.5)}
+    shapes |= {"corner": unit(3.0, 3.0), "all": square["a"], "over": unit(3.5, 1.0), "away": unit(5.0, 1.0), "next": unit(4.0, 1.0)}
+    assert within(spark, shapes, square) == {"left", "right", "top", "bottom", "free", "corner", "all"}
+
+
+def test_features_within_drops_what_fills_a_notch_or_hole(spark):
+    areas, shapes = {}, {}
+    for turn in range(4):
+        area = [(0, 0), (4, 0), (4, 4), (0, 4), (0, 3), (1, 2), (0, 1)]
+        notch = [(0, 1), (1, 2), (0, 3)]
+        beside = [(0, 3), (1, 2), (1, 3)]
+        for _ in range(turn):
+            area, notch, beside = ([(4 - y, x) for x, y in ring] for ring in (area, notch, beside))
+        moved = lambda ring: [(x + 10.0 * (turn + 1), float(y)) for x, y in ring]  # noqa: B023, E731
+        areas[f"a{turn}"], shapes[f"notch{turn}"], shapes[f"beside{turn}"] = moved(area), moved(notch), moved(beside)
+    hole = [(1.0, 1.0), (3.0, 1.0), (3.0, 3.0), (1.0, 3.0)]
+    areas |= {"a": [(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0)], "hole": hole}
+    around = [(0.5, 0.5), (3.5, 0.5), (3.5, 3.5), (0.5, 3.5)]
+    touching = [(0.0, 1.0), (1.0, 1.0), (1.0, 3.0), (0.0, 3.0)]
+    shapes |= {"hole": hole, "around": around, "touching": touching}
+    assert within(spark, shapes, areas) == {"touching", *(f"beside{turn}" for turn in range(4))}
