@@ -23,6 +23,10 @@ MAX_LANGUAGES = 2_000
 STEP_CHARS = 1 << 20
 #: n-gram vectors that a worker remembers.
 CACHE_GRAMS = 16_384
+#: n-grams whose vectors are added up in one step.
+STEP_GRAMS = 1024
+#: Distinct n-grams of texts that a learning task keeps before it bundles them.
+PENDING_GRAMS = 1 << 18
 UNKNOWN = "und"
 #: Share of the cosine that a text of a language has on average, below which it is not of that language.
 EXPECTED = 0.25
@@ -83,8 +87,8 @@ class Profiler:
         """The sum of the n-grams' vectors."""
         total = np.zeros(DIMENSIONS, np.float64)
         kind = np.float32 if counts.sum() < 1 << 24 else np.float64  # whole numbers stay exact
-        for at in range(0, len(grams), CACHE_GRAMS // 4):
-            some, n = grams[at : at + CACHE_GRAMS // 4], counts[at : at + CACHE_GRAMS // 4].astype(kind)
+        for at in range(0, len(grams), STEP_GRAMS):
+            some, n = grams[at : at + STEP_GRAMS], counts[at : at + STEP_GRAMS].astype(kind)
             place = np.searchsorted(self.grams, some)
             known = place < len(self.grams)
             known[known] = self.grams[place[known]] == some[known]
@@ -122,16 +126,26 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         profiler, sums = Profiler(), {}  # lives as long as the task
+        found: dict[str, list] = {}
+
+        def add() -> None:  # a bundle is a sum, so the n-grams of several texts are counted first
+            for lang, pairs in found.items():
+                grams, where = np.unique(np.concatenate([g for g, _ in pairs]), return_inverse=True)
+                n = np.bincount(where, np.concatenate([n for _, n in pairs]))
+                sums[lang] = sums.get(lang, 0) + np.append(profiler.bundle(grams, n), n.sum())
+            found.clear()
+
+        pending = 0
         for batch in batches:
-            found: dict[str, list] = {}
             for text, lang in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
                 grams, n = profiler.counts(text.as_py())
                 if grams.any():
                     found.setdefault(lang, []).append((grams, n))
-            for lang, pairs in found.items():  # a bundle is a sum, so a batch's n-grams are counted first
-                grams, where = np.unique(np.concatenate([g for g, _ in pairs]), return_inverse=True)
-                n = np.bincount(where, np.concatenate([n for _, n in pairs]))
-                sums[lang] = sums.get(lang, 0) + np.append(profiler.bundle(grams, n), n.sum())
+                    pending += len(grams)
+                if pending >= PENDING_GRAMS:
+                    add()
+                    pending = 0
+        add()
         for lang, total in sums.items():
             yield pa.RecordBatch.from_pydict({"lang": [lang], "v": pa.array([np.rint(total).astype(np.int64)], pa.list_(pa.int64()))})
 
