@@ -14,6 +14,8 @@ import regex
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from cellweave.llm.common import small_batches
+
 #: Words whose ids a worker remembers; beyond that it starts afresh, which changes no result.
 CACHE_WORDS = 200_000
 #: Resolved arcs that a worker remembers.
@@ -275,6 +277,7 @@ def encoder(spark: SparkSession, path: str) -> Callable[[Column | str], Column]:
     no ids.  Special tokens in the text become their ids.  Any length of text or word is
     handled; work is linear in it.
     """
+    small_batches(spark)
     sent = _definition(spark, path)
 
     def run(texts: pa.Array) -> pa.Array:

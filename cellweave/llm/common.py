@@ -15,6 +15,8 @@ HOT_PARTS = 1000
 MAX_BUCKETS = 1 << 20
 #: Text bytes that one vectorised step looks at.
 STEP_BYTES = 1 << 20
+#: Bytes of an Arrow batch between Spark and Python, unless the session's configuration names them.
+BATCH_BYTES = 4 << 20
 
 U = np.uint64
 
@@ -23,6 +25,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Whole texts go to Python in batches of ``BATCH_BYTES``; a longer text is a batch of its own.
+
+    Both sides hold several copies of a batch outside the heap, for each core of an executor.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not spark.sparkContext.getConf().contains(name):
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, with underscores before it as long as ``df`` has such a column."""
     taken = {c.lower() for c in df.columns}

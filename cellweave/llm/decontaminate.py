@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.llm.common import U, list_column, mix, text_parts
+from cellweave.llm.common import U, list_column, mix, small_batches, text_parts
 from cellweave.session import cut_lineage
 
 #: Tokens of the shortest tile.
@@ -159,6 +159,7 @@ def matches(
     items, and items of fewer than ``min_match`` words, match nothing.  Repeated documents and
     items are matched each.  An empty table on either side gives no match.
     """
+    small_batches(docs.sparkSession)
     tokens = cut_lineage(item_tokens(items, item_col, item_text_col).where(F.size("tokens") >= min_match))
     total = tokens.agg(F.sum(F.size("tokens"))).first()[0] or 0
     blocks = max(1, -(-total // block_tokens))

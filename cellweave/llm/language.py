@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.llm.common import U, mix
+from cellweave.llm.common import U, mix, small_batches
 
 #: Length of a vector.
 DIMENSIONS = 1024
@@ -213,6 +213,7 @@ def identify(docs: DataFrame, labelled: DataFrame, text_col: str = "text", lang_
     nothing could be learned are ``und`` with score 0.  Repeated rows get equal answers; an empty
     table gives an empty one; any length of text is read whole, in steps.
     """
+    small_batches(docs.sparkSession)
     predict = predictor(learn(labelled, text_col, lang_col))
     return docs.withColumn(into, predict(F.col(text_col).cast("string")))
 
@@ -233,6 +234,7 @@ def identify_held_out(docs: DataFrame) -> DataFrame:
 
 def keep_known(docs: DataFrame, min_score: float) -> DataFrame:
     """Documents whose language is known with a cosine of ``min_score`` and ``EXPECTED`` of the expected one or more; all columns as they were."""
+    small_batches(docs.sparkSession)
     score = scorer(learn(docs.where(training_rows(docs))))
 
     def run(texts: pa.Array) -> pa.Array:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.llm.common import U, distinct_per_row, hot_join, list_column, may_match, mix, random_words, shingles, text_parts
+from cellweave.llm.common import U, distinct_per_row, hot_join, list_column, may_match, mix, random_words, shingles, small_batches, text_parts
 from cellweave.operators.components import edge_components
 from cellweave.session import cut_lineage, discard
 
@@ -205,6 +205,7 @@ def near_duplicates(
     words are one shingle.  Repeated rows are copies.  A row with a NULL id is kept in the sense
     of ``id <=> component_id``.  An empty table gives an empty result; other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     bands = bands_for(num / den)
     marks = cut_lineage(sketch(docs, id_col, text_col, k, bands))
     best = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row1", "row2"))
