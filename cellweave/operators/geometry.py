@@ -563,15 +563,25 @@ def features_within(
     tile: float | None = None,
     max_rows: int = BROADCAST_ROWS,
     zone: str | None = None,
+    half_open: bool = False,
 ) -> DataFrame:
     """Ids of the features that lie wholly inside the AOI; contact with its border is allowed.
 
+    With ``half_open`` every corner must also be inside by the half-open rule, so that of the features that
+    touch the border only those stay that touch the left or the lower one.
+
     ``features`` is an edge table.  Edges are cut wherever they meet the outline, at crossings,
     corners and shared stretches, so that every piece is inside, on, or outside the outline as a whole, as is its
     middle.  A feature stays when no piece is outside, when no corner of the outline lies within it, as
     those of a hole would, and when a point of its interior is inside, which tells a feature that fills a hole or a
     notch from one that fills the AOI.  With ``zone``, the polygon of each AOI edge, the outline is that of their union.
     """
+    if half_open:
+        at = features.select(*id_cols, col("x1").alias("vx"), col("y1").alias("vy"))
+        at = at.union(features.select(*id_cols, "x2", "y2")).distinct()
+        corner = [*id_cols, "vx", "vy"]
+        beyond = at.join(points_in_area(at, aoi, corner, "vx", "vy", zone, max_rows), corner, "left_anti")
+        features = cut_lineage(features.join(beyond.select(*id_cols).distinct(), id_cols, "left_anti"))
     tile = tile or max(_mean_extent(aoi), _mean_extent(features), 1e-9)
     outline = union_outline(aoi, zone, max_rows=max_rows) if zone else dissolve(aoi)
     outline = cut_lineage(outline.select("x1", "y1", "x2", "y2"))

@@ -35,3 +35,8 @@ def test_no_scene_in_the_period_gives_no_rows(spark, tmp_path, name):
 def test_validate_rows_on_large_ids(spark, tmp_path):
     folder = changed(tmp_path, customer="select * replace (c_custkey + 150000 as c_custkey) from customer")
     assert same_as_sql(spark, folder, "validate_rows") == ""
+
+
+def test_features_within_that_touch_the_border(spark, tmp_path):
+    folder = changed(tmp_path, customer="select * replace (c_custkey + 5400 as c_custkey) from customer")
+    assert same_as_sql(spark, folder, "features_within") == ""
