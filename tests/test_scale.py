@@ -3,8 +3,11 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from cellweave.operators import geometry as g
+from cellweave.session import BROADCAST_ROWS, sized_join
 from compare import connect, diff
 
 FOLDER = "/root/testdata/sf0.001"
@@ -40,3 +43,14 @@ def test_validate_rows_on_large_ids(spark, tmp_path):
 def test_features_within_that_touch_the_border(spark, tmp_path):
     folder = changed(tmp_path, customer="select * replace (c_custkey + 5400 as c_custkey) from customer")
     assert same_as_sql(spark, folder, "features_within") == ""
+
+
+def test_a_side_of_many_rows_is_never_broadcast(spark, tmp_path):
+    """A small file whose rows are exploded looks small to Spark."""
+    spark.range(2).write.parquet(f"{tmp_path}/t")
+    big = spark.range(10).select((F.col("id") % 2).alias("k"))
+    small = spark.read.parquet(f"{tmp_path}/t").select(F.col("id").alias("k"), F.explode(F.sequence(F.lit(1), F.lit(BROADCAST_ROWS))).alias("n"))
+    joined = sized_join(big, small, ["k"], "left_semi", F.col("n") > 5)
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.count() == 10
+    assert "BroadcastHashJoin" in sized_join(big, small.limit(9), ["k"])._jdf.queryExecution().executedPlan().toString()
