@@ -205,10 +205,25 @@ def _area(edges: DataFrame, zone: str | None) -> DataFrame:
 
     An area is the union of its polygons, so each is tested on its own.  Without ids all edges
     are one polygon, which is right as long as polygons do not overlap; its id is computed from a
-    column, so that a join on it stays an equi-join.
+    column, so that a join on it stays an equi-join.  Of equal polygons one is enough for their union.
     """
+    if zone:
+        return cut_lineage(distinct_polygons(edges.select(col(zone).alias("__zone"), "x1", "y1", "x2", "y2"), "__zone"))
     one = F.when(col("x1").isNull(), lit(1)).otherwise(lit(0))
-    return edges.select((col(zone) if zone else one).alias("__zone"), "x1", "y1", "x2", "y2")
+    return edges.select(one.alias("__zone"), "x1", "y1", "x2", "y2")
+
+
+def distinct_polygons(edges: DataFrame, zone: str) -> DataFrame:
+    """Edges of one polygon, that with the smallest id, of each set of equal ones.
+
+    Polygons are equal when they have the same edges, in any order; edges are told by their number and three
+    64-bit hashes, of which two are added up.
+    """
+    seen = lambda seed: F.xxhash64(lit(seed), "x1", "y1", "x2", "y2")
+    total = lambda seed: F.sum(seen(seed).cast("decimal(20,0)"))
+    shape = [F.count("*").alias("__n"), total(1).alias("__a"), total(2).alias("__b"), F.bit_xor(seen(3)).alias("__c")]
+    first = edges.groupBy(zone).agg(*shape).groupBy("__n", "__a", "__b", "__c").agg(F.min(zone).alias(zone)).select(zone)
+    return edges.join(first.hint("merge"), zone, "left_semi")
 
 
 def clip_raster(
@@ -580,8 +595,8 @@ def features_within(
         at = features.select(*id_cols, col("x1").alias("vx"), col("y1").alias("vy"))
         at = at.union(features.select(*id_cols, "x2", "y2")).distinct()
         corner = [*id_cols, "vx", "vy"]
-        beyond = at.join(points_in_area(at, aoi, corner, "vx", "vy", zone, max_rows), corner, "left_anti")
-        features = cut_lineage(features.join(beyond.select(*id_cols).distinct(), id_cols, "left_anti"))
+        beyond = at.join(points_in_area(at, aoi, corner, "vx", "vy", zone, max_rows).hint("merge"), corner, "left_anti")
+        features = cut_lineage(features.join(beyond.select(*id_cols).distinct().hint("merge"), id_cols, "left_anti"))
     tile = tile or max(_mean_extent(aoi), _mean_extent(features), 1e-9)
     outline = union_outline(aoi, zone, max_rows=max_rows) if zone else dissolve(aoi)
     outline = cut_lineage(outline.select("x1", "y1", "x2", "y2"))
@@ -589,14 +604,15 @@ def features_within(
     edges = features.select(*keys).distinct()
     pieces = cut_lineage(_cut_at_contacts(edges, outline, id_cols, tile, max_rows))
     inside = points_in_area(pieces, outline, [*id_cols, "mx", "my"], "mx", "my", None, max_rows)
-    open_pieces = pieces.join(inside, [*id_cols, "mx", "my"], "left_anti")
+    open_pieces = pieces.join(inside.hint("merge"), [*id_cols, "mx", "my"], "left_anti")
     touching = _on_outline(open_pieces, outline, id_cols, tile, max_rows)
-    outside = open_pieces.join(touching, [*id_cols, "mx", "my"], "left_anti").select(*id_cols).distinct()
-    candidate = cut_lineage(features.select(*id_cols).distinct().join(outside, id_cols, "left_anti"))
-    chosen = features.join(candidate, id_cols, "left_semi")
+    outside = open_pieces.join(touching.hint("merge"), [*id_cols, "mx", "my"], "left_anti").select(*id_cols).distinct()
+    candidate = cut_lineage(features.select(*id_cols).distinct().join(outside.hint("merge"), id_cols, "left_anti"))
+    chosen = features.join(candidate.hint("merge"), id_cols, "left_semi")
     inner = _interior_points(chosen, id_cols)
-    out_there = inner.join(points_in_area(inner, outline, id_cols, "px", "py", None, max_rows), id_cols, "left_anti")
-    candidate = candidate.join(out_there, id_cols, "left_anti")
+    within = points_in_area(inner, outline, id_cols, "px", "py", None, max_rows)
+    out_there = inner.join(within.hint("merge"), id_cols, "left_anti")
+    candidate = candidate.join(out_there.hint("merge"), id_cols, "left_anti")
     shape = chosen.select(F.struct(*id_cols).alias("__f"), "x1", "y1", "x2", "y2")
     corners = outline.select(col("x1").alias("vx"), col("y1").alias("vy")).distinct()
     held = points_in_polygons(corners, shape, ["vx", "vy"], "vx", "vy", "__f", max_rows)
@@ -609,7 +625,7 @@ def features_within(
         .select("__f")
         .distinct()
     )
-    return candidate.join(held, F.struct(*[candidate[c] for c in id_cols]) == col("__f"), "left_anti")
+    return candidate.join(held.hint("merge"), F.struct(*[candidate[c] for c in id_cols]) == col("__f"), "left_anti")
 
 
 def _cut_at_contacts(edges: DataFrame, outline: DataFrame, id_cols: list[str], tile: float, max_rows: int) -> DataFrame:
@@ -662,14 +678,11 @@ def _interior_points(features: DataFrame, id_cols: list[str]) -> DataFrame:
 
     The line lies halfway between its two lowest corners of different height; lines have none.
     """
-    heights = features.select(*id_cols, col("y1").alias("h")).union(features.select(*id_cols, col("y2").alias("h")))
-    low = heights.groupBy(*id_cols).agg(F.min("h").alias("h0"))
-    named = {c: f"__i_{c}" for c in id_cols}
-    same = lambda other: [col(c) == other[k] for c, k in named.items()]
-    first = low.withColumnsRenamed(named)
-    above = heights.join(first, same(first)).where(col("h") > col("h0")).groupBy(*id_cols).agg(((F.min("h") + F.first("h0")) / 2).alias("py"))
-    line = above.withColumnsRenamed(named)
-    met = features.join(line, same(line)).where((F.least("y1", "y2") <= col("py")) & (F.greatest("y1", "y2") > col("py")))
+    feature = Window.partitionBy(*id_cols)
+    above = lambda y: F.when(col(y) > col("__low"), col(y))
+    line = features.withColumn("__low", F.min(F.least("y1", "y2")).over(feature))
+    line = line.withColumn("py", (F.min(F.least(above("y1"), above("y2"))).over(feature) + col("__low")) / 2)
+    met = line.where((F.least("y1", "y2") <= col("py")) & (F.greatest("y1", "y2") > col("py")))
     at = col("x1") + (col("py") - col("y1")) * (col("x2") - col("x1")) / (col("y2") - col("y1"))
     w = Window.partitionBy(*id_cols).orderBy("__x")
     spots = met.select(*id_cols, "py", at.alias("__x")).withColumns({"__next": F.lead("__x").over(w), "__at": F.row_number().over(w)})

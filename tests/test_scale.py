@@ -54,3 +54,14 @@ def test_a_side_of_many_rows_is_never_broadcast(spark, tmp_path):
     assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
     assert joined.count() == 10
     assert "BroadcastHashJoin" in sized_join(big, small.limit(9), ["k"])._jdf.queryExecution().executedPlan().toString()
+
+
+def test_copies_of_a_polygon_are_one_polygon_of_an_area(spark):
+    square = [(0.0, 0.0, 2.0, 0.0), (2.0, 0.0, 2.0, 2.0), (2.0, 2.0, 0.0, 2.0), (0.0, 2.0, 0.0, 0.0)]
+    hole = [(0.5, 0.5, 1.0, 0.5), (1.0, 0.5, 1.0, 1.0), (1.0, 1.0, 0.5, 1.0), (0.5, 1.0, 0.5, 0.5)]
+    rows = [(z, *e) for z in range(40) for e in (square[::-1] if z % 2 else square + hole)]
+    edges = spark.createDataFrame(rows, "zone_id int, x1 double, y1 double, x2 double, y2 double")
+    area = g._area(edges, "zone_id").collect()
+    assert sorted({r["__zone"] for r in area}) == [0, 1] and len(area) == 12
+    points = spark.createDataFrame([(1, 0.7, 0.7), (2, 1.5, 1.5), (3, 2.5, 1.0)], "id int, x double, y double")
+    assert sorted(r.id for r in g.points_in_area(points, edges, ["id"], zone="zone_id").collect()) == [1, 2]
