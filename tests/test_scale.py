@@ -65,3 +65,15 @@ def test_copies_of_a_polygon_are_one_polygon_of_an_area(spark):
     assert sorted({r["__zone"] for r in area}) == [0, 1] and len(area) == 12
     points = spark.createDataFrame([(1, 0.7, 0.7), (2, 1.5, 1.5), (3, 2.5, 1.0)], "id int, x double, y double")
     assert sorted(r.id for r in g.points_in_area(points, edges, ["id"], zone="zone_id").collect()) == [1, 2]
+
+
+def test_equal_boxes_are_compared_once(spark):
+    """Of n copies of a road and of a place one pair of boxes is tested, and n * n rows come out."""
+    box = "double, min_y double, max_x double, max_y double"
+    roads = spark.createDataFrame([(i, "KEN", 0.1, 0.1, 0.4, 0.4) for i in range(300)], f"osm_id int, iso3 string, min_x {box}")
+    places = spark.createDataFrame([(i, "KEN", 0.3, 0.3, 0.9, 0.9) for i in range(200)], f"place_id int, iso3 string, min_x {box}")
+    hit = g.roads_by_place(roads, places, 0.5)
+    assert hit.count() == 60_000 and hit.distinct().count() == 60_000
+    plan = hit._jdf.queryExecution().optimizedPlan().toString()
+    tested = plan.index("least") if "least" in plan else plan.index("greatest")
+    assert "Aggregate [iso3" in plan[tested:]  # the test of a pair stands above the removal of copies
