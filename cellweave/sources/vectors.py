@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellweave.schema import BUILDINGS
-from cellweave.session import sized_join
+from cellweave.session import cut_lineage, discard, sized_join
 
 _FEATURE = T.StructType(
     [
@@ -102,7 +102,7 @@ def read_features(
     """GeoJSON → ``feature_id, given_id, properties, crs, geom_type, parts, shape``.
 
     With ``lines`` each text line is one feature: such files split over tasks.  A
-    FeatureCollection is one JSON document, so one task parses one file.
+    FeatureCollection is one JSON document, so one task parses one file; :func:`write_features` bounds their size.
 
     ``feature_id`` is made of the file and the feature's place in it, so it is unique over files
     and the same on each read; the id in the file is ``given_id``.  ``crs``
@@ -189,6 +189,10 @@ def feature_text(df: DataFrame, properties: Sequence[str]) -> Column:
     )
 
 
+#: A GeoJSON document is read by one task, so written ones are to have about this many bytes.
+FILE_BYTES = 32 << 20
+
+
 def _as_collection(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     head = '{"type":"FeatureCollection","features":['
     for pdf in batches:
@@ -203,7 +207,7 @@ def _as_collection(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def write_features(
     df: DataFrame, path: str, fmt: str = "geojson", properties: Sequence[str] | None = None, mode: str = "errorifexists"
 ) -> None:
-    """``geojson``: part files that are each a FeatureCollection; ``geojsonl``: one feature per
+    """``geojson``: part files that are each a FeatureCollection of about ``FILE_BYTES`` at most; ``geojsonl``: one feature per
     line; ``parquet``: the feature table itself.  Any other name is written as GeoJSON."""
     if fmt == "parquet":
         df.write.mode(mode).parquet(path)
@@ -214,9 +218,15 @@ def write_features(
     known = {"parts", "shape", "geom_type", "crs"}
     attrs = [c for c in df.columns if c not in known] if properties is None else list(properties)
     text = df.select(feature_text(df, attrs).alias("value"))
-    if fmt == "geojson":
-        text = text.mapInPandas(_as_collection, "value string")
-    text.write.mode(mode).text(path)
+    if fmt == "geojsonl":
+        text.write.mode(mode).text(path)
+        return
+    written = cut_lineage(text)
+    size = written.agg(F.sum(F.octet_length("value") + 1)).first()[0] or 0
+    files = -(-size // FILE_BYTES)
+    spread = written.repartition(files) if files > 1 else written.coalesce(1)
+    spread.mapInPandas(_as_collection, "value string").write.mode(mode).text(path)
+    discard(written)
 
 
 def read_buildings(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from cellweave.operators import geometry as g
 from cellweave.session import BROADCAST_ROWS, sized_join
+from cellweave.sources import vectors as vc
 from compare import connect, diff
 
 FOLDER = "/root/testdata/sf0.001"
@@ -77,3 +78,14 @@ def test_equal_boxes_are_compared_once(spark):
     plan = hit._jdf.queryExecution().optimizedPlan().toString()
     tested = plan.index("least") if "least" in plan else plan.index("greatest")
     assert "Aggregate [iso3" in plan[tested:]  # the test of a pair stands above the removal of copies
+
+
+def test_written_documents_are_of_bounded_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(vc, "FILE_BYTES", 20_000, raising=False)
+    point = F.array(F.array(F.struct(F.col("id").cast("double").alias("x"), F.lit(1.0).alias("y"))))
+    features = spark.range(2000).coalesce(1).select("id", point.alias("parts"), F.array(F.lit(1)).alias("shape"), F.lit("Point").alias("geom_type"))
+    vc.write_features(features, f"{tmp_path}/f", "geojson", ["id"])
+    sizes = [os.path.getsize(f"{tmp_path}/f/{n}") for n in os.listdir(f"{tmp_path}/f") if n.endswith(".txt")]
+    assert max(sizes) < 30_000 and len(sizes) > 5
+    back = vc.read_features(spark, f"{tmp_path}/f")
+    assert sorted(int(r[0]) for r in back.select(F.col("properties")["id"]).collect()) == list(range(2000))
