@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellweave.llm.common import U, distinct_per_row, list_column, mix, random_words, small_batches, text_parts
-from cellweave.session import cut_lineage, discard
+from cellweave.session import cut_lineage
 
 #: A word with at least one training token in so many has its own weights; so at most this many words do.
 HEAD = 2048
@@ -22,8 +22,7 @@ TAIL = 64
 CLASSES = HEAD // WIDTH + TAIL
 #: Rows of the table of class weights, and of the table of weights of the words in a class.
 CLASS_ROWS, WORD_ROWS = 4096, 16_384
-#: Rows that the gradient is taken on, about; counts and feature statistics are of all training rows.
-FIT_ROWS = 4_000
+#: Parts of the training rows; an update of the weights follows the gradient on each in turn.
 ROUNDS = 4
 #: What a feature is smoothed by, and how much of its own log ratio it starts with.
 SMOOTH, START = 20.0, 0.35
@@ -260,28 +259,21 @@ def first_weights(vocabulary: Vocabulary, seen: np.ndarray) -> np.ndarray:
     return np.concatenate([p.ravel() for p in parts]).astype(np.float32)
 
 
-def fit(rows: DataFrame, vocabulary: Vocabulary, fit_rows: int = FIT_ROWS, rounds: int = ROUNDS) -> np.ndarray:
-    """Weights of ``k, text`` rows: feature statistics of all rows, then gradient updates on a bounded sample of them.
+def fit(rows: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> np.ndarray:
+    """Weights of ``id, text`` rows: feature statistics of all rows, then gradient updates that take every row once.
 
-    A step goes along the gradient, each cell by its expected count; one that makes the sample less likely is taken back and halved.
+    Rows are dealt to ``rounds`` parts by a hash of what they hold, and each update goes along the gradient on one part, each cell by its expected
+    count there.  Steps are those of iterative scaling, a share of ``TEMPLATES`` for each feature, and get shorter.
     """
     seen = gather(rows, statistics(vocabulary))
     weights = first_weights(vocabulary, seen)
-    n = rows.count()
-    share = min(1.0, fit_rows / max(n, 1))
-    sample = rows.where(F.pmod(F.xxhash64("k"), F.lit(1 << 30)) < int(share * (1 << 30))).select("text")
-    sample = cut_lineage(sample.repartition(16))
-    size = share * seen[:_SIZE] + 2.0
-    best, likely, rate = weights, -np.inf, 1.0
-    for _ in range(rounds + 1):  # the last one only measures
-        found = gather(sample, gradient(vocabulary, weights))
-        if found[_SIZE] >= likely:
-            best, likely, slope = weights, found[_SIZE], found[:_SIZE]
-        else:
-            rate /= 2
-        weights = (best + np.clip(rate / TEMPLATES * slope / size, -0.5, 0.5)).astype(np.float32)
-    discard(sample)
-    return best
+    size = seen[:_SIZE] / max(rounds, 1) + 2.0
+    for at in range(rounds):
+        part = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(rounds)) == at)
+        slope = gather(part, gradient(vocabulary, weights))[:_SIZE]
+        step = np.clip(slope / size / (TEMPLATES * (1 + at / 2)), -0.5, 0.5)
+        weights = (weights + step).astype(np.float32)
+    return weights
 
 
 def training_rows(id_col: str) -> Column:
@@ -289,7 +281,7 @@ def training_rows(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 7 != 2, F.lit(False))
 
 
-def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_rows: int = FIT_ROWS, rounds: int = ROUNDS) -> DataFrame:
+def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """``id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for every row of ``docs``.
 
     Words are runs other than ASCII white space, A-Z lowered; an end follows the last.  ``base_score`` is the text's log10 probability by
@@ -310,7 +302,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
     counts = count_words(rows)
     vocabulary = vocabulary_of(counts)
-    weights = fit(rows.where("learn"), vocabulary, fit_rows, rounds)
+    weights = fit(rows.where("learn"), vocabulary, rounds)
     uniform = np.log10(vocabulary.total + vocabulary.distinct + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

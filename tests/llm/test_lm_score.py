@@ -114,3 +114,11 @@ def test_gradient_is_that_of_the_likelihood(spark):
         moved[cell] += 1e-4
         other = lm_score.gradient(vocabulary, moved)(tokens, counts)
         assert (other[-1] - at[-1]) / 1e-4 == pytest.approx(at[cell], rel=0.02)
+
+
+def test_every_training_row_is_in_the_gradient_once(spark, monkeypatch):
+    n, read, gather = 9_000, [], lm_score.gather
+    rows = spark.range(n).select(F.col("id"), F.concat(F.lit("word "), F.col("id")).alias("text"), F.col("id").alias("k"), F.lit(True).alias("learn"))
+    monkeypatch.setattr(lm_score, "gather", lambda part, terms: read.append(part.count()) or gather(part, terms))
+    lm_score.fit(rows, lm_score.vocabulary_of(lm_score.count_words(rows)), rounds=3)
+    assert read[0] == n and sum(read[1:]) == n and len(read) == 4
