@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellweave.functions.text import month_from_filename, month_from_tag
+from cellweave.session import cut_lineage
 
 # fixed values: months of the named seasons
 SEASONS = {"DJF": (12, 1, 2), "MAM": (3, 4, 5), "JJA": (6, 7, 8), "SON": (9, 10, 11)}
@@ -57,7 +58,9 @@ def detect_months(
         month = F.create_map(*pairs)[F.regexp_extract(F.col(path), r"[^/]*$", 0)]
     else:
         raise ValueError(f"unknown month detection {how!r}")
-    found = files.withColumn("month", month)
+    # a small file is one task, however many names it holds, and each is searched for several patterns
+    spread = files.repartition(files.sparkSession.sparkContext.defaultParallelism)
+    found = cut_lineage(spread.withColumn("month", month))  # else a filter would be moved before the spreading
     if check:
         report = found.agg(F.count_if(F.col("month").isNull()).alias("n")).first()
         if report["n"] and not skip_undetected:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from cellweave.operators import geometry as g
+from cellweave.operators import temporal as tm
 from cellweave.session import BROADCAST_ROWS, sized_join
 from cellweave.sources import vectors as vc
 from compare import connect, diff
@@ -89,3 +90,11 @@ def test_written_documents_are_of_bounded_size(spark, tmp_path, monkeypatch):
     assert max(sizes) < 30_000 and len(sizes) > 5
     back = vc.read_features(spark, f"{tmp_path}/f")
     assert sorted(int(r[0]) for r in back.select(F.col("properties")["id"]).collect()) == list(range(2000))
+
+
+def test_months_of_one_file_of_names_are_searched_by_all_tasks(spark):
+    rows = spark.range(9000).coalesce(1).select("id", F.concat(F.lit("/a/x_2020_0"), F.col("id") % 10, F.lit(".tif")).alias("path"))
+    found = tm.detect_months(rows, "filename", check=False)
+    assert found.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert found.where("month = id % 10").count() == found.count() == 8100
+    assert tm.detect_months(rows, "filename", keys=["id"]).count() == 8100
