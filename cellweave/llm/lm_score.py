@@ -15,6 +15,8 @@ from cellweave.session import cut_lineage
 
 #: A word with at least one training token in so many has its own weights; so at most this many words do.
 HEAD = 2048
+#: A word with at least one token in so many, of training rows or of all, is counted in the task that meets it; only others move.
+LOOKUP = 1 << 20
 #: Words in a class of them.
 WIDTH = 32
 #: Classes of all other words, by hash; words of no training text are in them too.
@@ -30,12 +32,16 @@ SMOOTH, START = 20.0, 0.35
 STEP_TOKENS = 8192
 #: Cells that are added up in one group.
 CELLS = 1024
+#: Tasks per core that add up cells, at least; more when each would take more than so many partitions.
+WAVES, JOINED = 2, 8
 
 TEMPLATES = 4
 _END, _BEGIN = U(0x5E17D), U(0xBE617)
 _SEED = random_words(8, 53)
 _SPLIT = CLASS_ROWS * CLASSES
 _SIZE = _SPLIT + WORD_ROWS * WIDTH
+#: Logarithm that stands for no probability.
+NONE = -1e4
 
 
 def with_ends(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -73,19 +79,25 @@ class Vocabulary:
 
     def find(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place among ``words``, and whether the token is one of them."""
-        if not len(self.words):
-            return np.zeros(len(tokens), np.int64), np.zeros(len(tokens), bool)
-        place = np.minimum(np.searchsorted(self.words, tokens), len(self.words) - 1)
-        return place, self.words[place] == tokens
+        return _find(self.words, tokens)
 
     def outcome(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Class, and place in it; words of tail classes have place -1."""
-        place, found = self.find(tokens)
-        rank = np.where(found, self.rank[place] if len(self.rank) else -1, -1)
+        own = np.flatnonzero(self.rank >= 0)
+        place, found = _find(self.words[own], tokens)
+        rank = np.full(len(tokens), -1)
+        rank[found] = self.rank[own[place[found]]]
         tail = (mix(tokens + _SEED[5]) & U(TAIL - 1)).astype(np.int64) + HEAD // WIDTH
         return np.where(rank >= 0, rank // WIDTH, tail), np.where(rank >= 0, rank % WIDTH, -1)
 
 
+def _find(words: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if not len(words):
+        return np.zeros(len(tokens), np.int64), np.zeros(len(tokens), bool)
+    place = np.minimum(np.searchsorted(words, tokens), len(words) - 1)
+    return place, words[place] == tokens
+
+
 def rows_of(context: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Rows of both weight tables that the features use."""
     with np.errstate(over="ignore"):
@@ -93,35 +105,87 @@ def rows_of(context: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.nd
     return (context & U(CLASS_ROWS - 1)).astype(np.int64), (inner & U(WORD_ROWS - 1)).astype(np.int64)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+class Softmax:
+    """Probabilities of ``k`` outcomes from a bias and from a row of weights for each feature.
+
+    Factors are multiplied instead of weights added up, so no entry needs an exponential of its own.
+    """
+
+    def __init__(self, bias: np.ndarray, weights: np.ndarray):
+        self.bias, self.weights = bias, weights
+        far = TEMPLATES * np.abs(weights).max() > 50  # then products are beyond single precision
+        self.factors = np.exp(weights.astype(np.float64) if far else weights)
+        self.bias_factors = np.exp(bias.astype(self.factors.dtype))
+
+    def steps(self, rows: np.ndarray, goal: np.ndarray, kind: np.ndarray):
+        """Of ``STEP_TOKENS`` tokens at a time: the part, the log probability of the goal, and all outcomes' products with their sum.
+
+        ``rows`` has a line for each feature; ``kind`` is the row of the bias.
+        """
+        one = np.ones(self.bias.shape[1], self.factors.dtype)
+        for at in range(0, len(goal), STEP_TOKENS):
+            part = slice(at, at + STEP_TOKENS)
+            products = np.take(self.bias_factors, kind[part], axis=0)
+            known = self.bias[kind[part], goal[part]].astype(float)
+            for row in rows[:, part]:
+                products *= np.take(self.factors, row, axis=0)
+                known += self.weights[row, goal[part]]
+            total = products @ one
+            yield part, known - np.log(total), products, total
+
+    def log_probability(self, rows: np.ndarray, goal: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        out = np.empty(len(goal))
+        for part, logs, _, _ in self.steps(rows, goal, kind):
+            out[part] = logs
+        return out
 
+    def slope(self, rows: np.ndarray, goal: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, float]:
+        """Observed less expected counts of every feature with every outcome, and the log likelihood."""
+        size, k = self.weights.shape
+        expected, likelihood = np.zeros((k, size)), 0.0
+        for part, logs, products, total in self.steps(rows, goal, kind):
+            likelihood += float(logs.sum())
+            share = np.ascontiguousarray((products / total[:, None]).T, dtype=float)
+            features = rows[:, part].ravel()
+            for outcome in range(k):
+                expected[outcome] += np.bincount(features, np.tile(share[outcome], TEMPLATES), size)
+        observed = np.bincount((rows * k + goal).ravel(), minlength=size * k).reshape(size, k)
+        return observed - expected.T, likelihood
+
+
+class Model:
+    """The softmax of classes and that of words in a class."""
+
+    def __init__(self, vocabulary: Vocabulary, weights: np.ndarray):
+        self.vocabulary = vocabulary
+        # a class that no word is in has no probability
+        self.live = np.flatnonzero(vocabulary.class_bias > NONE)
+        self.column = np.zeros(CLASSES, np.int64)
+        self.column[self.live] = np.arange(len(self.live))
+        by_class = np.ascontiguousarray(weights[:_SPLIT].reshape(CLASS_ROWS, CLASSES)[:, self.live])
+        self.classes = Softmax(vocabulary.class_bias[None, self.live], by_class)
+        self.words = Softmax(vocabulary.word_bias, weights[_SPLIT:_SIZE].reshape(WORD_ROWS, WIDTH))
+
+    def tasks(self, tokens: np.ndarray, counts: np.ndarray):
+        """Classes and places of all tokens, and what each softmax is asked: that of words only for tokens that have a place."""
+        classes, places = self.vocabulary.outcome(tokens)
+        outer, inner = rows_of(contexts(tokens, counts), classes)
+        head = places >= 0
+        first = (outer, self.column[classes], np.zeros(len(classes), np.int64))
+        return classes, head, first, (inner[:, head], places[head], classes[head])
 
-def predict(vocabulary: Vocabulary, weights: np.ndarray, context: np.ndarray, classes: np.ndarray, places: np.ndarray):
-    """Log probabilities of all classes, and of all words in the class of tokens that have a place."""
-    outer, inner = rows_of(context, classes)
-    by_class = weights[:_SPLIT].reshape(CLASS_ROWS, CLASSES)
-    by_word = weights[_SPLIT:].reshape(WORD_ROWS, WIDTH)
-    head = places >= 0
-    scores = vocabulary.class_bias + sum(by_class[r] for r in outer)
-    words = vocabulary.word_bias[classes[head]] + sum(by_word[r[head]] for r in inner)
-    return outer, inner[:, head], head, _log_softmax(scores), _log_softmax(words)
+    def log_probabilities(self, tokens: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Natural logarithm of every token's probability, and which tokens are tail words: theirs lacks their count plus one as a factor."""
+        classes, head, first, second = self.tasks(tokens, counts)
+        out = self.classes.log_probability(*first)
+        out[head] += self.words.log_probability(*second)
+        out[~head] -= np.log(self.vocabulary.tail_mass[classes[~head] - HEAD // WIDTH])
+        return out, ~head
 
 
 def log_probabilities(vocabulary: Vocabulary, weights: np.ndarray, tokens: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Natural logarithm of every token's probability; that of a tail word still lacks its count plus one as a factor."""
-    context = contexts(tokens, counts)
-    out = np.empty(len(tokens))
-    for at in range(0, len(tokens), STEP_TOKENS):
-        part = slice(at, at + STEP_TOKENS)
-        classes, places = vocabulary.outcome(tokens[part])
-        _, _, head, outer, inner = predict(vocabulary, weights, context[:, part], classes, places)
-        p = outer[np.arange(len(classes)), classes].astype(float)
-        p[head] += inner[np.arange(len(inner)), places[head]]
-        p[~head] -= np.log(vocabulary.tail_mass[classes[~head] - HEAD // WIDTH])
-        out[part] = p
-    return out
+    return Model(vocabulary, weights).log_probabilities(tokens, counts)[0]
 
 
 def statistics(vocabulary: Vocabulary) -> Callable:
@@ -141,33 +205,26 @@ def statistics(vocabulary: Vocabulary) -> Callable:
 def gradient(vocabulary: Vocabulary, weights: np.ndarray) -> Callable:
     """Observed less expected feature counts; the last cell is the log likelihood."""
 
-    def scatter(into: np.ndarray, rows: np.ndarray, error: np.ndarray) -> None:
-        order = np.argsort(rows, kind="stable")
-        if len(order):
-            starts = np.flatnonzero(np.diff(rows[order], prepend=-1))
-            into[rows[order][starts]] += np.add.reduceat(error[order], starts, axis=0)
+    model = Model(vocabulary, weights)
 
     def run(tokens: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        context = contexts(tokens, counts)
+        _, _, first, second = model.tasks(tokens, counts)
         out = np.zeros(_SIZE + 1)
         by_class, by_word = out[:_SPLIT].reshape(CLASS_ROWS, CLASSES), out[_SPLIT:_SIZE].reshape(WORD_ROWS, WIDTH)
-        for at in range(0, len(tokens), STEP_TOKENS):
-            part = slice(at, at + STEP_TOKENS)
-            classes, places = vocabulary.outcome(tokens[part])
-            rows, inner_rows, head, outer, inner = predict(vocabulary, weights, context[:, part], classes, places)
-            n, m = np.arange(len(classes)), np.arange(len(inner))
-            out[_SIZE] += float(outer[n, classes].sum()) + float(inner[m, places[head]].sum())
-            outer, inner = -np.exp(outer), -np.exp(inner)
-            outer[n, classes] += 1
-            inner[m, places[head]] += 1
-            for t in range(TEMPLATES):
-                scatter(by_class, rows[t], outer)
-                scatter(by_word, inner_rows[t], inner)
+        by_class[:, model.live], of_classes = model.classes.slope(*first)
+        by_word[:], of_words = model.words.slope(*second)
+        out[_SIZE] = of_classes + of_words
         return out
 
     return run
 
 
+def few_tasks(rows: DataFrame) -> DataFrame:
+    """The same rows in fewer partitions, as each gives one set of cells whatever it holds."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.coalesce(max(WAVES * cores, -(-rows.rdd.getNumPartitions() // JOINED)))
+
+
 def gather(rows: DataFrame, terms: Callable) -> np.ndarray:
     """The sum over all texts of what ``terms`` gives, added up in tasks and then by groups of ``CELLS`` cells."""
 
@@ -189,7 +246,7 @@ def gather(rows: DataFrame, terms: Callable) -> np.ndarray:
 
     schema = "at int, cells binary"
     out = np.zeros(-(-(_SIZE + 1) // CELLS) * CELLS)
-    for at, cells in rows.select("text").mapInArrow(run, schema).groupBy("at").applyInArrow(add, schema).collect():
+    for at, cells in few_tasks(rows.select("text")).mapInArrow(run, schema).groupBy("at").applyInArrow(add, schema).collect():
         out[at * CELLS : (at + 1) * CELLS] = np.frombuffer(cells, np.float64)
     return out[: _SIZE + 1]
 
@@ -211,10 +268,10 @@ def count_words(rows: DataFrame) -> DataFrame:
 
 
 def vocabulary_of(counts: DataFrame) -> Vocabulary:
-    """What tasks look up: words that are frequent in training rows, or in all, at most ``HEAD`` of each by arithmetic."""
+    """What tasks look up: words that are frequent in training rows, or in all, at most ``LOOKUP`` of each by arithmetic."""
     total, distinct, every = counts.agg(F.sum("c"), F.count_if(F.col("c") > 0), F.sum("every")).first()
     total, distinct, every = total or 0, distinct or 0, every or 0
-    frequent = counts.where((F.col("c") * HEAD >= max(total, 1)) | (F.col("every") * HEAD >= max(every, 1))).select("word", "c").toPandas()
+    frequent = counts.where((F.col("c") * LOOKUP >= max(total, 1)) | (F.col("every") * LOOKUP >= max(every, 1))).select("word", "c").toPandas()
     words = frequent["word"].to_numpy(np.int64).view(U)
     order = np.argsort(words)
     words, c = words[order], frequent["c"].to_numpy(np.int64)[order]
@@ -222,6 +279,7 @@ def vocabulary_of(counts: DataFrame) -> Vocabulary:
     own = np.flatnonzero((c * HEAD >= total) & (c > 0))
     rank[own[np.argsort(-c[own], kind="stable")]] = np.arange(len(own))
 
+    head = words[own]
     word_mass = np.zeros(HEAD)
     word_mass[rank[own]] = c[own] + 1
     word_mass = word_mass.reshape(-1, WIDTH)
@@ -230,7 +288,7 @@ def vocabulary_of(counts: DataFrame) -> Vocabulary:
         sums = np.zeros(TAIL)
         for batch in batches:
             word, n = batch.column(0).to_numpy().view(U), batch.column(1).to_numpy()
-            tail = ~np.isin(word, words[own])
+            tail = ~np.isin(word, head)
             sums += np.bincount((mix(word[tail] + _SEED[5]) & U(TAIL - 1)).astype(np.int64), n[tail] + 1.0, minlength=TAIL)
         yield pa.RecordBatch.from_arrays([pa.array(range(TAIL), pa.int32()), pa.array(sums)], names=["t", "mass"])
 
@@ -240,8 +298,8 @@ def vocabulary_of(counts: DataFrame) -> Vocabulary:
         tail_mass[t] += mass
     mass = np.concatenate([word_mass.sum(axis=1), tail_mass])
     with np.errstate(divide="ignore", invalid="ignore"):
-        class_bias = np.where(mass > 0, np.log(mass / mass.sum()), -1e4).astype(np.float32)
-        word_bias = np.where(word_mass > 0, np.log(word_mass / word_mass.sum(axis=1, keepdims=True)), -1e4).astype(np.float32)
+        class_bias = np.where(mass > 0, np.log(mass / mass.sum()), NONE).astype(np.float32)
+        word_bias = np.where(word_mass > 0, np.log(word_mass / word_mass.sum(axis=1, keepdims=True)), NONE).astype(np.float32)
     return Vocabulary(total, distinct, words, c, rank, class_bias, word_bias, tail_mass)
 
 
@@ -306,15 +364,16 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     uniform = np.log10(vocabulary.total + vocabulary.distinct + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        language = Model(vocabulary, weights)
         for batch in batches:
             for i, j, words, sizes in text_parts(batch.column(0)):
                 tokens, sizes = with_ends(words, sizes)
                 starts = np.cumsum(sizes) - sizes
                 place, found = vocabulary.find(tokens)
                 known = np.where(found, vocabulary.counts[place] if len(vocabulary.words) else 0, 0)
-                _, own = vocabulary.outcome(tokens)
                 here = np.log10(known + 1.0)
-                model = log_probabilities(vocabulary, weights, tokens, sizes) / np.log(10) + np.where(own < 0, here, 0.0)
+                model, tail = language.log_probabilities(tokens, sizes)
+                model = model / np.log(10) + np.where(tail, here, 0.0)
                 row = np.repeat(np.arange(len(sizes)), sizes)
                 away = np.bincount(row[~found], minlength=len(sizes))
                 rare, n_rare = distinct_per_row(tokens[~found], away)

@@ -122,3 +122,47 @@ def test_every_training_row_is_in_the_gradient_once(spark, monkeypatch):
     monkeypatch.setattr(lm_score, "gather", lambda part, terms: read.append(part.count()) or gather(part, terms))
     lm_score.fit(rows, lm_score.vocabulary_of(lm_score.count_words(rows)), rounds=3)
     assert read[0] == n and sum(read[1:]) == n and len(read) == 4
+
+
+def test_only_rare_words_move(spark, monkeypatch):
+    """A word with one token in a thousand or fewer is still counted where it stands; others meet their counts by a join."""
+    rows = [(i, " ".join(f"w{i * 7 % 3000 + k}" for k in range(40)) + f" x{i} x{i}") for i in range(900)]
+    df = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCS)
+    words = df.select("text", F.lit(True).alias("learn"))
+    distinct = len({t for _, text in rows for t in tokens_of(text)})
+    assert len(lm_score.vocabulary_of(lm_score.count_words(words)).words) == distinct
+    monkeypatch.setattr(lm_score, "LOOKUP", 2048)
+    assert len(lm_score.vocabulary_of(lm_score.count_words(words)).words) < 1500
+    moved = lm_score.score_texts(df, rounds=1).collect()
+    monkeypatch.undo()
+    found = lm_score.score_texts(df, rounds=1).collect()
+    assert counted(moved) == base(rows) and counted(found) == base(rows)
+    assert [r.score for r in sorted(moved, key=lambda r: r.id)] == pytest.approx([r.score for r in sorted(found, key=lambda r: r.id)], rel=1e-6)
+
+
+@pytest.mark.parametrize("partitions", [100, 400])
+def test_several_partitions_give_one_set_of_cells(spark, partitions):
+    rows = spark.range(0, 400, 1, partitions).select(F.concat(F.lit("word "), F.col("id")).alias("text"))
+    sets = lm_score.few_tasks(rows).select(F.spark_partition_id()).distinct().count()
+    assert sets <= max(lm_score.WAVES * spark.sparkContext.defaultParallelism, partitions // lm_score.JOINED)
+
+
+@pytest.mark.parametrize("spread", [0.1, 5.0, 60.0])
+def test_products_of_factors_are_the_softmax(spread):
+    draw = np.random.default_rng(3)
+    bias, weights = draw.normal(size=(2, 6)).astype(np.float32), draw.normal(scale=spread, size=(9, 6)).astype(np.float32)
+    bias[1, 4] = lm_score.NONE
+    rows, goal, kind = draw.integers(0, 9, (lm_score.TEMPLATES, 50)), draw.integers(0, 4, 50), draw.integers(0, 2, 50)
+    x = bias[kind].astype(float) + weights.astype(float)[rows].sum(axis=0)
+    top = x.max(axis=1, keepdims=True)
+    logs = x - top - np.log(np.exp(x - top).sum(axis=1, keepdims=True))
+    soft = lm_score.Softmax(bias, weights)
+    assert soft.log_probability(rows, goal, kind) == pytest.approx(logs[np.arange(50), goal], rel=1e-4, abs=1e-4)
+    error = -np.exp(logs)
+    error[np.arange(50), goal] += 1
+    expected = np.zeros((9, 6))
+    for row in rows:
+        np.add.at(expected, row, error)
+    found, likelihood = soft.slope(rows, goal, kind)
+    assert found == pytest.approx(expected, abs=1e-4)
+    assert likelihood == pytest.approx(logs[np.arange(50), goal].sum(), rel=1e-4)
