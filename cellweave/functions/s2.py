@@ -14,6 +14,8 @@ POS_TO_ORIENTATION = (1, 0, 0, 3)
 CELL_DEGREES = {4: 5.09, 5: 2.54, 6: 1.27, 7: 0.635, 8: 0.318}
 DEFAULT_CELL_DEGREES = 1.27
 EARTH_AREA_KM2 = 510_000_000
+# fixed value: no cell's diagonal is longer, in degrees times 2 ** level
+MAX_DIAGONAL = 139.73
 BUILDINGS_PER_CELL = 1000
 
 lit = F.lit
@@ -208,14 +210,14 @@ def all_cells(spark: SparkSession, level: int) -> DataFrame:
 
 
 def covering(boxes: DataFrame, keys: list[str], level: int = 6, max_cells: int = 1_000_000) -> DataFrame:
-    """Tokens of all cells whose box meets each bounding rectangle ``min_x..max_y``.
+    """Tokens of all cells whose box meets each bounding rectangle ``min_x..max_y``, a row for each rectangle and cell.
 
     ``max_cells`` guards against a level too fine for the area: beyond it an error is raised,
     nothing is cut off.
     """
-    from cellweave.session import sized_join
+    from cellweave.session import BROADCAST_ROWS, sized_join
 
-    # cells and rectangles meet through one-degree latitude stripes
+    # cells and rectangles meet through one-degree latitude stripes, and count in the first that they share
     stripes = lambda lo, hi: F.explode(F.sequence(F.floor(lo).cast("int"), F.floor(hi).cast("int")))
     wraps = (F.col("max_x") - F.col("min_x")) > 180
     polar = F.greatest(F.abs("min_y"), F.abs("max_y")) > 89.999999
@@ -240,18 +242,20 @@ def covering(boxes: DataFrame, keys: list[str], level: int = 6, max_cells: int =
         )
         .withColumn("stripe", stripes(F.col("c_min_y"), F.col("c_max_y")))
     )
-    boxed = boxes.select(*keys, "min_x", "min_y", "max_x", "max_y").withColumn(
-        "stripe", stripes(F.col("min_y"), F.col("max_y"))
-    )
+    number = 6 * 4**level
+    stripes_bound = number * (int(MAX_DIAGONAL / 2**level) + 2)
+    boxed = boxes.select(*keys, "min_x", "min_y", "max_x", "max_y")
+    if stripes_bound <= BROADCAST_ROWS:  # rectangles are not moved by the join; those of one small file are work for all tasks
+        boxed = boxed.repartition(*keys, "min_x", "min_y")
+    boxed = boxed.withColumn("stripe", stripes(F.col("min_y"), F.col("max_y")))
     lon = (
         F.col("any_lon")
         | (F.col("wrap") & ((F.col("max_x") >= F.col("lon_min")) | (F.col("min_x") <= F.col("lon_max"))))
         | (~F.col("wrap") & (F.col("max_x") >= F.col("lon_min")) & (F.col("min_x") <= F.col("lon_max")))
     )
     lat = (F.col("max_y") >= F.col("c_min_y")) & (F.col("min_y") <= F.col("c_max_y"))
-    number = 6 * 4**level
-    stripes_bound = number * (180 // 2**level + 3)
-    found = sized_join(boxed, cells, ["stripe"], "inner", lon & lat, bound=stripes_bound).select(*keys, "token").distinct()
+    first = F.col("stripe") == F.greatest(F.floor("min_y"), F.floor("c_min_y"))
+    found = sized_join(boxed, cells, ["stripe"], "inner", lon & lat & first, bound=stripes_bound).select(*keys, "token")
     if number > max_cells:  # else no covering can be too large
         worst = found.groupBy(*keys).count().agg(F.max("count")).first()[0]
         if worst is not None and worst > max_cells:

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from cellweave.functions import s2
 from cellweave.operators import geometry as g
 from cellweave.operators import temporal as tm
 from cellweave.session import BROADCAST_ROWS, sized_join
@@ -98,3 +99,17 @@ def test_months_of_one_file_of_names_are_searched_by_all_tasks(spark):
     assert found.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert found.where("month = id % 10").count() == found.count() == 8100
     assert tm.detect_months(rows, "filename", keys=["id"]).count() == 8100
+
+
+def test_s2_covering_keeps_no_boxes_in_memory(spark, tmp_path):
+    """Cells of the level are few and broadcast; boxes, repeated ones too, are neither sorted nor gathered."""
+    folder = changed(tmp_path, customer="select * from customer union all select * from customer where c_custkey % 3 = 0")
+    plan = entry.queries()["s2_covering"](spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Aggregate" not in plan and "Sort" not in plan
+    assert same_as_sql(spark, folder, "s2_covering") == ""
+
+
+@pytest.mark.parametrize("level", [0, 3, 6])
+def test_cells_span_no_more_stripes_than_counted(spark, level):
+    cells = s2.all_cells(spark, level).select(F.max(F.floor("max_y") - F.floor("min_y") + 1))
+    assert cells.first()[0] <= int(s2.MAX_DIAGONAL / 2**level) + 2
