@@ -209,6 +209,7 @@ class Encoder:
 
     def __init__(self, definition: str):
         self.automaton = Automaton(definition)
+        self.spelled = [label.encode() for label in self.automaton.labels]
         self.known: dict[str, tuple[int, ...]] = {}
         special = "|".join(map(regex.escape, sorted(self.automaton.special, key=len, reverse=True)))
         self.special = regex.compile(f"({special})") if special else None
@@ -270,6 +271,28 @@ def _definition(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast(text)
 
 
+def _encoded(encode: Encoder, texts: pa.Array) -> pa.ListArray:
+    ids, ends = bytearray(), [0]  # one buffer that Arrow takes as it is
+    for text in texts:
+        ids += encode.ids(text.as_py() or "").tobytes()
+        ends.append(len(ids) // 4)
+    flat = pa.Array.from_buffers(pa.int32(), ends[-1], [None, pa.py_buffer(ids)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
+
+
+def _decoded(labels: list[bytes], ids: pa.Array) -> pa.StringArray:
+    ids = ids.combine_chunks() if isinstance(ids, pa.ChunkedArray) else ids
+    offsets = ids.offsets.to_numpy()
+    values = ids.values.to_numpy(zero_copy_only=False)
+    if len(values) and (values.min() < 0 or values.max() >= len(labels)):
+        raise ValueError("an id is outside the vocabulary")
+    out, ends = bytearray(), [0]
+    for a, b in zip(offsets, offsets[1:], strict=False):
+        out += b" ".join([labels[i] for i in values[a:b].tolist()])
+        ends.append(len(out))
+    return pa.StringArray.from_buffers(len(ids), pa.py_buffer(np.array(ends, np.int32)), pa.py_buffer(out))
+
+
 def encoder(spark: SparkSession, path: str) -> Callable[[Column | str], Column]:
     """A function from a text column to ``array<int>``: the ids of the whole text.
 
@@ -281,13 +304,7 @@ def encoder(spark: SparkSession, path: str) -> Callable[[Column | str], Column]:
     sent = _definition(spark, path)
 
     def run(texts: pa.Array) -> pa.Array:
-        encode = _loaded(Encoder, sent.value)
-        ids, ends = bytearray(), [0]  # one buffer that Arrow takes as it is
-        for text in texts:
-            ids += encode.ids(text.as_py() or "").tobytes()
-            ends.append(len(ids) // 4)
-        flat = pa.Array.from_buffers(pa.int32(), ends[-1], [None, pa.py_buffer(ids)])
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
+        return _encoded(_loaded(Encoder, sent.value), texts)
 
     # a plan that uses the ids twice would encode twice, were the function called deterministic
     return F.arrow_udf(run, "array<int>").asNondeterministic()
@@ -302,16 +319,22 @@ def decoder(spark: SparkSession, path: str) -> Callable[[Column | str], Column]:
     sent = _definition(spark, path)
 
     def run(ids: pa.Array) -> pa.Array:
-        labels = _loaded(_labels, sent.value)
-        ids = ids.combine_chunks() if isinstance(ids, pa.ChunkedArray) else ids
-        offsets = ids.offsets.to_numpy()
-        values = ids.values.to_numpy(zero_copy_only=False)
-        if len(values) and (values.min() < 0 or values.max() >= len(labels)):
-            raise ValueError("an id is outside the vocabulary")
-        out, ends = bytearray(), [0]
-        for a, b in zip(offsets, offsets[1:], strict=False):
-            out += b" ".join([labels[i] for i in values[a:b].tolist()])
-            ends.append(len(out))
-        return pa.StringArray.from_buffers(len(ids), pa.py_buffer(np.array(ends, np.int32)), pa.py_buffer(out))
+        return _decoded(_loaded(_labels, sent.value), ids)
 
     return F.arrow_udf(run, "string")
+
+
+def round_trip(spark: SparkSession, path: str) -> Callable[[Column | str], Column]:
+    """A function from a text column to ``struct<ids, decoded>``: what ``encoder`` gives, and ``decoder`` for these ids.
+
+    Both run in one Python worker of a task; as two functions they keep one each, and the ids pass through the JVM.
+    """
+    small_batches(spark)
+    sent = _definition(spark, path)
+
+    def run(texts: pa.Array) -> pa.Array:
+        encode = _loaded(Encoder, sent.value)
+        ids = _encoded(encode, texts)
+        return pa.StructArray.from_arrays([ids, _decoded(encode.spelled, ids)], ["ids", "decoded"])
+
+    return F.arrow_udf(run, "ids array<int>, decoded string").asNondeterministic()

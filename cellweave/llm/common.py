@@ -16,7 +16,7 @@ MAX_BUCKETS = 1 << 20
 #: Text bytes that one vectorised step looks at.
 STEP_BYTES = 1 << 20
 #: Bytes of an Arrow batch between Spark and Python, unless the session's configuration names them.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 U = np.uint64
 
@@ -139,8 +139,8 @@ def _hashes_of(data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.nda
         return mix((sums[e] - sums[s]) * inverse[s] + (e - s).astype(U)), s
 
 
-def text_parts(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """``first row, last row, word hashes, words per row`` for runs of rows of about ``STEP_BYTES``.
+def text_parts(column: pa.Array, step: int = STEP_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """``first row, last row, word hashes, words per row`` for runs of rows of about ``step`` bytes.
 
     Words are maximal runs of bytes other than ASCII white space, with A-Z lowered.  NULL is an
     empty text.  A text longer than a step is cut at white space, so memory stays in proportion
@@ -162,15 +162,15 @@ def text_parts(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndar
     i = 0
     while i < n:
         j = i + 1
-        while j < n and end[j] - begin[i] <= STEP_BYTES:
+        while j < n and end[j] - begin[i] <= step:
             j += 1
-        if j == i + 1 and end[i] - begin[i] > STEP_BYTES:
+        if j == i + 1 and end[i] - begin[i] > step:
             pieces, at = [], begin[i]
             while at < end[i]:
-                to = min(at + STEP_BYTES, end[i])
+                to = min(at + step, end[i])
                 while to < end[i] and _WORD[raw[to]]:
-                    gap = np.flatnonzero(~_WORD[raw[to : to + STEP_BYTES]])
-                    to = to + gap[0] if len(gap) else min(to + STEP_BYTES, end[i])
+                    gap = np.flatnonzero(~_WORD[raw[to : to + step]])
+                    to = to + gap[0] if len(gap) else min(to + step, end[i])
                 pieces.append(_hashes_of(raw[at:to], np.zeros(1, np.int64))[0])
                 at = to
             words = np.concatenate(pieces)

@@ -20,6 +20,8 @@ ROWS = 6
 MISS = 1e-6
 #: Bytes of shingle sets that one task compares with each other.
 BLOCK_BYTES = 16 << 20
+#: Text bytes that one step turns into shingles; a worker holds some 50 times as much, and keeps it after its task.
+SKETCH_BYTES = 1 << 18
 
 
 def bands_for(threshold: float, rows: int = ROWS, miss: float = MISS) -> int:
@@ -76,7 +78,7 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, k: int, bands: int, rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, words, counts in text_parts(batch.column(1)):
+            for i, j, words, counts in text_parts(batch.column(1), SKETCH_BYTES):
                 values, sizes = distinct_per_row(*shingles(words, counts, k))
                 key1, key2 = _set_keys(values, sizes)
                 full = sizes > 0
@@ -104,7 +106,7 @@ def _sets(members: DataFrame, k: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, words, counts in text_parts(batch.column(0)):
+            for i, j, words, counts in text_parts(batch.column(0), SKETCH_BYTES):
                 values, sizes = distinct_per_row(*shingles(words, counts, k))
                 key1, key2 = _set_keys(values, sizes)
                 cols = [batch.column(c).slice(i, j - i) for c in range(1, batch.num_columns)]

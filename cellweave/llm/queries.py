@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellweave.llm.archives import through_archives
-from cellweave.llm.bpe import decoder, encoder
+from cellweave.llm.bpe import round_trip
 from cellweave.llm.common import table
 from cellweave.llm.decontaminate import matches
 from cellweave.llm.fingerprint import compare_edited
@@ -85,8 +85,8 @@ def tokenizer_path() -> str:
 @query("op9_bpe")
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = docs.select("doc_id", encoder(spark, tokenizer_path())("text").alias("ids"))
-    return ids.select("doc_id", "ids", decoder(spark, tokenizer_path())("ids").alias("decoded")).select(
+    both = docs.select("doc_id", round_trip(spark, tokenizer_path())("text").alias("both"))
+    return both.select("doc_id", "both.ids", "both.decoded").select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),

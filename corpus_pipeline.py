@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm.bpe import decoder, encoder
+from cellweave.llm.bpe import round_trip
 from cellweave.llm.common import fresh, table
 from cellweave.llm.decontaminate import matches
 from cellweave.llm.language import keep_known
@@ -49,8 +49,8 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with the digest of what they decode to."""
-    ids = docs.select("doc_id", "lang", "source", encoder(spark, tokenizer_path())("text").alias("ids"))
-    return ids.withColumn("decoded", decoder(spark, tokenizer_path())("ids")).select(
+    both = docs.select("doc_id", "lang", "source", round_trip(spark, tokenizer_path())("text").alias("both"))
+    return both.select("doc_id", "lang", "source", "both.ids", "both.decoded").select(
         "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256")
     )
 

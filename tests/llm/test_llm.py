@@ -93,6 +93,23 @@ def test_words_and_shingles_match_python():
             for w, h in zip(want, hashes, strict=True):
                 assert seen.setdefault(w, h) == h
     assert len(set(seen.values())) == len(seen)
+
+
+def test_sketch_steps_hold_little():
+    """A worker keeps what one step took: near duplicates cut a batch into steps of 256 KB, with the same words."""
+    texts = pa.array([f"w{i} " * 500 for i in range(3000)])
+
+    def words(step):
+        parts, most = [], 0
+        for _, _, hashes, counts in text_parts(texts, *step):
+            most = max(most, len(hashes))
+            parts.append((hashes, counts))
+        return [np.concatenate(x) for x in zip(*parts, strict=True)], most
+
+    (small, small_n), most = words([near_dedup.SKETCH_BYTES])
+    (large, large_n), _ = words([])
+    assert np.array_equal(small, large) and np.array_equal(small_n, large_n)
+    assert most <= 1 << 17
     values, n = shingles(np.array([1, 2, 3, 9, 1, 2, 3, 4], np.uint64), np.array([3, 1, 0, 4]), 3)
     assert n.tolist() == [1, 1, 0, 2] and values[0] == values[2] and len(set(values.tolist())) == 3
 
@@ -479,6 +496,22 @@ def test_bpe_query(spark, docs):
         assert got.decoded_sha256[i] == hashlib.sha256(tok.decode(ids, skip_special_tokens=False).encode()).hexdigest()
 
 
+def test_bpe_has_one_worker_a_task(spark):
+    """The pipeline and op9 encode and decode in one Python worker: one evaluation of one function in the plan."""
+    texts = ["Hello world <|endoftext|> x", "", None, "a\tb 123 é"]
+    df = rows_of(spark, texts)
+    for out in (corpus_pipeline.encode(spark, df, SF), queries.op9_bpe(spark, SF)):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1 and len(re.findall(r"run\([^)]*\)#", plan)) == 1, plan
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(queries.tokenizer_path())
+    for r in corpus_pipeline.encode(spark, df, SF).collect():
+        want = tok.encode(texts[r["doc_id"]] or "", add_special_tokens=False).ids
+        assert r["ids"] == want and r["n_tokens"] == len(want)
+        assert r["decoded_sha256"] == hashlib.sha256(tok.decode(want, skip_special_tokens=False).encode()).hexdigest()
+
+
 # ---- 10 decontamination
 
 
