@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain, islice
 
 import numpy as np
@@ -16,12 +16,18 @@ from pyspark.sql import functions as F
 
 from cellweave.llm.common import small_batches
 
-#: Words whose ids a worker remembers; beyond that it starts afresh, which changes no result.
-CACHE_WORDS = 200_000
+#: Words whose ids a worker remembers, and ids; beyond that it starts afresh, which changes no result.
+CACHE_WORDS = 150_000
+CACHE_IDS = 16 * CACHE_WORDS
 #: Resolved arcs that a worker remembers.
 CACHE_ARCS = 200_000
-#: Words of a text that are turned into ids at once.
-STEP_WORDS = 200_000
+#: Words that are turned into ids at once.
+STEP_WORDS = 30_000
+#: New words that go through the automaton side by side, and the bytes such a word has at most; longer ones go alone.
+SIDE_WORDS = 8192
+SIDE_BYTES = 64
+#: Places for resolved arcs of words that go side by side, as a power of two.
+SIDE_ARCS = 17
 
 #: Fixed value: the pre-tokenizer's pattern.
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|{L}+|{N}|{other}+"
@@ -76,6 +82,49 @@ def labels_of(spec: dict) -> list[str]:
     return labels
 
 
+def _places(keys: np.ndarray, bits: int) -> np.ndarray:
+    """Where keys are in a table of ``2 ** bits`` places."""
+    return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _runs(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The runs ``rows`` of ``flat``, one after the other."""
+    each = counts[rows]
+    return flat[np.arange(each.sum()) + np.repeat(starts[rows] - (np.cumsum(each) - each), each)]
+
+
+class Numbers:
+    """A fixed mapping of whole numbers that is looked up for many at once."""
+
+    def __init__(self, mapping: dict[int, int]):
+        n = len(mapping)
+        keys = np.fromiter(mapping.keys(), np.int64, n)
+        values = np.fromiter(mapping.values(), np.int32, n)
+        self.bits = max(10, (2 * n).bit_length())
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.values = np.full(1 << self.bits, -1, np.int32)
+        at = _places(keys, self.bits)
+        while len(keys):
+            free = self.keys[at] < 0
+            self.keys[at[free]] = keys[free]  # one of those that meet at a place stays
+            here = self.keys[at] == keys
+            self.values[at[here]] = values[here]
+            keys, values, at = keys[~here], values[~here], (at[~here] + 1) & ((1 << self.bits) - 1)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The numbers of ``keys``, -1 for others."""
+        at = _places(keys, self.bits)
+        held = self.keys[at]
+        out = self.values[at]  # -1 at an empty place
+        other = np.flatnonzero((held != keys) & (held >= 0))
+        while len(other):
+            at[other] = (at[other] + 1) & ((1 << self.bits) - 1)
+            held = self.keys[at[other]]
+            out[other] = self.values[at[other]]
+            other = other[(held != keys[other]) & (held >= 0)]
+        return out
+
+
 class Automaton:
     """Deterministic automaton over tokens that accepts exactly the tokenizations the merges lead to.
 
@@ -94,6 +143,10 @@ class Automaton:
     ends in exactly one state.  A word is encoded left to right: from the state of a position
     all labels that start there are read off a trie, and those with an arc name the state of the
     position they end at.  Work is linear in the word for bounded labels.
+
+    ``encode_all`` takes many words side by side, position by position.  The labels that end at a
+    position are read off suffix links of the trie there, longest first, and the first with an arc
+    from the state where it starts is the one.
     """
 
     def __init__(self, definition: str):
@@ -136,6 +189,7 @@ class Automaton:
                         self.token.append(-1)
                     at = nxt
                 self.token[at] = t
+        self._link(spelled)
 
     def _arc(self, x: int, t: int, until: int) -> bool:
         """Whether the state after ``x`` has the arc ``t`` once merges up to rank ``until`` have been built in."""
@@ -190,6 +244,121 @@ class Automaton:
             j = back[j]
         return tuple(reversed(out))
 
+    def _link(self, spelled: list[tuple[int, ...] | None]) -> None:
+        """Tables for words side by side.
+
+        ``back`` names the node of a node's longest proper suffix in the trie, ``best`` the longest token that ends
+        at a node, and ``shorter`` the longest other token that a token ends with.
+        """
+        step, token = self.step, self.token
+        back, best, shorter = [0] * len(token), list(token), [-1] * len(self.labels)
+        depth = [0] * len(token)
+        for key, node in step.items():
+            depth[node] = depth[key >> 9] + 1
+        for key, node in sorted(step.items(), key=lambda arc: depth[arc[1]]):
+            at, s = key >> 9, key & 511
+            while at:
+                at = back[at]
+                if (at << 9 | s) in step:
+                    back[node] = step[at << 9 | s]
+                    break
+            other = best[back[node]] if back[node] else -1
+            if token[node] >= 0:
+                shorter[token[node]] = other
+            else:
+                best[node] = other
+        self.steps, self.cuts = Numbers(step), Numbers(self.cut)
+        self.back, self.best, self.shorter = (np.array(x, np.int32) for x in (back, best, shorter))
+        # the last entry, for no token, is longer than any word
+        self.length = np.array([*(len(symbols or ()) for symbols in spelled), SIDE_BYTES + 1], np.int32)
+        self.lefts, self.rights, self.ranks = (np.array(x, np.int64) for x in (self.left, self.right, self.rank))
+        self.seen = np.full(1 << SIDE_ARCS, -1, np.int64)
+
+    def _resolved(self, keys: np.ndarray) -> np.ndarray:
+        """``_arc`` with all merges, of keys ``state * tokens + token``."""
+        x, t = np.divmod(keys, len(self.labels))
+        until = np.full(len(keys), len(self.cut), np.int64)
+        out, rows = np.zeros(len(keys), bool), np.arange(len(keys))
+        while len(rows):
+            cut = self.cuts.get(x * len(self.labels) + t)
+            rx, rt = self.ranks[x], self.ranks[t]
+            stands = (cut < 0) | (cut > until)
+            out[rows[stands & (rx < 0) & (rt < 0)]] = True
+            on = np.flatnonzero(stands & ((rx >= 0) | (rt >= 0)))
+            rows, x, t, rx, rt = rows[on], x[on], t[on], rx[on], rt[on]
+            x, t = np.where(rx >= rt, self.rights[x], x), np.where(rt >= rx, self.lefts[t], t)
+            until = np.where(rx >= rt, rx - 1, rt)
+        return out
+
+    def _have_arc(self, keys: np.ndarray) -> np.ndarray:
+        """``_resolved``, with a bounded memory: of the keys that share a place it holds the last."""
+        at = _places(keys, SIDE_ARCS)
+        held = self.seen[at]
+        out = (held & 1).astype(bool)
+        new = np.flatnonzero(held >> 1 != keys)
+        if len(new):
+            out[new] = self._resolved(keys[new])
+            self.seen[at[new]] = keys[new] << 1 | out[new]
+        return out
+
+    def encode_all(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of pre-split words, one after the other, and their number per word; each word has a byte."""
+        lengths = np.array([len(word) for word in words], np.int64)
+        order = np.argsort(-lengths, kind="stable")
+        n_long = int(np.count_nonzero(lengths > SIDE_BYTES))
+        found = [np.array(self.encode(words[i]), np.int32) for i in order[:n_long].tolist()]
+        counts = [np.array([len(ids) for ids in found], np.int64)]
+        for a in range(n_long, len(order), SIDE_WORDS):
+            rows = order[a : a + SIDE_WORDS]
+            ids, each = self._side_by_side([words[i] for i in rows.tolist()], lengths[rows])
+            found.append(ids)
+            counts.append(each)
+        flat, each = np.concatenate([np.empty(0, np.int32), *found]), np.concatenate(counts)
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        return _runs(flat, np.cumsum(each) - each, each, back), each[back]
+
+    def _side_by_side(self, words: list[bytes], lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``encode_all`` of words that are ordered by length, the longest first."""
+        n, size, length = len(words), len(self.labels), self.length
+        most = int(lengths[0])
+        symbols = np.frombuffer(b"".join(word.ljust(most, b"\0") for word in words), np.uint8).reshape(n, most).T.astype(np.int64)
+        symbols[lengths - 1, np.arange(n)] += 256
+        ends = np.zeros((most + 1, n), np.int32)  # the token that ends after so many bytes
+        node = np.zeros(n, np.int64)
+        for j in range(1, most + 1):
+            n = int(np.searchsorted(-lengths, -j, "right"))  # words with as many bytes
+            node, s = node[:n], symbols[j - 1, :n]
+            found = self.steps.get(node << 9 | s)
+            lost = np.flatnonzero(found < 0)
+            while len(lost):
+                node[lost] = self.back[node[lost]]
+                found[lost] = self.steps.get(node[lost] << 9 | s[lost])
+                lost = lost[found[lost] < 0]
+            node = found.astype(np.int64)
+            last = self.best[node]
+            rows = np.flatnonzero(length[last] < j)
+            while len(rows):
+                t = last[rows]
+                state = ends[j - length[t], rows].astype(np.int64)
+                rows = rows[(state < 0) | ~self._have_arc(np.maximum(state, 0) * size + t)]
+                last[rows] = self.shorter[last[rows]]
+                rows = rows[length[last[rows]] < j]
+            ends[j, :n] = last
+        # back from the ends of the words
+        rows, at, taken = np.arange(len(words)), lengths.copy(), []
+        while len(rows):
+            t = ends[at[rows], rows]
+            taken.append((rows, t))
+            at[rows] -= length[t]
+            rows = rows[at[rows] > 0]
+        counts = np.bincount(np.concatenate([r for r, _ in taken]), minlength=len(words))
+        stop = np.cumsum(counts)
+        flat = np.empty(stop[-1], np.int32)
+        for k, (r, t) in enumerate(taken, 1):
+            flat[stop[r] - k] = t
+        return flat, counts
+
     def lowered(self, text: str) -> str:
         """Normal form of a text without special tokens."""
         text = unicodedata.normalize("NFC", text)
@@ -210,40 +379,88 @@ class Encoder:
     def __init__(self, definition: str):
         self.automaton = Automaton(definition)
         self.spelled = [label.encode() for label in self.automaton.labels]
-        self.known: dict[str, tuple[int, ...]] = {}
         special = "|".join(map(regex.escape, sorted(self.automaton.special, key=len, reverse=True)))
         self.special = regex.compile(f"({special})") if special else None
-
-    def _chunk(self, chunk: str) -> tuple[int, ...]:
-        if len(self.known) >= CACHE_WORDS:
-            self.known.clear()
-        out: tuple[int, ...] = ()
-        for word in self.automaton.words(chunk):
-            ids = self.known.get(word)
-            if ids is None:
-                ids = self.automaton.encode(word.encode())
-                if len(word) <= 64:
-                    self.known[word] = ids
-            out = out + ids if out else ids
-        if len(chunk) <= 64:
-            self.known[chunk] = out
-        return out
-
-    def ids(self, text: str) -> np.ndarray:
-        parts = []
-        known, new = self.known, self._chunk
+        self._forget()
+
+    def _forget(self) -> None:
+        """Knows special tokens only, each by its id."""
+        ids = sorted(set(self.automaton.special.values()))
+        self.known: dict[str | int, int] = {i: row for row, i in enumerate(ids)}
+        self.flat = np.array(ids, np.int32)
+        self.counts = np.ones(len(ids), np.int64)
+
+    def _add(self, chunks: list[str], flat: np.ndarray, counts: np.ndarray) -> None:
+        self.known.update(zip(chunks, range(len(self.counts), len(self.counts) + len(chunks)), strict=True))
+        self.flat, self.counts = np.concatenate([self.flat, flat]), np.concatenate([self.counts, counts])
+
+    def _of(self, chunks: Iterable[str | int]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of known chunks, one after the other, and their number per chunk."""
+        rows = np.fromiter(map(self.known.__getitem__, chunks), np.int64)
+        return _runs(self.flat, np.cumsum(self.counts) - self.counts, self.counts, rows), self.counts[rows]
+
+    def _chunks(self, text: str) -> Iterator[list[str | int]]:
+        """What lies between white space of a text in its normal form, and the ids of special tokens."""
         segments = self.special.split(text) if self.special and "<|" in text else [text]
         for segment in segments:
             if segment in self.automaton.special:
-                parts.append(np.array([self.automaton.special[segment]], np.int32))
+                yield [self.automaton.special[segment]]
                 continue
             # no word goes over white space; the separators that Python adds to it are ordinary characters here
             lowered = self.automaton.lowered(segment)
             chunks = iter(_SPACE.split(lowered) if _SEPARATORS.search(lowered) else lowered.split())
             while some := list(islice(chunks, STEP_WORDS)):
-                found = [known.get(c) or new(c) for c in some]
-                parts.append(np.fromiter(chain.from_iterable(found), np.int32))
-        return np.concatenate(parts) if parts else np.empty(0, np.int32)
+                yield some
+
+    def _learn(self, chunks: list[str | int]) -> list[str]:
+        """Makes all chunks known; returns those that are too long to be remembered."""
+        new = set(chunks).difference(self.known)
+        if len(self.counts) + len(new) > CACHE_WORDS or len(self.flat) > CACHE_IDS:
+            self._forget()
+            new = set(chunks).difference(self.known)
+        mixed = [chunk for chunk in new if not (chunk.isascii() and chunk.isalpha())]  # others are words
+        words = self.automaton.words(" ".join(mixed))
+        new.difference_update(mixed)
+        new.update(words)
+        new.difference_update(self.known)
+        listed = list(new)
+        self._add(listed, *self.automaton.encode_all([word.encode() for word in listed]))
+        # words leave out nothing of a chunk, so lengths tell which are its own
+        stops = np.cumsum(np.array([0, *map(len, words)], np.int64))
+        last = np.searchsorted(stops, np.cumsum(np.array([len(chunk) for chunk in mixed], np.int64)))
+        flat, counts = self._of(words)
+        sums = np.concatenate([[0], np.cumsum(counts)])[np.concatenate([[0], last])]
+        rows = [row for row, chunk in enumerate(mixed) if chunk not in self.known]
+        joined = [mixed[row] for row in rows]
+        counts = np.diff(sums)
+        self._add(joined, _runs(flat, sums[:-1], counts, np.array(rows, np.int64)), counts[rows])
+        return [chunk for chunk in chain(listed, joined) if len(chunk) > 64]
+
+    def ids(self, texts: Iterable[str]) -> tuple[bytearray, list[int]]:
+        """The ids of all texts as 32-bit numbers, and where each text's end."""
+        out, ends = bytearray(), [0]
+        held: list[str | int] = []
+        stops: list[int] = []  # of texts that end among these chunks
+
+        def flush() -> None:
+            long = self._learn(held)
+            flat, counts = self._of(held)
+            sums = np.concatenate([[0], np.cumsum(counts)]) + len(out) // 4
+            ends.extend(sums[stops].tolist())
+            out.extend(flat.tobytes())
+            for chunk in long:
+                del self.known[chunk]
+            held.clear()
+            stops.clear()
+
+        for text in texts:
+            for chunks in self._chunks(text):
+                held += chunks
+                if len(held) >= STEP_WORDS:
+                    flush()
+            stops.append(len(held))
+        flush()
+        return out, ends
 
 
 _LOADED: dict[tuple[str, int], object] = {}
@@ -272,10 +489,7 @@ def _definition(spark: SparkSession, path: str):
 
 
 def _encoded(encode: Encoder, texts: pa.Array) -> pa.ListArray:
-    ids, ends = bytearray(), [0]  # one buffer that Arrow takes as it is
-    for text in texts:
-        ids += encode.ids(text.as_py() or "").tobytes()
-        ends.append(len(ids) // 4)
+    ids, ends = encode.ids(text.as_py() or "" for text in texts)  # one buffer that Arrow takes as it is
     flat = pa.Array.from_buffers(pa.int32(), ends[-1], [None, pa.py_buffer(ids)])
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
 

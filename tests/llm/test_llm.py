@@ -4,6 +4,7 @@ import hashlib
 import os
 import random
 import re
+import time
 
 import numpy as np
 import pandas as pd
@@ -512,6 +513,65 @@ def test_bpe_has_one_worker_a_task(spark):
         assert r["decoded_sha256"] == hashlib.sha256(tok.decode(want, skip_special_tokens=False).encode()).hexdigest()
 
 
+def bpe_seconds(run):
+    best = []
+    for _ in range(3):
+        began = time.process_time()
+        run()
+        best.append(time.process_time() - began)
+    return min(best)
+
+
+def test_bpe_takes_new_words_side_by_side():
+    """Words that a worker meets first cost less than one by one, and so does a chunk of very many words."""
+    from cellweave.llm.bpe import Encoder, _encoded
+
+    with open(queries.tokenizer_path(), encoding="utf-8") as f:
+        encoder = Encoder(f.read())
+    automaton, known = encoder.automaton, set(encoder.known)
+    rng = random.Random(3)
+    parts = ["th", "ing", "ea", "nt", "on", "er", "tion", "sh", "ou", "ble", "and", "re", "wh", "st"]
+    words = sorted({"".join(rng.choice(parts) for _ in range(rng.randint(3, 7))) for _ in range(40_000)})
+    texts = [" ".join(words[i::300]) for i in range(300)]
+
+    def whole():
+        for word in words:
+            encoder.known.pop(word, None)
+        return _encoded(encoder, pa.array(texts))
+
+    got = whole().to_pylist()
+    assert got[7] == [i for word in words[7::300] for i in automaton.encode(word.encode())]
+    assert bpe_seconds(whole) < 0.7 * bpe_seconds(lambda: [automaton.encode(word.encode()) for word in words])
+    assert set(encoder.known) - set(words) == known
+    spaced, joined = pa.array(["a 1 " * 50_000]), pa.array(["a1" * 50_000])
+    assert len(_encoded(encoder, joined)[0]) == 100_000
+    assert bpe_seconds(lambda: _encoded(encoder, joined)) < 20 * bpe_seconds(lambda: _encoded(encoder, spaced))
+
+
+def test_bpe_with_small_memories(monkeypatch):
+    """What is remembered, and how many words go at once, changes no id; chunks and words of any length are whole."""
+    from tokenizers import Tokenizer
+
+    from cellweave.llm import bpe
+
+    path = queries.tokenizer_path()
+    tok = Tokenizer.from_file(path)
+    with open(path, encoding="utf-8") as f:
+        encoder = bpe.Encoder(f.read())
+    for name, value in (("CACHE_WORDS", 60), ("CACHE_IDS", 400), ("STEP_WORDS", 7), ("SIDE_WORDS", 5), ("CACHE_ARCS", 9)):
+        monkeypatch.setattr(bpe, name, value)
+    rng = random.Random(4)
+    alphabet = "abcdeirsthoun'é 012 Ää.,!<|>ΣİÁ\n\x1d\x85\xa0 中字́\U00010d50"
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 200))) for _ in range(400)]
+    texts += ["".join(rng.choice("aeinth") for _ in range(rng.randint(55, 75))) for _ in range(200)]
+    texts += ["<|endoftext|><|ENDOFTEXT|> x<|startoftext|>", "x'sy''s't'll'lll " * 30, "a1" * 500, "é中" * 400, "", None, "\x1c", " "]
+    got = bpe._encoded(encoder, pa.array(texts)).to_pylist()
+    for text, ids in zip(texts, got, strict=True):
+        assert ids == tok.encode(text or "", add_special_tokens=False).ids, text
+    assert all(len(chunk) <= 64 for chunk in encoder.known if isinstance(chunk, str))
+    assert bpe._encoded(encoder, pa.array([], pa.string())).to_pylist() == []
+
+
 # ---- 10 decontamination
 
 
