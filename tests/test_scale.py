@@ -82,6 +82,44 @@ def test_equal_boxes_are_compared_once(spark):
     assert "Aggregate [iso3" in plan[tested:]  # the test of a pair stands above the removal of copies
 
 
+@pytest.mark.parametrize("max_rows", [10, BROADCAST_ROWS])
+def test_places_and_roads_of_equal_boxes_are_joined_as_lists(spark, max_rows):
+    """Joins meet lists, which the last step unrolls; NULL ids and rows that occur twice are kept."""
+    box = "double, min_y double, max_x double, max_y double"
+    left, right = (0.1, 0.1, 0.4, 0.4), (0.7, 0.1, 0.8, 0.2)
+    rows = [(i, "KEN", "trunk", *left) for i in range(1300)] + [(7, "KEN", None, *left)] * 20 + [(None, "GHA", "x", *right), (1, None, "x", *left)]
+    roads = spark.createDataFrame(rows, f"osm_id int, iso3 string, highway string, min_x {box}")
+    rows = [(i, "KEN", 0.3, 0.3, 0.9, 0.9) for i in range(600)] + [(3, "KEN", 0.3, 0.3, 0.9, 0.9)] * 5 + [(None, "GHA", 0.0, 0.0, 0.9, 0.9)] * 2
+    places = spark.createDataFrame([*rows, (8, None, 0.0, 0.0, 0.9, 0.9), (9, "KEN", None, 0.0, 0.9, 0.9)], f"place_id int, iso3 string, min_x {box}")
+    hit = g.roads_by_place(roads, places, 0.5, max_rows=max_rows)
+    p = places.select("iso3", "place_id", *[F.col(c).alias(f"p_{c}") for c in ("min_x", "min_y", "max_x", "max_y")])
+    meet = "min_x <= p_max_x and max_x >= p_min_x and min_y <= p_max_y and max_y >= p_min_y"
+    pairs = roads.join(p, "iso3").where(meet).select("iso3", "place_id", "osm_id", "highway")
+    assert hit.count() == pairs.count() == 1320 * 605 + 2
+    assert hit.exceptAll(pairs).isEmpty() and pairs.exceptAll(hit).isEmpty()
+    plan = hit._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode(__places" in plan[: plan.index("Join")] and "explode(__list" in plan[: plan.index("Join")]
+
+
+def test_a_join_has_as_many_tasks_as_asked_for(spark):
+    """Few bytes, whose tasks Spark would merge; -0.0 and NaN are keys like others."""
+    left = spark.createDataFrame([(i % 7, "a", 0.0 if i % 2 else float("nan"), i) for i in range(99)], "k int, s string, x double, i int")
+    right = spark.createDataFrame([(k, "a", x, k) for k in range(9) for x in (-0.0, float("nan"))] + [(None, "a", 0.0, 0)], "k int, s string, x double, v int")
+    joined = sized_join(left, right, ["k", "s", "x"], max_rows=1, tasks=37)
+    assert sorted((r.i, r.v) for r in joined.collect()) == [(i, i % 7) for i in range(99)] and joined.columns == ["k", "s", "x", "i", "v"]
+    assert joined.select(F.spark_partition_id()).rdd.getNumPartitions() == 37
+
+
+def test_lists_of_equal_boxes_are_bounded(spark):
+    """A box of many different rows, one of many equal rows and one of few."""
+    rows = [(i, 1) for i in range(5000)] + [(0, 2)] * 3000 + [(1, 3), (None, 3)]
+    lists = g._in_lists(spark.createDataFrame(rows, "id int, box int"), ["box"])
+    assert lists.agg(F.sum("__rows")).first()[0] == len(rows)
+    assert lists.where((F.col("__rows") > 2 * g.LISTED) | (F.col("__part") >= F.col("__parts"))).isEmpty()
+    back = lists.select(F.explode("__list").alias("v"), "box").select("v.id", "box").collect()
+    assert sorted(map(str, back)) == sorted(f"Row(id={i}, box={b})" for i, b in rows)
+
+
 def test_written_documents_are_of_bounded_size(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(vc, "FILE_BYTES", 20_000, raising=False)
     point = F.array(F.array(F.struct(F.col("id").cast("double").alias("x"), F.lit(1.0).alias("y"))))
